@@ -50,7 +50,7 @@ def product_family(c: Column, rules: Sequence[tuple[str, str]] = FAMILIES,
 
 def category_levels(c: Column, codes: Mapping[str, str] = CATEGORY_CODES) -> Column:
     """Struct of level1..3 and path; only the first part is looked up."""
-    parts = F.transform(F.split(c, "-", -1), F.trim)
+    parts = F.transform(F.split(c, "-", -1), lambda p: F.trim(p))
     level1 = F.coalesce(F.try_element_at(code_map(codes), F.upper(F.get(parts, F.lit(0)))),
                         F.get(parts, F.lit(0)))
     known = F.struct(

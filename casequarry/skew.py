@@ -126,3 +126,10 @@ def bounded_rows(df: DataFrame, limit: int, what: str) -> DataFrame:
     if found > limit:
         raise ValueError(f"{what}: more than {limit} rows; split it into blocks")
     return kept
+
+
+def small_side(df: DataFrame, limit: int = 200_000) -> DataFrame:
+    """``df`` ready to be joined: broadcast when a count of its checkpointed
+    rows proves it small, else left to a shuffle join."""
+    kept = cut(df)
+    return F.broadcast(kept) if kept.limit(limit + 1).count() <= limit else kept
