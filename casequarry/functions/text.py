@@ -46,8 +46,8 @@ def _unescape(texts: pd.Series) -> pd.Series:
 
 
 @F.pandas_udf(StringType())
-def _nfkc(texts: pd.Series) -> pd.Series:
-    return texts.str.normalize("NFKC")
+def _nfc(texts: pd.Series) -> pd.Series:
+    return texts.str.normalize("NFC")
 
 
 def unescape_html(c: Column) -> Column:
@@ -66,8 +66,8 @@ def clean_html_if_tagged(c: Column) -> Column:
 
 
 def normalize_unicode(c: Column) -> Column:
-    """NFKC; pure ASCII rows send a null to Python."""
-    return F.coalesce(_nfkc(F.when(c.rlike(r"[^\x00-\x7F]"), c)), c)
+    """NFC; pure ASCII rows send a null to Python."""
+    return F.coalesce(_nfc(F.when(c.rlike(r"[^\x00-\x7F]"), c)), c)
 
 
 def standardize(c: Column, case: str = "keep") -> Column:
