@@ -42,12 +42,40 @@ def applies(rule: Rule, table: Column | None = None, field: str | None = None) -
     return True
 
 
+Guard = tuple[str | None, tuple[str, ...]]
+# Letters whose case partners a lower-cased text does not show.
+ODD_CASE = "\u017f\u0130\u0131"
+
+
+def guarded(text: Column, guard: Guard) -> Column:
+    """The cheap pre-test. Literals and words need no regex at all."""
+    regex, words = guard
+    tests = []
+    if regex is not None:
+        literal = re.escape(regex).replace("\\-", "-") == regex
+        tests.append(F.contains(text, F.lit(regex)) if literal else text.rlike(regex))
+    if words:
+        # A one-element array lower-cases the text once for all words.
+        seen = F.exists(F.array(F.lower(text)), lambda low: reduce(
+            lambda a, b: a | b, [F.contains(low, F.lit(w)) for w in words]))
+        tests.append(reduce(lambda a, b: a | b, [
+            seen, *[F.contains(text, F.lit(c)) for c in ODD_CASE]]))
+    return reduce(lambda a, b: a & b, tests)
+
+
 def hit(text: Column, rule: Rule, classes: str = "unicode") -> Column:
-    """Does the rule match at all? Tests the literal first where one is known."""
-    matched = text.rlike(java_regex(rule, classes))
-    if rule.needs:
-        return F.contains(text, F.lit(rule.needs)) & matched
-    return matched
+    return text.rlike(java_regex(rule, classes))
+
+
+def guard_of(rule: Rule) -> Guard | None:
+    return (rule.guard, rule.words) if rule.guard or rule.words else None
+
+
+def by_guard(rules: Sequence[Rule]) -> dict[Guard | None, list[tuple[int, Rule]]]:
+    groups: dict[Guard | None, list[tuple[int, Rule]]] = {}
+    for number, rule in enumerate(rules):
+        groups.setdefault(guard_of(rule), []).append((number, rule))
+    return groups
 
 
 def rule_spans(text: Column, rule: Rule, number: int, classes: str = "unicode") -> Column:
@@ -76,16 +104,28 @@ def rule_spans(text: Column, rule: Rule, number: int, classes: str = "unicode")
 
 def all_spans(text: Column, table: Column | None = None, field: str | None = None,
               rules: Sequence[Rule] = STAGED, classes: str = "unicode") -> Column:
-    """Hits of every rule that applies, before merging, in rule order."""
-    parts = []
-    for number, rule in enumerate(rules):
-        gate = applies(rule, table, field)
-        if gate is False:
-            continue
-        found = rule_spans(text, rule, number, classes)
-        parts.append(found if gate is True
-                     else F.when(gate, found).otherwise(F.array().cast(SPANS)))
-    return F.coalesce(F.concat(*parts), F.array().cast(SPANS))
+    """Hits of every rule that applies, in rule order, before merging. Rules
+    share their guard's test, so a text without, say, a digit skips all rules
+    that need one."""
+    none = F.array().cast(SPANS)
+    groups = []
+    for guard, members in by_guard(rules).items():
+        parts = []
+        for number, rule in members:
+            gate = applies(rule, table, field)
+            if gate is not False:
+                found = rule_spans(text, rule, number, classes)
+                parts.append(found if gate is True else F.when(gate, found).otherwise(none))
+        if parts:
+            joined = F.concat(*parts)
+            groups.append(joined if guard is None
+                          else F.when(guarded(text, guard), joined).otherwise(none))
+    return F.coalesce(F.array_sort(F.concat(*groups), _by_rule), none)
+
+
+def _by_rule(a: Column, b: Column) -> Column:
+    place = [a["rule_no"] - b["rule_no"], a["occ_no"] - b["occ_no"]]
+    return F.when(place[0] != 0, place[0]).otherwise(place[1])
 
 
 def merge_spans(spans: Column, mode: str = "reference") -> Column:
@@ -165,8 +205,11 @@ def redact_spans(text: Column, spans: Column, tokens: Mapping[str, str] | None =
 
 def has_pii(text: Column, rules: Sequence[Rule], classes: str = "unicode") -> Column:
     """Any rule matches; stops at the first."""
-    return F.coalesce(reduce(lambda a, b: a | b, [hit(text, r, classes) for r in rules]),
-                      F.lit(False))
+    tests = []
+    for guard, members in by_guard(rules).items():
+        found = reduce(lambda a, b: a | b, [hit(text, r, classes) for _, r in members])
+        tests.append(found if guard is None else guarded(text, guard) & found)
+    return F.coalesce(reduce(lambda a, b: a | b, tests), F.lit(False))
 
 
 def count_by(spans: Column, field: str) -> Column:
@@ -210,21 +253,39 @@ def redact(df: DataFrame, texts: Sequence[str], table: str | None = None,
     return df if keep_spans else df.drop(*[f"{t}_pii" for t in texts])
 
 
+def _shows(token: str, rule: Rule) -> bool:
+    if rule.words:
+        return any(w in token.lower() for w in rule.words)
+    return bool(rule.guard) and bool(re.search(rule.guard.replace(r"\p{Nd}", r"\d"), token))
+
+
 def substitute(df: DataFrame, text: str, rules: Sequence[Rule], counts: str | None = None,
                field: str | None = None, classes: str = "unicode") -> DataFrame:
     """Apply rules one after the other, each on the last one's output, with hit
     counts per type as columns ``<counts>_<type>``. Separate projections, so
-    each intermediate text is computed once."""
-    for rule in rules:
-        if applies(rule, None, field) is False:
-            continue
+    each intermediate text is computed once. Guards are tested once, on the
+    first text: no token contains what a guard looks for, so a guard that fails
+    there fails at every step."""
+    used = [r for r in rules if applies(r, None, field) is not False]
+    for rule in used:
+        bare = (rule.token or "").replace("$1:", "")
+        if any(_shows(bare, r) for r in used):
+            raise ValueError(f"token {rule.token} could satisfy a guard")
+    guards = {g: f"__guard_{i}" for i, g in enumerate(dict.fromkeys(
+        guard_of(r) for r in used if guard_of(r)))}
+    df = df.withColumns({name: F.coalesce(guarded(F.col(text), g), F.lit(False))
+                         for g, name in guards.items()})
+    for rule in used:
         pattern = java_regex(rule, classes)
-        hits = F.regexp_count(F.col(text), F.lit(pattern))
+        found = F.coalesce(F.col(text).rlike(pattern), F.lit(False))
+        df = df.withColumn("__hit", F.col(guards[guard_of(rule)]) & found if guard_of(rule) else found)
+        columns = {text: F.when(F.col("__hit"), F.regexp_replace(F.col(text), pattern, rule.token))
+                   .otherwise(F.col(text))}
         if counts is not None:
-            name = f"{counts}_{rule.type}"
-            df = df.withColumn(name, F.coalesce(hits, F.lit(0)))
-        df = df.withColumn(text, F.regexp_replace(F.col(text), pattern, rule.token))
-    return df
+            columns[f"{counts}_{rule.type}"] = F.when(
+                F.col("__hit"), F.regexp_count(F.col(text), F.lit(pattern))).otherwise(F.lit(0))
+        df = df.withColumns(columns)
+    return df.drop("__hit", *guards.values())
 
 
 def deobfuscate(text: Column) -> Column:
