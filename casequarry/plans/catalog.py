@@ -1,6 +1,6 @@
 """All registered queries and their SQL."""
 
-from casequarry.plans import pii_queries, text_queries  # noqa: F401
+from casequarry.plans import pii_queries, quality_queries, text_queries  # noqa: F401
 from casequarry.plans.registry import ORACLE, QUERIES
 
 FLAGSHIP = "composite_case_text"
