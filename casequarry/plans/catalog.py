@@ -1,8 +1,9 @@
 """All registered queries and their SQL."""
 
-from casequarry.plans import pii_queries, quality_queries, text_queries  # noqa: F401
+from casequarry.plans import (  # noqa: F401
+    pii_queries, quality_queries, search_queries, text_queries)
 from casequarry.plans.registry import ORACLE, QUERIES
 
-FLAGSHIP = "composite_case_text"
+FLAGSHIP = "hybrid_fusion_topk"
 
 __all__ = ["FLAGSHIP", "ORACLE", "QUERIES"]
