@@ -31,7 +31,7 @@ class Child:
 
     def prepared(self) -> DataFrame:
         record = F.struct(*[c.alias(n) for n, c in self.fields.items()])
-        tie = self.tie if self.tie is not None else F.sha2(F.to_json(record), 256)
+        tie = self.tie if self.tie is not None else F.xxhash64(*self.fields.values())
         return self.rows.filter(F.col(self.key).isNotNull()).select(
             F.col(self.key).alias("__key"), self.position.cast("double").alias("__pos"),
             tie.cast("string").alias("__tie"), record.alias("__rec"))

@@ -80,16 +80,18 @@ def audit_rows(cleaned: DataFrame, case_id: str, case_number: str, processed_at:
 def compliance_report(audit: DataFrame, start: Column, end: Column) -> DataFrame:
     """Totals of a closed period and records per type, as (item, value) rows."""
     period = audit.filter(F.col("processed_at").between(start, end))
-    totals = period.agg(
-        F.count("*").alias("total_records"),
-        F.coalesce(F.sum("pii_detected_count"), F.lit(0)).alias("total_pii_detected"),
+    # One pass: every record counts once under "" and once under each type.
+    marked = period.select("pii_detected_count", F.explode(
+        F.concat(F.array(F.lit("")), "pii_types")).alias("type"))
+    counted = marked.groupBy("type").agg(
+        F.count("*").alias("total_records"), F.sum("pii_detected_count").alias("total_pii_detected"),
         F.count_if(F.col("pii_detected_count") > 0).alias("records_with_pii"))
-    summary = totals.select(F.explode(F.create_map(*[
-        x for c in totals.columns for x in (F.lit(c), F.col(c).cast("bigint"))])).alias("item", "value"))
-    by_type = (period.select(F.explode("pii_types").alias("type")).groupBy("type")
-               .agg(F.count("*").alias("value"))
-               .select(F.concat(F.lit("type:"), "type").alias("item"), "value"))
-    return summary.unionByName(by_type)
+
+    def item(name: Column, value: str) -> Column:
+        return F.struct(name.alias("item"), F.col(value).cast("bigint").alias("value"))
+    return counted.select(F.inline(F.when(F.col("type") == "", F.array(*[
+        item(F.lit(c), c) for c in ("total_records", "total_pii_detected", "records_with_pii")])
+    ).otherwise(F.array(item(F.concat(F.lit("type:"), "type"), "total_records")))))
 
 
 def detection_totals(df: DataFrame, spans: str, groups: Sequence[str] = ()) -> DataFrame:

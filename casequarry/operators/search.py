@@ -18,8 +18,11 @@ from functools import reduce
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
 from casequarry.functions import text as T
@@ -134,62 +137,70 @@ def similar_to(corpus: DataFrame, doc_id: str, vector: str, value, limit: int =
 
 @dataclass
 class Block:
-    """A bounded set of queries in the form the tasks use."""
+    """A bounded set of queries in the form the tasks use. Queries that differ
+    only in weight, limit or filter share one line of ``texts`` or ``vectors``."""
     ids: list
-    terms: list[list[str]]
+    text_line: np.ndarray
+    vector_line: np.ndarray
+    texts: list[list[int]]             # per line: term codes
+    vectors: np.ndarray | None         # per line: unit vector, zero if none
     alpha: np.ndarray
     limit: np.ndarray
     least: np.ndarray
-    vectors: np.ndarray | None
     filter_on: list[str | None]
     filter_value: list[str | None]
-    idf: dict[str, float] = field(default_factory=dict)
+    idf: dict[int, float] = field(default_factory=dict)
     avgdl: float = 1.0
     best_keyword: np.ndarray | None = None
 
     def prepare(self) -> "Block":
-        self.vocabulary = {w: i for i, w in enumerate(sorted({w for t in self.terms for w in t}))}
-        self.weights = np.zeros((len(self.ids), max(1, len(self.vocabulary))))
-        for row, words in enumerate(self.terms):
-            for word in words:
-                self.weights[row, self.vocabulary[word]] = self.idf.get(word, 0.0)
-        if self.vectors is not None:
-            length = np.linalg.norm(self.vectors, axis=1, keepdims=True)
-            self.unit = np.where(length > 0, self.vectors / np.where(length > 0, length, 1), 0.0)
+        self.codes = np.array(sorted({c for t in self.texts for c in t}), dtype=np.int64)
+        self.weights = np.zeros((len(self.texts), max(1, len(self.codes))))
+        for line, terms in enumerate(self.texts):
+            for code in terms:
+                self.weights[line, np.searchsorted(self.codes, code)] = self.idf.get(code, 0.0)
+        self.step = max(64, min(1024, 1_000_000 // max(1, len(self.ids))))
+        self.filtered = [i for i, c in enumerate(self.filter_on) if c is not None]
         return self
 
-    def keyword(self, rows: pd.DataFrame) -> np.ndarray:
+    def keyword(self, rows: pa.RecordBatch) -> np.ndarray:
         """Raw BM25, one line per query and one column per row."""
-        tf = np.zeros((len(rows), self.weights.shape[1]))
-        for at, words in enumerate(rows["__hits"]):
-            if words is not None:
-                for word in words:
-                    tf[at, self.vocabulary[word]] += 1
-        norm = K1 * (1 - B + B * rows["__dl"].to_numpy(dtype=float) / self.avgdl)
-        return self.weights @ (tf * (K1 + 1) / (tf + norm[:, None])).T
-
-    def semantic(self, rows: pd.DataFrame) -> np.ndarray:
-        """(1 + cos) / 2, NaN where the row has no vector."""
-        out = np.full((len(self.ids), len(rows)), np.nan)
-        if self.vectors is None or "__vec" not in rows:
+        hits, n, width = rows.column("__hits"), rows.num_rows, self.weights.shape[1]
+        sizes = pc.fill_null(pc.list_value_length(hits), 0).to_numpy(zero_copy_only=False)
+        found = np.searchsorted(self.codes, hits.flatten().to_numpy(zero_copy_only=False))
+        cells = np.repeat(np.arange(n, dtype=np.int64), sizes) * width + found
+        tf = np.bincount(cells, minlength=n * width).reshape(n, width).astype(float)
+        length = rows.column("__dl").to_numpy(zero_copy_only=False).astype(float)
+        norm = K1 * (1 - B + B * length / self.avgdl)
+        return (self.weights @ (tf * (K1 + 1) / (tf + norm[:, None])).T)[self.text_line]
+
+    def semantic(self, rows: pa.RecordBatch) -> np.ndarray:
+        """(1 + cos) / 2, NaN where the row or the query has no vector."""
+        out = np.full((len(self.ids), rows.num_rows), np.nan)
+        if self.vectors is None or "__vec" not in rows.schema.names:
             return out
-        have = rows["__vec"].notna().to_numpy()
-        asked = np.abs(self.vectors).sum(axis=1) > 0
+        column, size = rows.column("__vec"), self.vectors.shape[1]
+        sizes = pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False)
+        have = sizes == size
         if have.any():
-            matrix = np.stack(rows["__vec"][have].to_list()).astype(float)
+            matrix = column.filter(pa.array(have)).flatten().to_numpy(zero_copy_only=False)
+            matrix = matrix.reshape(-1, size).astype(float)
             length = np.linalg.norm(matrix, axis=1, keepdims=True)
             matrix = np.where(length > 0, matrix / np.where(length > 0, length, 1), 0.0)
-            out[:, have] = np.where(asked[:, None], (1 + self.unit @ matrix.T) / 2, np.nan)
+            lines = (1 + self.vectors @ matrix.T) / 2
+            lines[np.abs(self.vectors).sum(axis=1) == 0] = np.nan
+            out[:, have] = lines[self.vector_line]
         return out
 
-    def allowed(self, rows: pd.DataFrame) -> np.ndarray:
-        mask = np.ones((len(self.ids), len(rows)), dtype=bool)
-        for line, (column, value) in enumerate(zip(self.filter_on, self.filter_value)):
-            if column is not None:
-                mask[line] = (rows[column] == value).to_numpy()
+    def allowed(self, rows: pa.RecordBatch) -> np.ndarray:
+        mask = np.ones((len(self.ids), rows.num_rows), dtype=bool)
+        values = {c: rows.column(c).to_numpy(zero_copy_only=False)
+                  for c in {self.filter_on[i] for i in self.filtered}}
+        for line in self.filtered:
+            mask[line] = values[self.filter_on[line]] == self.filter_value[line]
         return mask
 
-    def best(self, rows: pd.DataFrame, ids: str) -> pd.DataFrame:
+    def best(self, rows: pa.RecordBatch, ids: str) -> pd.DataFrame:
         """The best rows of this batch for every query."""
         keyword, semantic = self.keyword(rows), self.semantic(rows)
         known = ~np.isnan(semantic)
@@ -197,16 +208,19 @@ class Block:
         keyword = np.divide(keyword, top, out=np.zeros_like(keyword), where=top > 0)
         alpha = self.alpha[:, None]
         total = np.round(alpha * np.nan_to_num(semantic) + (1 - alpha) * keyword, DIGITS)
-        wanted = self.allowed(rows) & np.where(alpha >= 1, known, (keyword > 0) | (known & (alpha > 0)))
+        wanted = np.where(alpha >= 1, known, (keyword > 0) | (known & (alpha > 0)))
         wanted &= total >= self.least[:, None]
+        if self.filtered:
+            wanted &= self.allowed(rows)
         total = np.where(wanted, total, -np.inf)
         most = int(self.limit.max())
         if total.shape[1] > most:
             edge = np.partition(total, total.shape[1] - most, axis=1)[:, total.shape[1] - most]
             wanted &= total >= edge[:, None]
         line, column = np.nonzero(wanted)
+        names = rows.column(ids).to_numpy(zero_copy_only=False)
         return pd.DataFrame({
-            "__q": line, ids: rows[ids].to_numpy()[column], "score": total[line, column],
+            "__q": line, ids: names[column], "score": total[line, column],
             "semantic": semantic[line, column], "keyword": keyword[line, column]})
 
     def keep(self, found: pd.DataFrame, ids: str) -> pd.DataFrame:
@@ -214,33 +228,40 @@ class Block:
         place = ordered.groupby("__q").cumcount().to_numpy()
         return ordered[place < self.limit[ordered["__q"].to_numpy()]]
 
+    def slices(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in batches:
+            for at in range(0, rows.num_rows, self.step):
+                yield rows.slice(at, self.step)
 
-BATCH = 1024
 
-
-def _batches(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for frame in frames:
-        for at in range(0, len(frame), BATCH):
-            yield frame.iloc[at:at + BATCH].reset_index(drop=True)
-
-
-def _sql_in(words: Sequence[str]) -> str:
+def _hits(words: Sequence[str]) -> str:
+    """SQL for the hashes of a row's query words. Membership is tested on the
+    words themselves; the hash only makes them cheap to hand to Python."""
     if not words:
-        return "filter(__tok, t -> false)"
+        return "cast(array() as array<bigint>)"
     quoted = ", ".join("'" + w.replace("\\", "\\\\").replace("'", "\\'") + "'" for w in words)
-    return f"filter(__tok, t -> t IN ({quoted}))"
+    return f"transform(filter(__tok, t -> t IN ({quoted})), t -> xxhash64(t))"
+
+
+def _lines(values: list) -> tuple[list, np.ndarray]:
+    """Distinct values in order, and the line of each value."""
+    place: dict = {}
+    lines = np.array([place.setdefault(v, len(place)) for v in values], dtype=np.int64)
+    return list(place), lines
 
 
 def _block_of(rows: list) -> Block:
-    vectors = [r["vector"] for r in rows]
-    matrix = None
-    if any(v is not None for v in vectors):
-        size = max(len(v) for v in vectors if v is not None)
+    texts, text_line = _lines([tuple(r["codes"] or ()) for r in rows])
+    vectors, vector_line = _lines([None if r["vector"] is None else tuple(r["vector"]) for r in rows])
+    matrix, size = None, max((len(v) for v in vectors if v is not None), default=0)
+    if size:
         matrix = np.array([v if v is not None else [0.0] * size for v in vectors], dtype=float)
+        length = np.linalg.norm(matrix, axis=1, keepdims=True)
+        matrix = np.where(length > 0, matrix / np.where(length > 0, length, 1), 0.0)
     return Block(
-        [r["query_id"] for r in rows], [list(r["terms"] or []) for r in rows],
+        [r["query_id"] for r in rows], text_line, vector_line, [list(t) for t in texts], matrix,
         np.array([float(r["alpha"]) for r in rows]), np.array([int(r["limit"]) for r in rows]),
-        np.array([float(r["least"]) for r in rows]), matrix,
+        np.array([float(r["least"]) for r in rows]),
         [r["filter_on"] for r in rows], [r["filter_value"] for r in rows])
 
 
@@ -251,7 +272,7 @@ QUERY_DEFAULTS = {"text": ("string", None), "vector": ("array<double>", None),
 
 
 def search_all(corpus: DataFrame, queries: DataFrame, doc_id: str, text: str | None = None,
-               vector: str | None = None, filters: Sequence[str] = (), block: int = 500
+               vector: str | None = None, filters: Sequence[str] = (), block: int = 2500
                ) -> DataFrame:
     """Ranked results of every query: query_id, rank, id, score, semantic, keyword.
 
@@ -265,8 +286,9 @@ def search_all(corpus: DataFrame, queries: DataFrame, doc_id: str, text: str | N
     full = queries.select("query_id", *[
         (F.col(c).cast(kind) if c in given else F.lit(default).cast(kind)).alias(c)
         for c, (kind, default) in QUERY_DEFAULTS.items()])
-    full = cut(full.withColumn("terms", F.array_distinct(T.tokens(F.col("text"))) if text else
-                               F.array().cast("array<string>")))
+    terms = F.array_distinct(T.tokens(F.col("text"))) if text else F.array().cast("array<string>")
+    full = cut(full.withColumn("terms", terms).withColumn(
+        "codes", F.transform("terms", lambda w: F.xxhash64(w))).drop("text"))
     blocks = max(1, -(-full.count() // block))
     numbered = full.withColumn("__b", F.pmod(F.xxhash64("query_id"), F.lit(blocks)))
     results = []
@@ -274,76 +296,79 @@ def search_all(corpus: DataFrame, queries: DataFrame, doc_id: str, text: str | N
         # At most about ``block`` queries at a time reach the driver.
         rows = numbered.filter(F.col("__b") == number).orderBy("query_id").collect()
         if rows:
-            results.append(_search_block(corpus, _block_of(rows), queries, doc_id, text, vector,
-                                         filters))
+            results.append(_search_block(corpus, rows, queries, doc_id, text, vector, filters))
     return reduce(DataFrame.unionByName, results)
 
 
-def _search_block(corpus: DataFrame, block: Block, queries: DataFrame, doc_id: str,
+def _search_block(corpus: DataFrame, asked: list, queries: DataFrame, doc_id: str,
                   text: str | None, vector: str | None, filters: Sequence[str]) -> DataFrame:
-    spark = corpus.sparkSession
-    words = sorted({w for t in block.terms for w in t})
+    spark, block = corpus.sparkSession, _block_of(asked)
+    words = dict(pair for r in asked for pair in zip(r["terms"] or [], r["codes"] or []))
+    if len(set(words.values())) != len(words):
+        raise ValueError("two query words share a hash; use smaller blocks")
     tokens = T.tokens(F.col(text)) if text else F.array().cast("array<string>")
-    columns = [F.col(doc_id), F.size("__tok").alias("__dl"), F.expr(_sql_in(words)).alias("__hits"),
+    columns = [F.col(doc_id), F.size("__tok").alias("__dl"), F.expr(_hits(sorted(words))).alias("__hits"),
                *[F.col(f).cast("string").alias(f) for f in filters]]
     if vector:
         columns.append(V.as_double(F.col(vector)).alias("__vec"))
     rows = corpus.withColumn("__tok", tokens).select(*columns)
 
     if words:
-        # One row per term, and one under "" for the collection as a whole.
+        # One row per term, and one under null for the collection as a whole.
         seen = rows.select("__dl", F.explode(F.concat(
-            F.array(F.lit("")), F.array_distinct("__hits"))).alias("term"))
-        counts = {r["term"]: r for r in seen.groupBy("term").agg(
+            F.array(F.lit(None).cast("bigint")), F.array_distinct("__hits"))).alias("code"))
+        counts = {r["code"]: r for r in seen.groupBy("code").agg(
             F.count("*").alias("n"), F.avg("__dl").alias("avgdl")).collect()}
-        total = counts.pop("", None)
+        total = counts.pop(None, None)
         if total is not None:
             block.avgdl = float(total["avgdl"]) or 1.0
-            block.idf = {w: float(np.log(1 + (total["n"] - r["n"] + 0.5) / (r["n"] + 0.5)))
-                         for w, r in counts.items()}
+            block.idf = {c: float(np.log(1 + (total["n"] - r["n"] + 0.5) / (r["n"] + 0.5)))
+                         for c, r in counts.items()}
     block.prepare()
     block.best_keyword = np.ones(len(block.ids))
-    mixed = bool(((block.alpha > 0) & (block.alpha < 1)).any()) and bool(words)
 
-    def highest(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def highest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         top = np.zeros(len(block.ids))
-        for part in _batches(frames):
-            score = np.where(block.allowed(part), block.keyword(part), 0.0)
+        for part in block.slices(batches):
+            score = block.keyword(part)
+            if block.filtered:
+                score = np.where(block.allowed(part), score, 0.0)
             top = np.maximum(top, score.max(axis=1, initial=0.0))
-        yield pd.DataFrame({"q": range(len(top)), "top": top})
+        yield pa.RecordBatch.from_arrays([pa.array(range(len(top)), pa.int32()), pa.array(top)],
+                                         names=["q", "top"])
 
-    if mixed or (words and (block.alpha <= 0).any()):
+    if words and (block.alpha < 1).any():
         lean = rows.drop("__vec") if vector else rows
-        tops = lean.mapInPandas(highest, "q int, top double").groupBy("q").agg(F.max("top").alias("top"))
+        tops = lean.mapInArrow(highest, "q int, top double").groupBy("q").agg(F.max("top").alias("top"))
         for r in tops.collect():
             block.best_keyword[r["q"]] = r["top"]
 
-    def best(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        kept = None
-        for part in _batches(frames):
-            found = block.best(part, doc_id)
-            kept = block.keep(found if kept is None else pd.concat([kept, found]), doc_id)
-        if kept is not None and len(kept):
-            out = kept.copy()
-            out["query_id"] = [block.ids[i] for i in out.pop("__q")]
-            yield out[["query_id", doc_id, "score", "semantic", "keyword"]].astype(
-                {"query_id": kinds[0], doc_id: kinds[1]})
-
-    kinds = [{"bigint": "int64", "int": "int32"}.get(df.schema[c].dataType.simpleString(), "object")
-             for df, c in ((queries, "query_id"), (corpus, doc_id))]
     schema = StructType([
         StructField("query_id", queries.schema["query_id"].dataType),
         StructField(doc_id, corpus.schema[doc_id].dataType),
         *[StructField(c, DoubleType()) for c in ("score", "semantic", "keyword")]])
-    found = rows.mapInPandas(best, schema)
-    limits = spark.createDataFrame(
-        list(zip(block.ids, [int(x) for x in block.limit])),
-        StructType([schema["query_id"], StructField("__limit", IntegerType())]))
-    ranked = top_n(found, ["query_id"], [F.desc("score"), F.asc(doc_id)], int(block.limit.max()),
-                   "rank", [doc_id])
-    return (ranked.join(F.broadcast(limits), "query_id").filter(F.col("rank") <= F.col("__limit"))
-            .select("query_id", "rank", doc_id, "score",
-                    F.nanvl("semantic", F.lit(None).cast("double")).alias("semantic"), "keyword"))
+    arrow = to_arrow_schema(schema)
+
+    def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept = None
+        for part in block.slices(batches):
+            found = block.best(part, doc_id)
+            kept = block.keep(found if kept is None else pd.concat([kept, found]), doc_id)
+        if kept is not None and len(kept):
+            asked_by = [block.ids[i] for i in kept["__q"]]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(asked_by, arrow.field(0).type), pa.array(kept[doc_id], arrow.field(1).type),
+                 *[pa.array(kept[c], pa.float64(), from_pandas=True)
+                   for c in ("score", "semantic", "keyword")]], schema=arrow)
+
+    ranked = top_n(rows.mapInArrow(best, schema), ["query_id"], [F.desc("score"), F.asc(doc_id)],
+                   int(block.limit.max()), "rank", [doc_id])
+    if len(set(block.limit)) > 1:
+        limits = spark.createDataFrame(
+            list(zip(block.ids, [int(x) for x in block.limit])),
+            StructType([schema["query_id"], StructField("__limit", IntegerType())]))
+        ranked = ranked.join(F.broadcast(limits), "query_id").filter(F.col("rank") <= F.col("__limit"))
+    return ranked.select("query_id", "rank", doc_id, "score", "semantic", "keyword")
 
 
 # -- metadata filters -------------------------------------------------------------------

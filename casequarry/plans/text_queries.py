@@ -285,22 +285,23 @@ def category_drilldown(t):
 
 # -- assembly -----------------------------------------------------------------
 
-def order_children(t, part_key: str = "l_partkey"):
+def order_children(t):
     rows = t.lineitem
     return [A.Child("tasks", rows.filter(F.col("l_linestatus") == "O"), "l_orderkey",
-                    {"partkey": F.col("l_partkey")}, F.col("l_linenumber")),
+                    {"partkey": F.col("l_partkey")}, F.col("l_linenumber"), F.col("l_partkey")),
             A.Child("workorders", rows.filter(F.col("l_linestatus") == "F"), "l_orderkey",
                     {"partkey": F.col("l_partkey"), "qty": F.col("l_quantity").cast("int")},
-                    F.col("l_linenumber"))]
+                    F.col("l_linenumber"),
+                    F.concat_ws(":", F.col("l_partkey").cast("string"),
+                                F.col("l_quantity").cast("int").cast("string")))]
 
 
 @query("child_assembly", """
 WITH a AS (SELECT l_orderkey, string_agg(l_partkey, ',' ORDER BY l_linenumber,
-             sha256('{"partkey":' || l_partkey || '}')) AS tasks, count(*) AS n
+             l_partkey::VARCHAR) AS tasks, count(*) AS n
            FROM lineitem WHERE l_linestatus = 'O' GROUP BY 1),
 b AS (SELECT l_orderkey, string_agg(l_partkey || ':' || cast(l_quantity AS INTEGER), ','
-        ORDER BY l_linenumber, sha256('{"partkey":' || l_partkey || ',"qty":'
-          || cast(l_quantity AS INTEGER) || '}')) AS workorders, count(*) AS n
+        ORDER BY l_linenumber, l_partkey || ':' || cast(l_quantity AS INTEGER)) AS workorders, count(*) AS n
       FROM lineitem WHERE l_linestatus = 'F' GROUP BY 1)
 SELECT o_orderkey, coalesce(tasks, '') AS tasks, coalesce(workorders, '') AS workorders,
   coalesce(a.n, 0) AS tasks_count, coalesce(b.n, 0) AS workorders_count

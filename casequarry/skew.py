@@ -133,3 +133,12 @@ def small_side(df: DataFrame, limit: int = 200_000) -> DataFrame:
     rows proves it small, else left to a shuffle join."""
     kept = cut(df)
     return F.broadcast(kept) if kept.limit(limit + 1).count() <= limit else kept
+
+
+def spread(scan: DataFrame) -> DataFrame:
+    """A plain table scan with at least one partition per core. A large table
+    has many and is left alone; a small one in a single file, which would run
+    a costly expression on a single core, is dealt out."""
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    parts = scan._jdf.queryExecution().toRdd().getNumPartitions()
+    return scan if parts >= cores else scan.repartition(cores)
