@@ -70,8 +70,8 @@ def category_path_every_level(c: Column, codes: Mapping[str, str] = CATEGORY_COD
 
 
 def seconds(c: Column) -> Column:
-    """Seconds since the epoch, fractions kept."""
-    return F.unix_micros(c.cast("timestamp")) / 1e6
+    """Seconds since the epoch, fractions kept; unreadable text counts as null."""
+    return F.unix_micros(c.try_cast("timestamp")) / 1e6
 
 
 def resolution_hours(created: Column, closed: Column) -> Column:
@@ -80,7 +80,8 @@ def resolution_hours(created: Column, closed: Column) -> Column:
 
 
 def resolution_bucket(created: Column, closed: Column) -> Column:
-    hours = (seconds(closed) - seconds(created)) / 3600
+    created, closed = seconds(created), seconds(closed)
+    hours = (closed - created) / 3600
     return (F.when(created.isNull(), "Unknown").when(closed.isNull(), "Open")
             .when(hours < 0, "Invalid").when(hours < 4, "0-4 hours").when(hours < 24, "4-24 hours")
             .when(hours < 168, "1-7 days").otherwise(">7 days"))
@@ -94,6 +95,7 @@ def resolution_bucket_closed(created: Column, closed: Column) -> Column:
 
 
 def quarter_label(created: Column) -> Column:
+    created = created.try_cast("timestamp")
     label = F.concat(F.lit("Q"), F.quarter(created), F.lit(" "), F.year(created))
     return F.when(created.isNull(), "Unknown").otherwise(label)
 
@@ -119,8 +121,8 @@ def enrich(cases: DataFrame, now: Column) -> DataFrame:
         resolution_hours(created, closed).alias("resolutionTimeHours"),
         resolution_bucket(created, closed).alias("resolutionTimeBucket"),
         quarter_label(created).alias("quarter"),
-        F.year(created).alias("year"),
-        F.month(created).alias("month"),
+        F.year(created.try_cast("timestamp")).alias("year"),
+        F.month(created.try_cast("timestamp")).alias("month"),
         case_age_days(created, now).alias("ageInDays"),
         F.lit(EMBEDDING_MODEL).alias("embeddingModel"),
         F.lit(EMBEDDING_VERSION).alias("embeddingVersion"),

@@ -295,11 +295,12 @@ def deobfuscate(text: Column) -> Column:
     return F.regexp_replace(plain, r"\[\.\]", ".")
 
 
-KEYPAD = ("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "22233344455566677778889999")
+# Telephone keypad; the separators at the end map to nothing.
+KEYPAD = ("ABCDEFGHIJKLMNOPQRSTUVWXYZ-.", "22233344455566677778889999")
 
 
 def phone_letters(text: Column) -> Column:
-    """Letters inside a dialled number (1-800-CALL-ABC) become digits."""
+    """A dialled number with letters (1-800-CALL-ABC) becomes plain digits."""
     pattern = r"\b1[-.]800[-.][A-Z0-9]{3,4}[-.]?[A-Z0-9]{3,4}\b"
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     return F.aggregate(found, text, lambda acc, f: F.replace(acc, f, F.translate(f, *KEYPAD)))

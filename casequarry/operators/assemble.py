@@ -145,7 +145,7 @@ def presence(expected: DataFrame, stored: DataFrame, key: str) -> DataFrame:
     return flagged.agg(
         F.count("*").alias("total_expected"), F.count("__found").alias("found"),
         F.count_if(F.col("__found").isNull()).alias("missing"),
-        (F.count("__found") / F.count("*")).alias("success_rate"))
+        F.try_divide(F.count("__found"), F.count("*")).alias("success_rate"))
 
 
 def missing_ids(expected: DataFrame, stored: DataFrame, key: str) -> DataFrame:
@@ -300,7 +300,8 @@ def composite_texts(cases: DataFrame, case_id: str, children: Sequence[Child],
 
     return (merged.groupBy("id")
             .agg(F.first("total").alias("full_length"), F.collect_list(front).alias("h"),
-                 F.collect_list(back).alias("t"))
+                 F.collect_list(back).alias("t"), F.min("section").alias("s"))
+            .filter(F.col("s") == 0)  # the header; children without a case have none
             .select(
                 F.col("id").alias(case_id), "full_length",
                 (F.col("full_length") > limit).alias("was_truncated"),

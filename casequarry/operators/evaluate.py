@@ -36,7 +36,7 @@ def recall_per_query(relevant: DataFrame, totals: DataFrame, k: int = 10) -> Dat
     relevant rows (column ``total``)."""
     hits = relevant.filter(F.col("rank") <= k).groupBy("query_id").agg(F.count("*").alias("hits"))
     return totals.join(hits, "query_id", "left").select(
-        "query_id", (F.coalesce("hits", F.lit(0)) / F.col("total")).alias("recall"))
+        "query_id", F.coalesce(F.try_divide(F.coalesce("hits", F.lit(0)), F.col("total")), F.lit(0.0)).alias("recall"))
 
 
 def rating_metrics(ratings: DataFrame, column: str = "ratings") -> DataFrame:
@@ -110,7 +110,7 @@ def tune(corpus: DataFrame, queries: DataFrame, judge: Callable[[DataFrame], Dat
     grid = corpus.sparkSession.createDataFrame(
         [(float(a), float(x)) for a in alphas for x in thresholds], "alpha double, threshold double")
     return grid.join(hits, ["alpha", "threshold"], "left").select(
-        "alpha", "threshold", (F.coalesce("hits", F.lit(0)) / (number * k)).alias("precision_at_k"))
+        "alpha", "threshold", F.try_divide(F.coalesce("hits", F.lit(0)), number * k).alias("precision_at_k"))
 
 
 def best_setting(grid: DataFrame) -> DataFrame:
@@ -141,7 +141,7 @@ def regression_board(weekly: DataFrame) -> DataFrame:
         "week", "test_id", "metric", "value", status.alias("status"))
     before = F.lag("value").over(Window.partitionBy("metric").orderBy("week"))
     lower_is_better = F.col("metric").isin("latency_p95", "pii_leaks")
-    change = (F.col("value") - F.col("before")) / F.col("before")
+    change = F.try_divide(F.col("value") - F.col("before"), F.col("before"))
     worse = F.when(lower_is_better, change > 0.05).otherwise(change < -0.05)
     drift = weekly.withColumn("before", before).select(
         "week", F.lit("RT004").alias("test_id"), "metric", "value",
@@ -200,8 +200,10 @@ def two_sample(df: DataFrame, group: str, value: str) -> DataFrame:
         of("A", F.avg).alias("mean_a"), of("B", F.avg).alias("mean_b"),
         of("A", F.var_samp).alias("var_a"), of("B", F.var_samp).alias("var_b"))
     freedom = F.col("n_a") + F.col("n_b") - 2
-    pooled = ((F.col("n_a") - 1) * F.col("var_a") + (F.col("n_b") - 1) * F.col("var_b")) / freedom
-    t = (F.col("mean_a") - F.col("mean_b")) / F.sqrt(pooled * (1 / F.col("n_a") + 1 / F.col("n_b")))
+    spread = (F.col("n_a") - 1) * F.col("var_a") + (F.col("n_b") - 1) * F.col("var_b")
+    shares = F.try_divide(F.lit(1.0), F.col("n_a")) + F.try_divide(F.lit(1.0), F.col("n_b"))
+    error = F.sqrt(F.try_divide(spread, freedom) * shares)
+    t = F.try_divide(F.col("mean_a") - F.col("mean_b"), error)
     return one.select("n_a", "n_b", "mean_a", "mean_b", t.alias("t"),
                       freedom.cast("double").alias("freedom"))
 
@@ -212,11 +214,11 @@ def ab_decision(latency: DataFrame, precision: DataFrame | None = None) -> DataF
     out = latency.select(
         F.col("n_a").alias("variant_a_queries"), F.col("n_b").alias("variant_b_queries"),
         a.alias("variant_a_avg_latency"), b.alias("variant_b_avg_latency"),
-        ((a - b) / a).alias("latency_improvement"), t_p_value("t", "freedom").alias("latency_p_value"))
+        F.try_divide(a - b, a).alias("latency_improvement"), t_p_value("t", "freedom").alias("latency_p_value"))
     if precision is None:
         gain, p = F.lit(None).cast("double"), F.lit(None).cast("double")
     else:
-        one = precision.select(F.struct(((b - a) / a).alias("g"),
+        one = precision.select(F.struct(F.try_divide(b - a, a).alias("g"),
                                         t_p_value("t", "freedom").alias("p"))).scalar()
         out = out.withColumn("__p", one)
         gain, p = F.col("__p.g"), F.col("__p.p")
@@ -258,8 +260,8 @@ def throughput(df: DataFrame, latency: str, at: str) -> DataFrame:
     """Queries per second, by summed latency and by wall time."""
     span = F.unix_micros(F.max(at).cast("timestamp")) - F.unix_micros(F.min(at).cast("timestamp"))
     return df.agg(F.count("*").alias("queries"),
-                  (F.count("*") / F.sum(latency)).alias("per_latency_second"),
-                  (F.count("*") / (span / 1e6)).alias("per_wall_second"))
+                  F.try_divide(F.count("*"), F.sum(latency)).alias("per_latency_second"),
+                  F.try_divide(F.count("*"), span / 1e6).alias("per_wall_second"))
 
 
 def click_through(searches: DataFrame, feedback: DataFrame, key: str) -> DataFrame:
@@ -269,7 +271,7 @@ def click_through(searches: DataFrame, feedback: DataFrame, key: str) -> DataFra
         F.count("rating").alias("n"))
     return searches.join(per_search, key, "left").agg(
         F.count("*").alias("searches"), F.avg(F.coalesce("c", F.lit(0))).alias("click_through_rate"),
-        (F.sum("s") / F.sum("n")).alias("mean_rating"))
+        F.try_divide(F.sum("s"), F.sum("n")).alias("mean_rating"))
 
 
 def golden_queries(cases: DataFrame, key: str, title: str, number: str, product: str, category: str,

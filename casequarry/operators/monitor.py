@@ -95,8 +95,8 @@ def histogram_quantile(buckets: DataFrame, q: float, labels: Sequence[str] = ())
     rank = F.col("total") * q
     hit = rows.filter((F.col("n") >= rank) & ((F.col("below") < rank) | (F.col("lower") == 0.0)))
     first = hit.groupBy(*labels).agg(F.min_by(F.struct("le", "lower", "below", "n", "total"), "le").alias("r"))
-    inside = F.col("r.lower") + (F.col("r.le") - F.col("r.lower")) * (
-        F.col("r.total") * q - F.col("r.below")) / (F.col("r.n") - F.col("r.below"))
+    share = F.try_divide(F.col("r.total") * q - F.col("r.below"), F.col("r.n") - F.col("r.below"))
+    inside = F.col("r.lower") + (F.col("r.le") - F.col("r.lower")) * F.coalesce(share, F.lit(0.0))
     return first.select(*labels, F.when(F.col("r.le") == float("inf"), F.col("r.lower")).otherwise(inside)
                         .alias("quantile"))
 
@@ -162,7 +162,8 @@ def spikes(windows: DataFrame, start: str, value: str, labels: Sequence[str] = (
            ) -> DataFrame:
     """Window rows that exceed the one before by more than ``above``."""
     order = Window.partitionBy(*labels).orderBy(start) if labels else Window.orderBy(start)
-    change = (F.col(value) - F.lag(value).over(order)) / F.lag(value).over(order)
+    before = F.lag(value).over(order)
+    change = F.try_divide(F.col(value) - before, before)
     return windows.withColumn("change", change).filter(F.col("change") > above)
 
 

@@ -54,7 +54,7 @@ def orphans(child: DataFrame, key: str, parents: DataFrame, parent_key: str) ->
 def completeness(df: DataFrame, columns: Sequence[str], critical: Sequence[str] = (),
                  floor: float = 0.95) -> DataFrame:
     """Populated share per column and PASS / FAIL for the critical ones."""
-    rate = 1 - F.col("nulls") / F.col("rows")
+    rate = 1 - F.coalesce(F.try_divide("nulls", "rows"), F.lit(1.0))
     return null_counts(df, columns).select(
         "field", rate.alias("populated"),
         F.when(~F.col("field").isin(*critical) if critical else F.lit(True), "INFO")

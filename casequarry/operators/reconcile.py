@@ -89,7 +89,7 @@ def layer_gaps(layers: DataFrame) -> DataFrame:
     against the layer before."""
     before = F.lag("n").over(Window.orderBy("position"))  # as many rows as layers
     return layers.select("position", "layer", "n", F.coalesce(before - F.col("n"), F.lit(0)).alias("gap"),
-                         F.coalesce(F.col("n") / before, F.lit(1.0)).alias("rate"))
+                         F.coalesce(F.try_divide(F.col("n"), before), F.lit(1.0)).alias("rate"))
 
 
 def run_summary(run_id: str, run_type: str, start: Column, end: Column, source: DataFrame,
@@ -185,7 +185,7 @@ def content_integrity(staged: DataFrame, stored: DataFrame, key: str, text: str,
     bad = F.col("__there").isNull() | ~same | F.coalesce(F.col("__leak"), F.lit(False))
     return rows.join(there, key, "left").agg(
         F.count("*").alias("sample_size"), F.count_if(bad).alias("corrupted_count")).withColumn(
-        "corruption_rate", F.col("corrupted_count") / F.col("sample_size"))
+        "corruption_rate", F.try_divide("corrupted_count", "sample_size"))
 
 
 def weekly_issues(count_findings: DataFrame, integrity: DataFrame, vectors: DataFrame, vector: str,

@@ -36,7 +36,7 @@ def stratified(df: DataFrame, strata: Sequence[str], key: str, n: int, seed: int
 def equal_caps(df: DataFrame, stratum: str, key: str, n: int, seed: int = 42) -> DataFrame:
     """The same cap for each value: ``n`` divided by the number of values."""
     values = df.agg(F.countDistinct(stratum)).scalar()
-    hashed = df.withColumn("__h", sample_key(key, seed)).withColumn("__cap", F.floor(F.lit(n) / values))
+    hashed = df.withColumn("__h", sample_key(key, seed)).withColumn("__cap", F.floor(F.try_divide(F.lit(n), values)))
     rows = top_n(hashed, [stratum], [F.asc("__h"), F.asc(key)], F.col("__cap"), "__rank", ["__h"])
     return rows.orderBy(stratum, "__h", key).limit(n).drop("__h", "__cap", "__rank")
 

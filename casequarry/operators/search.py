@@ -48,7 +48,7 @@ def term_statistics(corpus: DataFrame, text: str, terms: Sequence[str]) -> DataF
 def bm25(tokens: Column, terms: Sequence[str], stats: Column) -> Column:
     """Score of one token array; ``stats`` is the struct of term_statistics."""
     length = F.size(tokens)
-    norm = K1 * (1 - B + B * length / stats["avgdl"])
+    norm = K1 * (1 - B + B * F.coalesce(F.try_divide(length, stats["avgdl"]), F.lit(0.0)))
     total = F.lit(0.0)
     for i, word in enumerate(terms):
         df = F.get(stats["df"], F.lit(i))
