@@ -125,8 +125,8 @@ def sustained(windows: DataFrame, start: str, bad: Column, step_seconds: int, le
 
 
 def sessions(events: DataFrame, at: str, gap_seconds: int, labels: Sequence[str] = ()) -> DataFrame:
-    """Periods of activity with pauses shorter than the gap: start, last event,
-    count.
+    """Periods of activity whose pauses do not exceed the gap: start, last
+    event, count.
 
     Events are first reduced to one row per label and time slot no longer than
     the gap (two events of a slot are always in one period), with map-side
@@ -136,7 +136,7 @@ def sessions(events: DataFrame, at: str, gap_seconds: int, labels: Sequence[str]
     slots = events.groupBy(*labels, F.floor(micros / (gap_seconds * 1_000_000)).alias("__slot")).agg(
         F.min(micros).alias("__from"), F.max(micros).alias("__to"), F.count("*").alias("__n"))
     order = Window.partitionBy(*labels).orderBy("__slot") if labels else Window.orderBy("__slot")
-    new = F.col("__from") - F.lag("__to").over(order) >= gap_seconds * 1_000_000
+    new = F.col("__from") - F.lag("__to").over(order) > gap_seconds * 1_000_000
     return (slots.withColumn("__new", F.when(F.coalesce(new, F.lit(True)), 1).otherwise(0))
             .withColumn("__session", F.sum("__new").over(order))
             .groupBy(*labels, "__session")

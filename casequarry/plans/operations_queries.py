@@ -299,7 +299,7 @@ def alert_rules(t):
 
 
 OUTAGE_SQL = """
-e AS (SELECT ts, CASE WHEN lag(ts) OVER (ORDER BY ts) IS NULL OR epoch_us(ts) - epoch_us(lag(ts) OVER (ORDER BY ts)) >= 1800 * 1000000
+e AS (SELECT ts, CASE WHEN lag(ts) OVER (ORDER BY ts) IS NULL OR epoch_us(ts) - epoch_us(lag(ts) OVER (ORDER BY ts)) > 1800 * 1000000
   THEN 1 ELSE 0 END AS fresh FROM events WHERE event_type = 'error'),
 s AS (SELECT ts, sum(fresh) OVER (ORDER BY ts ROWS UNBOUNDED PRECEDING) AS g FROM e),
 o AS (SELECT min(ts) AS start, max(ts) AS last, count(*) AS events FROM s GROUP BY g)"""
@@ -319,7 +319,7 @@ def outage_sessions(t):
 
 
 @query("outage_sessions_by_user", """
-WITH e AS (SELECT user_id, ts, CASE WHEN lag(ts) OVER w IS NULL OR epoch_us(ts) - epoch_us(lag(ts) OVER w) >= 7200 * 1000000::BIGINT
+WITH e AS (SELECT user_id, ts, CASE WHEN lag(ts) OVER w IS NULL OR epoch_us(ts) - epoch_us(lag(ts) OVER w) > 7200 * 1000000::BIGINT
   THEN 1 ELSE 0 END AS fresh FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts)),
 s AS (SELECT user_id, ts, sum(fresh) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS g FROM e)
 SELECT user_id, strftime(min(ts), '%Y-%m-%d %H:%M:%S.%f') AS start, count(*) AS events FROM s GROUP BY user_id, g""")

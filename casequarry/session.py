@@ -41,8 +41,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     is lost with its machine.
     """
     context = spark.sparkContext
-    configured = context.getConf().get("spark.checkpoint.dir") or spark.conf.get(
-        "spark.checkpoint.dir", None)
+    configured = (context.getConf().get("spark.checkpoint.dir")
+                  or spark.conf.get("spark.checkpoint.dir", None))
     if configured:
         if context.getCheckpointDir() is None:
             context.setCheckpointDir(configured)

@@ -38,11 +38,12 @@ def read_envelopes(spark: SparkSession, paths: str | Sequence[str], schema: Stru
     return rows.select(*kept)
 
 
-def unreadable(spark: SparkSession, paths: str | Sequence[str], schema: StructType,
-               lines: bool = False) -> DataFrame:
-    """Path and text of every document that is not JSON."""
-    return (_raw(spark, paths, schema, lines).filter(F.col("_corrupt_record").isNotNull())
-            .select("_path", "_corrupt_record"))
+def unreadable(spark: SparkSession, paths: str | Sequence[str], lines: bool = False) -> DataFrame:
+    """Path and text of every document, or line, that is not JSON."""
+    text = spark.read.option("wholetext", not lines).text(
+        paths if isinstance(paths, str) else list(paths))
+    return text.select(F.input_file_name().alias("path"), F.col("value").alias("document")).filter(
+        F.try_parse_json("document").isNull())
 
 
 def _raw(spark: SparkSession, paths, schema: StructType, lines: bool) -> DataFrame:

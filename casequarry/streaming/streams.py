@@ -49,9 +49,10 @@ def sustained_alerts(windows: DataFrame, label: str, start: str, bad: str, step_
                      least: int) -> DataFrame:
     """Fires once when a label has been bad for ``least`` windows in a row.
 
-    ``windows`` is a stream of closed windows. State per label: the end of the
-    current run and its length. Windows of a label may arrive in any order
-    within a batch; they are walked by time.
+    ``windows`` streams closed windows from the table an append query of
+    ``error_rate`` or its like writes: one query takes no grouped state after
+    an aggregation. State per label is the last window and the length of the
+    run; a batch's windows are walked by time.
     """
     out = StructType([StructField(label, StringType()), StructField("fired_at", TimestampType()),
                       StructField("windows", LongType())])

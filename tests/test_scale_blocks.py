@@ -11,6 +11,7 @@ from casequarry import skew
 from casequarry.operators import monitor as M
 from casequarry.operators import reconcile as J
 from casequarry.operators import sampling as S
+from casequarry.session import checkpoint_dir
 
 
 @pytest.fixture(scope="module")
@@ -113,10 +114,31 @@ def test_compare_stores(spark):
     assert got == {1: "MATCH", 2: "STALE", 3: "SOURCE_NEWER", 4: "CORRUPT", 5: "MISSING", 9: "ORPHANED"}
 
 
-def test_checkpoint_setting_wins(spark, tmp_path):
-    from casequarry.session import checkpoint_dir
-    spark.conf.set("spark.checkpoint.dir", str(tmp_path))
-    try:
-        assert checkpoint_dir(spark) == str(tmp_path)
-    finally:
-        spark.conf.unset("spark.checkpoint.dir")
+class FakeContext:
+    """Just the calls checkpoint_dir makes."""
+
+    def __init__(self, master, setting):
+        self.master, self.setting, self.folder = master, setting, None
+
+    def getConf(self):
+        return {"spark.checkpoint.dir": self.setting}
+
+    def getCheckpointDir(self):
+        return self.folder
+
+    def setCheckpointDir(self, folder):
+        self.folder = folder
+
+
+class FakeSession:
+    def __init__(self, master, setting):
+        self.sparkContext = FakeContext(master, setting)
+        self.conf = {}
+
+
+def test_checkpoint_folder_is_the_clusters():
+    session = FakeSession("spark://host", "hdfs://shared/ckpt")
+    assert checkpoint_dir(session) == session.sparkContext.folder == "hdfs://shared/ckpt"
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        checkpoint_dir(FakeSession("spark://host", None))
+    assert "casequarry-ckpt" in checkpoint_dir(FakeSession("local[2]", None))

@@ -45,7 +45,7 @@ def test_unreadable_document(spark, tmp_path):
     with pytest.raises(Exception, match="unreadable JSON"):
         exports.read_envelopes(spark, path, S.TABLES["case"]).collect()
     assert exports.read_envelopes(spark, path, S.TABLES["case"], strict=False).count() == 0
-    assert exports.unreadable(spark, path, S.TABLES["case"]).count() == 1
+    assert exports.unreadable(spark, path).count() == 1
 
 
 def test_json_lines(spark, tmp_path):

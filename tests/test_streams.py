@@ -84,7 +84,12 @@ def test_sustained_alert_stream(spark, tmp_path):
     stream, batch = source(spark, tmp_path)
     bad = F.col("kind") == "error"
     ratio = K.error_rate(stream.withColumn("label", F.lit("all")), "at", "2 minutes", bad, ["label"])
-    flagged = ratio.withColumn("bad", F.col("ratio") > 0.5)
+    table = str(tmp_path / "windows")
+    first = (ratio.writeStream.format("parquet").option("path", table).outputMode("append")
+             .option("checkpointLocation", str(tmp_path / "cp_windows")).trigger(availableNow=True).start())
+    first.awaitTermination(120)
+    closed = spark.readStream.schema(spark.read.parquet(table).schema).parquet(table)
+    flagged = closed.withColumn("bad", F.col("ratio") > 0.5)
     got = run(K.sustained_alerts(flagged, "label", "start", "bad", 120, 3), tmp_path, "alerts")
     windows = M.window_ratio(batch, "at", "2 minutes", bad)
     runs = M.sustained(windows, "start", F.col("ratio") > 0.5, 120, 3).collect()
