@@ -31,8 +31,10 @@ def hand_off(df: DataFrame, folder: str, run_id: str) -> DataFrame:
 
 def backfill(df: DataFrame, folder: str, day_of: Column) -> DataFrame:
     """All days in one job. Only days present in ``df`` are replaced, so a
-    re-run of some days leaves the others. Returns rows per written day."""
-    df.withColumn("day", F.to_date(day_of)).write.mode("overwrite").option(
+    re-run of some days leaves the others. Rebalancing keeps the files of a day
+    together and splits a day that is much larger than the rest. Returns rows
+    per written day."""
+    df.withColumn("day", F.to_date(day_of)).hint("rebalance", F.col("day")).write.mode("overwrite").option(
         "partitionOverwriteMode", "dynamic").partitionBy("day").parquet(folder)
     return df.groupBy(F.to_date(day_of).alias("day")).agg(F.count("*").alias("rows"))
 
