@@ -105,10 +105,12 @@ COVERAGE_FLOORS = {"tasks": 0.70, "workorders": 0.70, "casecomments": 0.50}
 
 
 def coverage_flags(coverage: DataFrame, floors: dict[str, float] = COVERAGE_FLOORS) -> DataFrame:
-    """One row per table: coverage, floor and whether it is too low."""
+    """One row per table: coverage, mean children, floor, and whether it is too
+    low."""
     rows = F.explode(F.array(*[
         F.struct(F.lit(n).alias("table"), F.col(f"{n}_coverage").alias("coverage"),
-                 F.lit(float(v)).alias("floor")) for n, v in floors.items()]))
+                 F.col(f"avg_{n}").alias("mean_children"), F.lit(float(v)).alias("floor"))
+        for n, v in floors.items()]))
     return coverage.select(rows.alias("r")).select("r.*").withColumn(
         "low", F.col("coverage") < F.col("floor"))
 

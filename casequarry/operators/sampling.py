@@ -14,22 +14,22 @@ def sample_key(key: str, seed: int = 42) -> Column:
     return F.md5(F.concat_ws(":", F.col(key).cast("string"), F.lit(str(seed))))
 
 
-def lowest(df: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame:
-    """A subset that holds the ``n`` rows with the lowest hashes.
+def is_low(df: DataFrame, key: str, n: int, seed: int = 42) -> Column:
+    """True for the ``n`` rows of ``df`` with the lowest hashes and some more.
 
     Hashes are uniform, so those rows lie below a bound that follows from the
-    row count. The bound leaves room for 2 n + 1000 rows, which at least n
-    rows miss with a chance under 1e-100; a small table is taken whole. Without
-    it every task would send n rows to the final merge.
+    row count. The bound leaves room for 2 n + 1000 rows; that fewer than n
+    fall below it has a chance under 1e-100, and a small table passes whole.
+    Without it every task would send n rows to the final merge.
     """
     total = df.agg(F.count("*")).scalar()
     share = F.conv(F.substring(sample_key(key, seed), 1, 12), 16, 10).cast("double") / float(16 ** 12)
-    return df.filter(share * total <= F.lit(2.0 * n + 1000))
+    return share * total <= F.lit(2.0 * n + 1000)
 
 
 def random_rows(df: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame:
     """``n`` rows; a distributed top-n, no full sort."""
-    return lowest(df, key, n, seed).orderBy(sample_key(key, seed), key).limit(n)
+    return df.filter(is_low(df, key, n, seed)).orderBy(sample_key(key, seed), key).limit(n)
 
 
 def capped(df: DataFrame, strata: Sequence[str], key: str, cap: int, seed: int = 42) -> DataFrame:
@@ -57,10 +57,11 @@ def equal_caps(df: DataFrame, stratum: str, key: str, n: int, seed: int = 42) ->
 def trim_or_fill(chosen: DataFrame, pool: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame:
     """Exactly ``n`` rows where the pool has them: chosen rows first, then
     others, each in hash order."""
-    keys = chosen.select(key)
-    taken = pool.join(keys, key, "left_semi").withColumn("__chosen", F.lit(0))
-    rest = lowest(pool.join(keys, key, "left_anti"), key, n, seed).withColumn("__chosen", F.lit(1))
-    return taken.unionByName(rest).orderBy("__chosen", sample_key(key, seed), key).limit(n).drop("__chosen")
+    picked = chosen.select(key).withColumn("__chosen", F.lit(0))
+    tagged = pool.join(picked, key, "left").withColumn("__chosen", F.coalesce("__chosen", F.lit(1)))
+    # The low rows alone number at least n, chosen ones among them or not.
+    near = tagged.filter((F.col("__chosen") == 0) | is_low(pool, key, n, seed))
+    return near.orderBy("__chosen", sample_key(key, seed), key).limit(n).drop("__chosen")
 
 
 def proportional(df: DataFrame, stratum: str, key: str, n: int, seed: int = 42) -> DataFrame:

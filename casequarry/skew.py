@@ -76,7 +76,9 @@ def exact_percentiles(df: DataFrame, keys: Sequence[str], value: str,
     keys = list(keys) or ["__all"]
     source = df.filter(F.col(value).isNotNull())
     if keys == ["__all"]:
-        source = source.withColumn("__all", F.lit(1))
+        # Always 1, but not a constant to the optimizer: a constant key would
+        # turn the joins below into cross joins.
+        source = source.withColumn("__all", F.signum(F.abs(F.col(value).cast("double")) + 1))
     source = source.select(*keys, F.col(value).cast("double").alias("__v")).withColumn(
         "__s", F.signum("__v") * F.log1p(F.abs("__v")))
     bounds = source.groupBy(*keys).agg(
