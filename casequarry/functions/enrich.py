@@ -25,10 +25,15 @@ FAMILIES = [
     ("Edgeline.*", "Edgeline"),
     ("Cloudline.*", "Cloudline"),
 ]
+FAMILIES_EIGHT = [
+    ("ProLiant.*", "ProLiant"), ("Synergy.*", "Synergy"), ("Apollo.*", "Apollo"),
+    ("Aruba.*Switch.*", "Aruba Switches"), ("Aruba.*AP.*", "Aruba Access Points"),
+    ("3PAR.*", "3PAR Storage"), ("Nimble.*", "Nimble Storage"), ("SimpliVity.*", "SimpliVity")]
 FAMILIES_SHORT = [("ProLiant", "ProLiant"), ("Synergy", "Synergy"), ("SimpliVity", "SimpliVity"),
                   ("Aruba", "Aruba"), ("Primera", "Primera"), ("Nimble", "Nimble")]
 CATEGORY_CODES = {"HW": "Hardware", "SW": "Software", "NW": "Networking", "FW": "Firmware",
                   "OS": "Operating System", "APP": "Application", "SEC": "Security"}
+CATEGORY_CODES_FOUR = {"HW": "Hardware", "SW": "Software", "NW": "Networking", "FW": "Firmware"}
 CATEGORY_CODES_SHORT = {"HW": "Hardware", "SW": "Software", "NET": "Network", "STOR": "Storage"}
 EMBEDDING_MODEL = "text-embedding-3-large"
 EMBEDDING_VERSION = "v1.0"
@@ -63,6 +68,15 @@ def category_levels(c: Column, codes: Mapping[str, str] = CATEGORY_CODES) -> Col
         F.lit("Uncategorized").alias("path"))).otherwise(known)
 
 
+def category_full_path(c: Column, codes: Mapping[str, str] = CATEGORY_CODES_FOUR) -> Column:
+    """The variant whose path keeps all parts, however many; the first one is
+    looked up as written."""
+    parts = F.transform(F.split(c, "-", -1), lambda p: F.trim(p))
+    first = F.get(parts, F.lit(0))
+    named = F.coalesce(F.try_element_at(code_map(codes), first), first)
+    return F.concat_ws(" > ", named, F.slice(parts, F.lit(2), F.size(parts)))
+
+
 def category_path_every_level(c: Column, codes: Mapping[str, str] = CATEGORY_CODES_SHORT) -> Column:
     """The variant that splits on ``' - '`` and looks up every level."""
     return F.array_join(F.transform(

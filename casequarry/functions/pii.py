@@ -241,6 +241,14 @@ def detect(df: DataFrame, text: str, table: str | None = None, out: str = "pii",
     return found.withColumn(out, merge_spans(F.col(out), merge))
 
 
+def detection_rows(df: DataFrame, key: str, text: str, table: str | None = None,
+                   rules: Sequence[Rule] = STAGED, merge: str = "reference",
+                   classes: str = "unicode") -> DataFrame:
+    """One row per merged detection, the table-function form."""
+    found = detect(df, text, table, "__pii", rules, merge, classes)
+    return found.select(key, F.inline(detections(F.col("__pii"))))
+
+
 def redact(df: DataFrame, texts: Sequence[str], table: str | None = None,
            tokens: Mapping[str, str] | None = None, rules: Sequence[Rule] = STAGED,
            merge: str = "reference", classes: str = "unicode", keep_spans: bool = False) -> DataFrame:

@@ -312,6 +312,32 @@ def composite_texts(cases: DataFrame, case_id: str, children: Sequence[Child],
                     F.right(joined("t"), F.lit(tail_chars))), F.lit(limit))).alias("compositeText")))
 
 
+# Words that mark the sections of a composite text.
+SECTION_WORDS = ["ISSUE", "RESOLUTION", "ENVIRONMENT", "TASKS", "WORK ORDERS", "COMMENTS",
+                 "SERVICE NOTES", "EMAILS"]
+
+
+def composite_checks(text: Column, tasks: Column, workorders: Column) -> Column:
+    """Structure of a composite text: number of sections, how many of them
+    hold each section word, and the readiness rules that fail."""
+    sections = F.transform(F.split(text, r"\n\n", -1), lambda s: F.upper(s))
+    words = F.create_map(*[x for w in SECTION_WORDS for x in (
+        F.lit(w), F.size(F.filter(sections, _has(w))))])
+    upper = F.upper(text)
+    rules = [(F.length(text) > 0, "not empty"), (F.length(text) <= T.MAX_CHARS, "within limit"),
+             (F.contains(upper, F.lit("ISSUE")) | F.contains(text, F.lit("Description")), "issue present"),
+             (F.contains(upper, F.lit("RESOLUTION")), "resolution present"),
+             ((tasks > 0) | (workorders > 0), "children attached")]
+    failed = F.array_compact(F.array(*[
+        F.when(~F.coalesce(ok, F.lit(False)), name) for ok, name in rules]))
+    return F.struct(F.size(sections).alias("sections"), words.alias("words"), failed.alias("failed"),
+                    (F.size(failed) == 0).alias("ready"))
+
+
+def _has(word: str):
+    return lambda section: F.contains(section, F.lit(word))
+
+
 def labelled_text(columns: Sequence[str]) -> Column:
     """The eight-section labelled template with numbered children; e-mails are
     the first three, bodies cut to 500 characters. Untruncated."""

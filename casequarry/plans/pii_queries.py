@@ -71,6 +71,13 @@ merged AS (
   SELECT doc_id, type, stage, confidence, start, stop FROM walk
   QUALIFY n = max(n) OVER (PARTITION BY doc_id))"""
 
+# The safe merge: an overlap grows the span and keeps the better label.
+SQL_COVER = SQL_MERGE.replace(
+    "CASE WHEN keep THEN w.start ELSE r.start END,",
+    "CASE WHEN r.start < w.stop THEN w.start ELSE r.start END,").replace(
+    "CASE WHEN keep THEN w.stop ELSE r.stop END,",
+    "CASE WHEN r.start < w.stop THEN greatest(w.stop, r.stop) ELSE r.stop END,")
+
 DOCS_SQL = f"docs AS (SELECT *, {TABLE_SQL} AS \"table\" FROM documents)"
 TOKEN_SQL = "CASE type " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in TOKENS.items()) + " ELSE '[REDACTED]' END"
 
@@ -90,9 +97,7 @@ def pii_counts_by_type(t):
 WITH RECURSIVE {DOCS_SQL}, {sql_hits(STAGED)}, {SQL_MERGE}
 SELECT doc_id, type, stage, confidence, start, stop AS "end" FROM merged""")
 def pii_merged_spans(t):
-    found = pii.detect(with_table(t), "text", "table", classes=ASCII)
-    return found.select("doc_id", F.explode(pii.detections(F.col("pii"))).alias("s")).select(
-        "doc_id", "s.type", "s.stage", "s.confidence", "s.start", "s.end")
+    return pii.detection_rows(with_table(t), "doc_id", "text", "table", classes=ASCII).drop("text")
 
 
 @query("pii_redacted_ascii", f"""
@@ -124,6 +129,20 @@ def pii_redacted_cover(t):
         "doc_id", "pii_count", "pii_removed", "text")
 
 
+@query("pii_cover_ascii", f"""
+WITH RECURSIVE {DOCS_SQL}, {sql_hits(STAGED)}, {SQL_COVER},
+gaps AS (SELECT doc_id, type, start, stop,
+  coalesce(lag(stop) OVER (PARTITION BY doc_id ORDER BY start), 0) AS before FROM merged),
+built AS (SELECT g.doc_id, string_agg(substr(text, before + 1, start - before) || {TOKEN_SQL}, ''
+    ORDER BY start) || substr(any_value(text), max(stop) + 1) AS clean, count(*) AS n
+  FROM gaps g JOIN documents d ON d.doc_id = g.doc_id GROUP BY 1)
+SELECT d.doc_id, coalesce(n, 0) AS pii_count, md5(coalesce(clean, text)) AS text_md5
+FROM documents d LEFT JOIN built b ON b.doc_id = d.doc_id""")
+def pii_cover_ascii(t):
+    return P.clean_records(with_table(t), ["text"], "table", merge="cover", classes=ASCII).select(
+        "doc_id", "pii_count", F.md5("text").alias("text_md5"))
+
+
 @query("pii_report", f"""
 WITH RECURSIVE {DOCS_SQL}, {sql_hits(STAGED)}, {SQL_MERGE},
 r AS (SELECT doc_id, count(*) AS n, avg(confidence) AS c, count(DISTINCT type) AS k FROM merged GROUP BY 1)

@@ -250,10 +250,24 @@ def hybrid_fallback_stage(t):
     return found.select("query_id", "stage", "rank", "doc_id", F.round("score", 6).alias("score"))
 
 
-@query("hybrid_fallback_score")
+@query("hybrid_fallback_score", f"""
+WITH {HYBRID_SQL},
+ctx AS (SELECT b.item_id, d.source || '/' || d.lang AS p, d.lang AS f FROM benchmark b
+  JOIN documents d ON d.doc_id = b.item_id),
+sg(stage, a, most, bar) AS (VALUES (1, 0.8::DOUBLE, 5, 0.85::DOUBLE), (2, 0.8, 10, 0.75), (3, 0.6, 20, -1.0)),
+c AS (SELECT hy.item_id, hy.doc_id, semantic, sg.stage, a, most, bar, bm.raw FROM hy JOIN ctx USING (item_id)
+  JOIN documents d ON d.doc_id = hy.doc_id LEFT JOIN bm ON bm.item_id = hy.item_id AND bm.doc_id = hy.doc_id, sg
+  WHERE sg.stage = 3 OR (sg.stage = 1 AND source || '/' || lang = p) OR (sg.stage = 2 AND lang = f)),
+s AS (SELECT *, coalesce(raw / max(raw) OVER (PARTITION BY item_id, stage), 0) AS keyword FROM c),
+r AS (SELECT *, round(a * semantic + (1 - a) * keyword, 9) AS score, row_number() OVER (PARTITION BY item_id, stage
+  ORDER BY round(a * semantic + (1 - a) * keyword, 9) DESC, doc_id) AS rank FROM s),
+g AS (SELECT item_id, min(stage) AS stage FROM r WHERE rank = 1 AND score > bar GROUP BY 1)
+SELECT r.item_id AS query_id, r.stage, rank, doc_id, round(score, 6) AS score FROM r JOIN g ON g.item_id = r.item_id
+  AND g.stage = r.stage WHERE rank <= most""")
 def hybrid_fallback_score(t):
     return H.fallback_by_score(staged_corpus(t), staged_queries(t), "doc_id", "text", "embedding",
-                               "product", "family").select("query_id", "stage", "rank", "doc_id", "score")
+                               "product", "family").select(
+        "query_id", "stage", "rank", "doc_id", F.round("score", 6).alias("score"))
 
 
 @query("combined_lists", """

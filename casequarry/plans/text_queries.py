@@ -271,6 +271,20 @@ def case_enrichment(t):
             F.col("resolutionTimeBucket")), "; ").alias("warnings"))
 
 
+@query("category_variants", """
+WITH p AS (SELECT p_partkey, CASE WHEN p_size % 2 = 0 THEN 'HW' ELSE 'NET' END || ' - ' || p_type || ' - ' || p_brand
+  || ' - ' || CASE WHEN p_size % 3 = 0 THEN 'SW' ELSE p_name END AS c, p_size FROM part)
+SELECT p_partkey, CASE WHEN p_size % 2 = 0 THEN 'Hardware' ELSE 'NET' END || ' > '
+    || array_to_string(list_transform(string_split(c, '-')[2:], lambda x: trim(x)), ' > ') AS full_path,
+  array_to_string(list_transform(string_split(c, ' - '), lambda x: CASE x WHEN 'HW' THEN 'Hardware' WHEN 'SW' THEN 'Software'
+    WHEN 'NET' THEN 'Network' WHEN 'STOR' THEN 'Storage' ELSE x END), ' > ') AS mapped_path FROM p""")
+def category_variants(t):
+    raw = F.concat_ws(" - ", F.when(F.col("p_size") % 2 == 0, "HW").otherwise("NET"), "p_type", "p_brand",
+                      F.when(F.col("p_size") % 3 == 0, "SW").otherwise(F.col("p_name")))
+    return t.part.select("p_partkey", E.category_full_path(raw).alias("full_path"),
+                         E.category_path_every_level(raw).alias("mapped_path"))
+
+
 @query("category_drilldown", """
 SELECT p_type AS level1, count(*) AS n,
   count(*) FILTER (WHERE p_type || ' > ' || p_brand || ' > ' || p_name LIKE 'PROMO > Brand#2 > %'
@@ -420,6 +434,22 @@ def composite_case_text(t):
     return A.composite_texts(document_cases(t), "doc_id", document_children(t))
 
 
+@query("composite_checks", """
+WITH u AS (SELECT DISTINCT conv_id FROM conversations WHERE role = 'user'),
+s AS (SELECT doc_id, 2 + CASE WHEN text <> '' THEN 1 ELSE 0 END + CASE WHEN u.conv_id IS NOT NULL THEN 1 ELSE 0 END AS sections,
+  text <> '' AS issue, u.conv_id IS NOT NULL AS child FROM documents LEFT JOIN u ON u.conv_id = doc_id)
+SELECT sections, issue, child, count(*) AS cases FROM s GROUP BY ALL""")
+def composite_checks(t):
+    cases = A.assemble(document_cases(t), "doc_id", document_children(t)[:1])
+    text = A.composite_text(cases.columns)
+    checked = cases.filter(F.col("part") == 0).select(A.composite_checks(
+        text, F.col("casecomments_count"), F.lit(0)).alias("c"))
+    return checked.select(
+        "c.sections", (F.col("c.words")["ISSUE"] > 0).alias("issue"),
+        (~F.array_contains("c.failed", "children attached")).alias("child")).groupBy(
+        "sections", "issue", "child").agg(F.count("*").alias("cases"))
+
+
 @query("composite_structure", f"""
 WITH users AS (SELECT conv_id, count(*) AS n FROM conversations WHERE role = 'user' GROUP BY 1)
 SELECT 3 + (CASE WHEN page_id IS NOT NULL THEN 1 ELSE 0 END)
