@@ -330,9 +330,9 @@ def outage_sessions_by_user(t):
 
 @query("outage_range_join", f"""
 WITH {OUTAGE_SQL}
-SELECT event_type, count(*) AS n FROM events JOIN o ON ts BETWEEN start AND last WHERE events > 3 GROUP BY 1""")
+SELECT event_type, count(*) AS n FROM events JOIN o ON ts BETWEEN start AND last WHERE events > 1 GROUP BY 1""")
 def outage_range_join(t):
-    outages = outage_table(t).filter(F.col("events") > 3).select(
+    outages = outage_table(t).filter(F.col("events") > 1).select(
         F.col("start").cast("timestamp_ntz").alias("start"), F.col("last").cast("timestamp_ntz").alias("last"))
     inside = J.records_in_intervals(t.events, "ts", outages, "start", "last")
     return inside.groupBy("event_type").agg(F.count("*").alias("n"))
@@ -340,10 +340,10 @@ def outage_range_join(t):
 
 @query("reprocess_fallback_rows", f"""
 WITH {OUTAGE_SQL}
-SELECT event_id FROM events JOIN o ON ts BETWEEN start AND last WHERE events > 3 AND event_type = 'purchase'""")
+SELECT event_id FROM events JOIN o ON ts BETWEEN start AND last WHERE events > 1 AND event_type = 'purchase'""")
 def reprocess_fallback_rows(t):
     """Rows made by the fallback provider during an outage, to embed again."""
-    outages = outage_table(t).filter(F.col("events") > 3).select(
+    outages = outage_table(t).filter(F.col("events") > 1).select(
         F.col("start").cast("timestamp_ntz").alias("start"), F.col("last").cast("timestamp_ntz").alias("last"))
     fallback = t.events.filter(F.col("event_type") == "purchase")
     return J.records_in_intervals(fallback, "ts", outages, "start", "last").select("event_id")
