@@ -101,48 +101,71 @@ def histogram_quantile(buckets: DataFrame, q: float, labels: Sequence[str] = ())
                         .alias("quantile"))
 
 
+def _join_at_midnight(runs: DataFrame, day: str, start: str, last: str, follows: Column,
+                      totals: Sequence[str], labels: Sequence[str]) -> DataFrame:
+    """Runs found per day, joined where one goes on into the next day.
+
+    Only the first and the last run of a day can, so the step that orders a
+    label's whole history sees two rows a day; the others pass by. ``follows``
+    tests a row against ``__before``, the end of the run before it.
+    """
+    daily = Window.partitionBy(*labels, day)
+    marked = runs.withColumns({
+        "__first": F.row_number().over(daily.orderBy(start)),
+        "__left": F.row_number().over(daily.orderBy(F.desc(start)))})
+    outer = (F.col("__first") == 1) | (F.col("__left") == 1)
+    order = Window.partitionBy(*labels).orderBy(start) if labels else Window.orderBy(start)
+    edge = (marked.filter(outer).withColumn("__before", F.lag(last).over(order))
+            .withColumn("__run", F.sum(F.when(F.coalesce(follows, F.lit(False)), 0).otherwise(1)).over(order)))
+    joined = edge.groupBy(*labels, "__run").agg(
+        F.min(start).alias(start), F.max(last).alias(last), *[F.sum(t).alias(t) for t in totals])
+    kept = [*labels, start, last, *totals]
+    return joined.select(*kept).unionByName(marked.filter(~outer).select(*kept))
+
+
 def sustained(windows: DataFrame, start: str, bad: Column, step_seconds: int, least: int,
               labels: Sequence[str] = ()) -> DataFrame:
-    """Runs of at least ``least`` neighbouring bad windows (gaps and islands
-    over window rows): first and last window, and length."""
+    """Runs of at least ``least`` neighbouring bad windows: first and last
+    window, and length. Gaps and islands per day, joined at midnight."""
     seconds = F.unix_seconds(F.col(start).cast("timestamp"))
-    rows = windows.filter(bad)
     place = F.row_number().over(Window.partitionBy(*labels, "__day").orderBy(start))
-    # Islands are found per day, so a label's windows spread over many tasks;
-    # runs that meet at midnight are joined after.
-    daily = rows.withColumn("__day", F.to_date(start)).withColumn(
+    daily = windows.filter(bad).withColumn("__day", F.to_date(start)).withColumn(
         "__island", F.floor(seconds / step_seconds) - place)
     runs = daily.groupBy(*labels, "__day", "__island").agg(
         F.min(start).alias("first"), F.max(start).alias("last"), F.count("*").alias("windows"))
-    order = Window.partitionBy(*labels).orderBy("first") if labels else Window.orderBy("first")
     gap = (F.unix_seconds(F.col("first").cast("timestamp"))
-           - F.unix_seconds(F.lag("last").over(order).cast("timestamp")))
-    joined = runs.withColumn("__new", F.coalesce(F.when(gap == step_seconds, 0), F.lit(1))).withColumn(
-        "__run", F.sum("__new").over(order))
-    return joined.groupBy(*labels, "__run").agg(
-        F.min("first").alias("first"), F.max("last").alias("last"),
-        F.sum("windows").alias("windows")).filter(F.col("windows") >= least).drop("__run")
+           - F.unix_seconds(F.col("__before").cast("timestamp")))
+    whole = _join_at_midnight(runs, "__day", "first", "last", gap == step_seconds, ["windows"], labels)
+    return whole.filter(F.col("windows") >= least)
+
+
+DAY = 86_400_000_000
 
 
 def sessions(events: DataFrame, at: str, gap_seconds: int, labels: Sequence[str] = ()) -> DataFrame:
     """Periods of activity whose pauses do not exceed the gap: start, last
     event, count.
 
-    Events are first reduced to one row per label and time slot no longer than
-    the gap (two events of a slot are always in one period), with map-side
-    combine. What is then ordered per label is slots, not events.
+    Events are first reduced to one row per label, day and time slot no longer
+    than the gap (two events of a slot are always in one period), with
+    map-side combine. Periods are then found per day and joined at midnight.
     """
+    width = gap_seconds * 1_000_000
     micros = F.unix_micros(F.col(at).cast("timestamp"))
-    slots = events.groupBy(*labels, F.floor(micros / (gap_seconds * 1_000_000)).alias("__slot")).agg(
-        F.min(micros).alias("__from"), F.max(micros).alias("__to"), F.count("*").alias("__n"))
-    order = Window.partitionBy(*labels).orderBy("__slot") if labels else Window.orderBy("__slot")
-    new = F.col("__from") - F.lag("__to").over(order) > gap_seconds * 1_000_000
-    return (slots.withColumn("__new", F.when(F.coalesce(new, F.lit(True)), 1).otherwise(0))
-            .withColumn("__session", F.sum("__new").over(order))
-            .groupBy(*labels, "__session")
-            .agg(F.timestamp_micros(F.min("__from")).alias("start"),
-                 F.timestamp_micros(F.max("__to")).alias("last"), F.sum("__n").alias("events"))
-            .drop("__session"))
+    slots = events.groupBy(*labels, F.floor(micros / DAY).alias("__day"),
+                           F.floor(micros / width).alias("__slot")).agg(
+        F.min(micros).alias("__from"), F.max(micros).alias("__to"), F.count("*").alias("events"))
+    daily = Window.partitionBy(*labels, "__day").orderBy("__slot")
+    new = F.col("__from") - F.lag("__to").over(daily) > width
+    runs = (slots.withColumn("__new", F.when(F.coalesce(new, F.lit(True)), 1).otherwise(0))
+            .withColumn("__session", F.sum("__new").over(daily))
+            .groupBy(*labels, "__day", "__session")
+            .agg(F.min("__from").alias("__from"), F.max("__to").alias("__to"),
+                 F.sum("events").alias("events")))
+    whole = _join_at_midnight(runs, "__day", "__from", "__to",
+                              F.col("__from") - F.col("__before") <= width, ["events"], labels)
+    return whole.select(*labels, F.timestamp_micros("__from").alias("start"),
+                        F.timestamp_micros("__to").alias("last"), "events")
 
 
 def top_per_window(events: DataFrame, at: str, length: str, kind: str, n: int = 10) -> DataFrame:

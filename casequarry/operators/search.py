@@ -486,6 +486,7 @@ def fallback_by_score(corpus: DataFrame, queries: DataFrame, doc_id: str, text:
         key, F.concat_ws("#", F.col("query_id").cast("string"), F.col("stage").cast("string")))
     found = search_all(corpus, spread.drop("query_id").withColumnRenamed(key, "query_id"), doc_id,
                        text, vector, [product, family])
+    found = cut(found)  # bounded by queries and limits, used twice
     tagged = found.join(spread.select(F.col(key).alias("query_id"), F.col("query_id").alias("__qid"),
                                       "stage"), "query_id").drop("query_id")
     bars = F.create_map(*[F.lit(x) for s, v in BY_SCORE.items() for x in (s, v[2] if v[2] else -1.0)])

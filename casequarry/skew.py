@@ -71,7 +71,9 @@ def exact_percentiles(df: DataFrame, keys: Sequence[str], value: str,
     Here a counted histogram (at most ``bins`` rows per group) locates the bins
     that hold the wanted ranks, and only the distinct values of those bins are
     ranked. Bins are even on a signed log scale, so a few outliers do not push
-    everything else into one bin. Two scans, three small shuffles, same numbers.
+    everything else into one bin. Three scans, small shuffles, same numbers.
+    Bounds and ranks are a few rows per group; they are checkpointed and joined
+    by broadcast once counted, so the values themselves are never shuffled.
     """
     keys = list(keys) or ["__all"]
     source = df.filter(F.col(value).isNotNull())
@@ -87,7 +89,7 @@ def exact_percentiles(df: DataFrame, keys: Sequence[str], value: str,
             .otherwise(F.least(F.lit(bins - 1),
                                F.floor((F.col("__s") - F.col("__lo")) * bins
                                        / (F.col("__hi") - F.col("__lo"))))).cast("int"))
-    binned = source.join(bounds, keys).withColumn("__bin", slot)
+    binned = source.join(small_side(bounds), keys).withColumn("__bin", slot)
     running = Window.partitionBy(*keys).orderBy("__bin").rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
     cells = (binned.groupBy(*keys, "__bin").agg(F.count("*").alias("__c"), F.first("__n").alias("__n"))
@@ -103,6 +105,7 @@ def exact_percentiles(df: DataFrame, keys: Sequence[str], value: str,
              .filter((F.col("__rank") >= F.col("__from")) & (F.col("__rank") < F.col("__to")))
              .select(*keys, "__bin", "__from", F.col("__w.name").alias("__name"),
                      F.col("__w.pos").alias("__pos"), "__rank"))
+    ranks = small_side(ranks)
     inside = Window.partitionBy(*keys, "__bin").orderBy("__v").rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
     values = (binned.join(ranks.select(*keys, "__bin").distinct(), [*keys, "__bin"], "left_semi")

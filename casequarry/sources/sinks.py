@@ -117,12 +117,20 @@ def upsert(current: DataFrame, changes: DataFrame, key: str, version: str) -> Da
 
 def write_version(df: DataFrame, folder: str, version: int) -> str:
     """Snapshots never overwrite what is being read: each goes to its own
-    folder, and the newest complete one is current."""
+    folder, and the newest complete one is current. What a failed run left of
+    a version is replaced."""
     path = f"{folder}/version={version:08d}"
-    df.write.mode("errorifexists").parquet(path)
+    if _exists(df.sparkSession, f"{path}/_SUCCESS"):
+        raise ValueError(f"{path} is complete")
+    df.write.mode("overwrite").parquet(path)
     return path
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
+
+
 def current_version(spark: SparkSession, folder: str) -> str | None:
     """Newest folder that has its commit marker."""
     jvm = spark.sparkContext._jvm
@@ -130,8 +138,8 @@ def current_version(spark: SparkSession, folder: str) -> str | None:
     fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     if not fs.exists(root):
         return None
-    found = [str(s.getPath()) for s in fs.listStatus(root) if s.isDirectory()
-             and fs.exists(jvm.org.apache.hadoop.fs.Path(s.getPath(), "_SUCCESS"))]
+    found = [str(s.getPath()) for s in fs.listStatus(root)
+             if s.isDirectory() and _exists(spark, f"{s.getPath()}/_SUCCESS")]
     return max(found) if found else None
 
 

@@ -57,15 +57,17 @@ def test_percentiles_of_one_value(spark):
     assert [tuple(r) for r in skew.exact_percentiles(df, ["k"], "x", {"p": 0.5}).collect()] == [(1, 2.0)]
 
 
-def test_sessions_equal_session_window(spark):
+@pytest.mark.parametrize("gap, steps", [(60, [1, 5, 30, 59.999999, 60, 61, 200]), (60, [30, 45, 55]),
+                                        (7200, [3000, 6500, 7200, 7300, 90000])])
+def test_sessions_equal_session_window(spark, gap, steps):
     rng = random.Random(5)
     at, rows = 0.0, []
-    for i in range(800):
-        at += rng.choice([1, 5, 30, 59.999999, 60, 61, 200])
+    for i in range(800 if gap == 7200 else 4000):
+        at += rng.choice(steps)
         rows.append((rng.choice("aab"), at))
     df = spark.createDataFrame(rows, "k string, s double").withColumn("at", F.timestamp_micros((F.col("s") * 1000000).cast("bigint")))
-    mine = M.sessions(df, "at", 60, ["k"]).select("k", "start", "events")
-    plain = df.groupBy("k", F.session_window("at", "60 seconds")).agg(F.count("*").alias("events")).select(
+    mine = M.sessions(df, "at", gap, ["k"]).select("k", "start", "events")
+    plain = df.groupBy("k", F.session_window("at", f"{gap} seconds")).agg(F.count("*").alias("events")).select(
         "k", F.col("session_window.start").alias("start"), "events")
     assert mine.exceptAll(plain).count() == 0 and plain.exceptAll(mine).count() == 0
 

@@ -173,6 +173,43 @@ def test_load_upsert_and_versions(spark, tmp_path):
     sinks.write_version(old, str(tmp_path / "v"), 1)
     sinks.write_version(new, str(tmp_path / "v"), 2)
     assert sinks.current_version(spark, str(tmp_path / "v")).endswith("version=00000002")
+    with pytest.raises(ValueError, match="complete"):
+        sinks.write_version(old, str(tmp_path / "v"), 2)
+    broken = tmp_path / "v" / "version=00000003"
+    broken.mkdir()
+    (broken / "part-0.parquet").write_text("half a file")
+    assert sinks.current_version(spark, str(tmp_path / "v")).endswith("version=00000002")
+    sinks.write_version(new, str(tmp_path / "v"), 3)
+    assert spark.read.parquet(sinks.current_version(spark, str(tmp_path / "v"))).count() == 3
+
+
+def test_gates_and_search_log(spark):
+    ok = ("1", "C1", "2024-01-01T00:00:00Z", "Closed", "High")
+    bad = ("2", None, "2024-01-01", "Odd", None)
+    df = spark.createDataFrame([ok, bad], "caseId string, caseNumber string, createdDate string, status string, priority string")
+    failed = {r["caseId"]: r["f"] for r in df.select("caseId", Q.extract_gate().alias("f")).collect()}
+    assert failed == {"1": [], "2": ["caseNumber", "createdDate", "status", "priority"]}
+    rows = spark.createDataFrame([("1", "x", [1.0, 0.0]), ("2", "", [0.0, 0.0])], "id string, status string, v array<double>")
+    loads = {r["id"]: r["f"] for r in rows.select("id", Q.load_gate(
+        ["id", "status"], V.vector_error(F.col("v"), 2)).alias("f")).collect()}
+    assert loads == {"1": [], "2": ["status", "vector"]}
+    asked = spark.createDataFrame([("u", "boot", {"status": "Closed"}, 0)],
+                                  "user_id string, query string, filters map<string,string>, result_count int")
+    log = sinks.search_log(asked, F.lit("2024-01-01").cast("timestamp")).first()
+    assert json.loads(log["filters"]) == {"status": "Closed"} and log["result_count"] == 0
+
+
+def test_read_files_are_archived(spark, tmp_path):
+    source, archive = tmp_path / "in", tmp_path / "old"
+    source.mkdir()
+    for i in range(3):
+        (source / f"{i}.json").write_text(json.dumps({"id": str(i)}))
+    for i in range(2):
+        stream = sinks.change_stream(spark, str(source), "id string", archive=str(archive), maxFilesPerTrigger="1")
+        stream.writeStream.format("parquet").option("path", str(tmp_path / "out")).option(
+            "checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start().awaitTermination(60)
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 3
+    assert len(list(archive.rglob("*.json"))) >= 1
 
 
 def test_schema_gate():
