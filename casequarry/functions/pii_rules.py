@@ -171,6 +171,7 @@ CONFIDENTIAL_WORDS = ["confidential", "proprietary", "trade secret", "password",
                       "credential"]
 COMPLIANCE_TAGS = ["GDPR", "CCPA", "HPE_DATA_POLICY"]
 DATA_OWNER = "HPE_GRS_TEAM"
+AUDIT_CLASS = "HPE_CONFIDENTIAL"
 
 
 def rules_frame(spark: SparkSession, rulesets: dict[str, list[Rule]] = RULESETS) -> DataFrame:

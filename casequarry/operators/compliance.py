@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from casequarry.functions import pii
 from casequarry.functions import text as T
 from casequarry.functions.pii_rules import (
-    BY_FIELD, COMPLIANCE_TAGS, CONFIDENTIAL_WORDS, DATA_OWNER, HIGH_RISK_FIELDS, HIGH_RISK_TABLES,
+    AUDIT_CLASS, BY_FIELD, COMPLIANCE_TAGS, CONFIDENTIAL_WORDS, DATA_OWNER, HIGH_RISK_FIELDS, HIGH_RISK_TABLES,
     LEAK, OWN_NAMES, SEQUENTIAL, SIGNATURES, SITES, STAGED, TABLE_RISK, TECH_TERMS, Rule)
 from casequarry.operators.sampling import random_rows
 
@@ -64,7 +64,7 @@ def clean_records(df: DataFrame, fields: Sequence[str], table: str | None = None
 
 def audit_rows(cleaned: DataFrame, case_id: str, case_number: str, processed_at: Column,
                method: str = "regex", operator: str = "casequarry",
-               classification: str = "HPE_CONFIDENTIAL") -> DataFrame:
+               classification: str = AUDIT_CLASS) -> DataFrame:
     """One audit row per cleaned record; the id is stable under re-runs."""
     return cleaned.select(
         F.sha2(F.concat_ws("|", F.col(case_id).cast("string"), processed_at.cast("string")), 256)

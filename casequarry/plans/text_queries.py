@@ -71,7 +71,16 @@ def head_truncate_docs(t):
     return t.documents.select("doc_id", F.md5(T.head_truncate(F.col("text"))).alias("text_md5"))
 
 
-@query("section_truncate_docs")
+@query("section_truncate_docs", """
+WITH p AS (SELECT doc_id, chr(10) AS nl, '=== ISSUE ===' || chr(10) || substr(text, 1, 2000) AS iss,
+    '=== ENGINEER COMMENTS ===' || chr(10) || text AS com, '=== WORK ORDERS ===' || chr(10) || reverse(text) AS wo,
+    '=== RESOLUTION ===' || chr(10) || right(text, 2000) AS res FROM documents),
+a AS (SELECT *, iss || nl || com || nl || wo || nl || res AS whole, iss || nl || nl || res AS kept,
+  nl || nl || '[... TROUBLESHOOTING STEPS AND COMMENTS TRUNCATED ...]' AS marker FROM p),
+b AS (SELECT *, CASE WHEN length(kept) + length(com) < 30000 THEN kept || nl || nl || com END AS one FROM a),
+c AS (SELECT doc_id, CASE WHEN length(whole) <= 30000 THEN whole WHEN one IS NULL THEN kept || marker
+  WHEN length(one) + length(wo) < 30000 THEN one || nl || nl || wo ELSE one || marker END AS cut FROM b)
+SELECT doc_id, length(cut) AS kept, md5(cut) AS text_md5 FROM c""")
 def section_truncate_docs(t):
     sectioned = F.concat(F.lit("=== ISSUE ===\n"), F.left("text", F.lit(2000)),
                          F.lit("\n=== ENGINEER COMMENTS ===\n"), F.col("text"),
