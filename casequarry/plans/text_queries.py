@@ -32,7 +32,16 @@ def html_clean_if_tagged(t):
     return t.documents.select("doc_id", T.clean_html_if_tagged(F.col("text")).alias("clean_text"))
 
 
-@query("html_unescape_pages")
+# The named entities that occur in the pages, the ampersand last.
+UNESCAPED = "html"
+for _name, _char in (("copy", "©"), ("middot", "·"), ("quot", '"'), ("lt", "<"), ("gt", ">"), ("nbsp", "\u00a0")):
+    UNESCAPED = f"replace({UNESCAPED}, '&{_name};', '{_char}')"
+UNESCAPED = f"regexp_replace({UNESCAPED}, '&amp;?', '&', 'g')"
+
+
+@query("html_unescape_pages", f"""
+SELECT page_id, trim(regexp_replace(regexp_replace({UNESCAPED}, '<[^>]+>', '', 'g'), '{WS}', ' ', 'g'))
+  AS clean_text FROM pages""")
 def html_unescape_pages(t):
     return t.pages.select("page_id", T.clean_html_unescaped(F.col("html")).alias("clean_text"))
 
