@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from casequarry.llm import chat, decontaminate, sql, urls
+from casequarry.llm import chat, decontaminate, order_minhash, packing, quality, simhash, sql, urls
 from casequarry.llm.common import table
 
 QUERIES = {}
@@ -20,11 +20,28 @@ def query(name, oracle=None):
     return register
 
 
+@query("op1_quality")
+def op1_quality(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return quality.score(docs, quality.train(docs, table(spark, sf_dir, "labels")))
+
+
+@query("op5_order_minhash")
+def op5_order_minhash(spark, sf_dir):
+    return order_minhash.compare_with_next(table(spark, sf_dir, "documents"))
+
+
 @query("op6_url_filter", sql.URL_FILTER)
 def op6_url_filter(spark, sf_dir):
     return urls.judge(table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
 
 
+@query("op7_simhash")
+def op7_simhash(spark, sf_dir):
+    found = simhash.classes(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 @query("op8_decontamination", sql.DECONTAMINATION)
 def op8_decontamination(spark, sf_dir):
     return decontaminate.scan(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -46,3 +63,15 @@ def op9_chat_format(spark, sf_dir):
         "conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(lines, 256).alias("turns_sha256"),
         F.length(learnt).cast("long").alias("loss_chars"), F.sha2(learnt, 256).alias("loss_sha256"),
         F.length("text").cast("long").alias("formatted_chars"), "valid")
+
+
+def tokenizer_path(name="word_bpe_49k.json"):
+    """Where this machine has the file; every machine of a cluster has it at one path."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@query("op10_packing")
+def op10_packing(spark, sf_dir):
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
