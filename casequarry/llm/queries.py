@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from casequarry.llm import chat, decontaminate, order_minhash, packing, quality, sanitise, simhash, sql, urls
+from casequarry.llm import chat, decontaminate, order_minhash, packing, quality, sanitise, simhash, span_dedup, sql, suffix_dedup, urls
 from casequarry.llm.common import table
 
 QUERIES = {}
@@ -26,11 +26,21 @@ def op1_quality(spark, sf_dir):
     return quality.score(docs, quality.train(docs, table(spark, sf_dir, "labels")))
 
 
+@query("op2_span_dedup", sql.SPAN_DEDUP)
+def op2_span_dedup(spark, sf_dir):
+    return span_dedup.dedup(table(spark, sf_dir, "documents"))
+
+
 @query("op3_sanitise")
 def op3_sanitise(spark, sf_dir):
     return sanitise.scan(table(spark, sf_dir, "documents"))
 
 
+@query("op4_suffix_dedup", sql.SUFFIX_DEDUP)
+def op4_suffix_dedup(spark, sf_dir):
+    return suffix_dedup.dedup(table(spark, sf_dir, "documents"))
+
+
 @query("op5_order_minhash")
 def op5_order_minhash(spark, sf_dir):
     return order_minhash.compare_with_next(table(spark, sf_dir, "documents"))

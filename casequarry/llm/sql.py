@@ -102,3 +102,37 @@ SELECT page_id, j.host, path, rule, coalesce(ruled,
   CASE WHEN coalesce(x.score, 0) > coalesce(t.score, 0) + {urls.MARGIN} THEN 'block' ELSE 'allow' END) AS verdict
 FROM judged j LEFT JOIN trust_{urls.ROUNDS} t ON j.host = t.host LEFT JOIN distrust_{urls.ROUNDS} x ON j.host = x.host
 """
+
+SPAN_DEDUP = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+g AS (SELECT doc_id, i, array_to_string(w[i:i + 19], ' ') AS gram
+      FROM (SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS i FROM d WHERE len(w) >= 20)),
+r AS (SELECT doc_id, i, row_number() OVER (PARTITION BY gram ORDER BY doc_id, i) AS n FROM g),
+gone AS (SELECT DISTINCT doc_id, p FROM (SELECT doc_id, unnest(range(i, i + 20)) AS p FROM r WHERE n > 1)),
+words AS (SELECT d.doc_id, w.p, w.word, gone.p IS NULL AS stays
+          FROM d, LATERAL (SELECT unnest(range(1, len(d.w) + 1)) AS p, unnest(d.w) AS word) w
+          LEFT JOIN gone ON gone.doc_id = d.doc_id AND gone.p = w.p)
+SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(removed, 0)::BIGINT AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN (SELECT doc_id, count(*) FILTER (NOT stays) AS removed,
+  string_agg(word, ' ' ORDER BY p) FILTER (stays) AS kept FROM words GROUP BY doc_id) k ON d.doc_id = k.doc_id
+"""
+
+# Bytes as two hexadecimal digits each.
+SUFFIX_DEDUP = """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+g AS (SELECT doc_id, i, md5_number(substr(h, 2 * i + 1, 100)) AS gram
+      FROM (SELECT doc_id, h, unnest(range(0, length(h) // 2 - 49)) AS i FROM d WHERE length(h) >= 100)),
+f AS (SELECT gram, min(doc_id) AS first FROM g GROUP BY gram HAVING min(doc_id) < max(doc_id)),
+s AS (SELECT g.doc_id, i FROM g JOIN f ON g.gram = f.gram WHERE g.doc_id > f.first),
+e AS (SELECT *, coalesce(i > lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 50, true) AS opens FROM s),
+k AS (SELECT *, sum(opens::INT) OVER (PARTITION BY doc_id ORDER BY i) AS span FROM e),
+gone AS (SELECT doc_id, span, min(i) AS a, max(i) + 50 AS b FROM k GROUP BY doc_id, span),
+edges AS (SELECT doc_id, a, b, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS z FROM gone),
+kept AS (SELECT e.doc_id, count(*) AS n, sum(b - a) AS removed,
+  string_agg(substr(h, 2 * z + 1, 2 * (a - z)), '' ORDER BY a) AS head, max(b) AS last
+  FROM edges e JOIN d ON d.doc_id = e.doc_id GROUP BY e.doc_id)
+SELECT d.doc_id, (length(h) // 2)::BIGINT AS n_bytes, coalesce(removed, 0)::BIGINT AS n_removed,
+  coalesce(n, 0)::BIGINT AS n_spans,
+  sha256(unhex(coalesce(head, '') || substr(h, 2 * coalesce(last, 0) + 1))) AS kept_sha256
+FROM d LEFT JOIN kept ON d.doc_id = kept.doc_id
+"""
