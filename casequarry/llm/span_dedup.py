@@ -87,14 +87,18 @@ def _compact(table: pa.Table) -> pa.Table:
     return repeats.sent(out, repeats._ANSWER)
 
 
-def _joined(part: repeats.Part, repeated: np.ndarray, answers: pa.Table, buckets: int) -> np.ndarray:
-    """Per run: it and the one behind it are one path."""
-    some = np.flatnonzero(repeated)
+def _read_flags(part: repeats.Part, repeated: np.ndarray, answers: pa.Table, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """Per unique value: one follower everywhere, one predecessor everywhere."""
     ahead, behind = np.zeros(len(part.unique), bool), np.zeros(len(part.unique), bool)
     got = dict(repeats.rows_of(answers, "bucket"))
-    for bucket, mine in part.by_bucket(buckets, some):
+    for bucket, mine in part.by_bucket(buckets, np.flatnonzero(repeated)):
         flags = repeats.unbits(got[bucket], 2 * len(mine))
         ahead[mine], behind[mine] = flags[:len(mine)], flags[len(mine):]
+    return ahead, behind
+
+
+def _joined(part: repeats.Part, repeated: np.ndarray, ahead: np.ndarray, behind: np.ndarray) -> np.ndarray:
+    """Per run, in this task's order of texts: it and the one behind it are one path."""
     out = []
     for chunk, index in zip(part.chunks, part.split(part.index)):
         r = chunk.runs
@@ -131,15 +135,17 @@ def dedup(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, with_kept: bo
     def paths(table: pa.Table, answers: pa.Table) -> pa.Table:
         part = repeats.Part(table, kind, False)
         repeated, = repeats.read_note(part, answers, bool)
-        joined = _joined(part, repeated, answers, buckets)
-        return repeats.sent([*repeats.Elements(part, repeated, joined, buckets).rows(), repeats.note(part, repeated, joined)])
+        ahead, behind = _read_flags(part, repeated, answers, buckets)
+        elements = repeats.Elements(part, repeated, _joined(part, repeated, ahead, behind), buckets)
+        return repeats.sent([*elements.rows(), repeats.note(part, repeated, ahead, behind)])
 
     def sources(table: pa.Table) -> pa.Table:
         return repeats.answer_elements(table, kind, _gather)
 
     def finish(table: pa.Table, answers: pa.Table) -> pa.Table:
         part = repeats.Part(table, kind, False)
-        repeated, joined = repeats.read_note(part, answers, bool, bool)
+        repeated, ahead, behind = repeats.read_note(part, answers, bool, bool, bool)
+        joined = _joined(part, repeated, ahead, behind)
         out = []
         for chunk, gone in repeats.Elements(part, repeated, joined, buckets).covered(answers):
             text, begins, ends = kind.plain(chunk.data, chunk.begins, chunk.ends)
