@@ -16,9 +16,10 @@ consecutive units. Texts are dealt into parts of bounded size. In a part:
 * The part covers its texts by these bits and what it knows of its own places.
 
 Only strings of repeated passages and numbers move; texts move once, to their
-part, and are read there by each step (one exchange, used again). All tables a
-part sends are sorted sets, so a step that is computed again after a loss gives
-the same whatever order rows arrive in. Hot passages are one entry per part.
+part, and are read there by each step (one exchange, used again). All that a part
+sends, and keeps for later steps, is by sorted value or content, never by place
+in the table, so a step that reads or computes its rows again may get them in any
+order. Hot passages are one entry per part.
 """
 
 from __future__ import annotations
@@ -35,7 +36,7 @@ from casequarry.llm.common import as_bytes, chunks
 
 LEAST = -(1 << 63)
 PART_BYTES = 4_000_000
-BUCKET_BYTES = 16_000_000
+BUCKET_BYTES = 6_000_000
 CHUNK = 1 << 19
 ANSWER = "part int, bucket int, body binary"
 SENT = "bucket int, part int, body binary"
