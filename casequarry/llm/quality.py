@@ -34,11 +34,11 @@ _PAD = 256
 
 
 def padded(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Texts laid out in whole blocks, each with at least a filter of padding behind; blocks per text."""
+    """Texts laid out in whole blocks and one block of padding behind each, so that no filter reaches the next text; blocks per text."""
     sizes = np.diff(offsets)
-    blocks = (sizes + WIDTH + BLOCK - 1) // BLOCK
-    begins = np.concatenate([[0], np.cumsum(blocks)[:-1]]) * BLOCK
-    out = np.full(int(blocks.sum()) * BLOCK + WIDTH, _PAD, np.uint16)
+    blocks = np.maximum((sizes + BLOCK - 1) // BLOCK, 1)
+    begins = np.concatenate([[0], np.cumsum(blocks + 1)[:-1]]) * BLOCK
+    out = np.full(int((blocks + 1).sum()) * BLOCK + WIDTH, _PAD, np.uint16)
     out[np.arange(len(data)) + np.repeat(begins - offsets[:-1], sizes)] = data
     return out, blocks
 
@@ -60,16 +60,16 @@ class Network:
 
     def _pool(self, symbols, blocks, places=False):
         """Filters max-pooled over chunks, first chunk of each text; with places also where the maxima are."""
-        n, step = int(blocks.sum()), BLOCK // STRIDE
+        n, step = int((blocks + 1).sum()), BLOCK // STRIDE
         at = np.arange(n * step) * STRIDE
         value = self.p["taps"][0][symbols[at]]
         for t in range(1, WIDTH):
             value += self.p["taps"][t][symbols[at + t]]
         value = value.reshape(n, step, FILTERS)
         peak = value.max(axis=1)
-        last = np.cumsum(blocks) - 1
+        last = np.cumsum(blocks + 1) - 2
         more = np.ones(n, bool)
-        more[last] = False
+        more[last] = more[last + 1] = False
         follow = np.minimum(np.arange(n) + 1, n - 1)
         second = more[:, None] & (peak[follow] > peak)
         pooled = np.where(second, peak[follow], peak)
@@ -107,7 +107,8 @@ class Network:
         g = {"out": np.concatenate([mean, top], axis=1).T @ d, "out_bias": np.array([d.sum()])}
         d_mean, d_top = d[:, None] * p["out"][:HIDDEN], d[:, None] * p["out"][HIDDEN:]
         d_hidden = np.repeat(d_mean / sizes[:, None], sizes, axis=0)
-        d_hidden += np.where(hidden == np.repeat(top, sizes, axis=0), np.repeat(d_top, sizes, axis=0), 0)
+        best = hidden == np.repeat(top, sizes, axis=0)
+        d_hidden += best * np.repeat(d_top / np.add.reduceat(best.astype(np.float32), first, axis=0), sizes, axis=0)
         d_hidden *= hidden > 0
         g["dense"], g["dense_bias"] = features.T @ d_hidden, d_hidden.sum(axis=0)
         d_pool = (d_hidden @ p["dense"].T) * (features > 0)
