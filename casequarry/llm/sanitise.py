@@ -219,14 +219,14 @@ def disclosing(docs: DataFrame, found: DataFrame, support: int = SUPPORT, genera
 
 def term_spans(docs: DataFrame, reach: int = REACH, support: int = SUPPORT, generalise: float = GENERALISE,
                remove: float = REMOVE) -> DataFrame:
-    """id, row, terms: the places to sanitise in each text that has any, [{first, end, drop}] in order."""
+    """__id, __row, __terms: the places to sanitise in each text that has any, [{first, end, drop}] in order."""
     found = cut(mentions(docs, reach))
     # Rows of equal id and text give equal mentions: one of each is kept, with their number.
     found = found.groupBy("doc_id", "row", "entity", "term", "first", "end").agg(F.count("*").alias("copies"))
     telling = disclosing(docs, found, support, generalise, remove)
     places = found.join(telling, ["entity", "term"]).groupBy("doc_id", "row", "first", "end").agg(F.max("drop").alias("drop"))
-    return places.groupBy("doc_id", "row").agg(F.sort_array(F.collect_list(F.struct("first", "end", "drop"))).alias("terms")).select(
-        F.col("doc_id").alias("__id"), F.col("row").alias("__row"), "terms")
+    return places.groupBy("doc_id", "row").agg(F.sort_array(F.collect_list(F.struct("first", "end", "drop"))).alias("__terms")).select(
+        F.col("doc_id").alias("__id"), F.col("row").alias("__row"), "__terms")
 
 
 def _with_terms(rows: DataFrame, terms: DataFrame) -> DataFrame:
@@ -258,12 +258,12 @@ def scan(docs: DataFrame, **settings) -> DataFrame:
     base = docs.select("doc_id", "text", F.xxhash64("text").alias("__row")).mapInArrow(
         run, f"doc_id {kind_of_id}, __row long, n_email long, n_ip long, n_card long, n_phone long, "
         "base_sha256 string, base string")
-    said = F.array_join(F.transform("terms", lambda t: F.concat_ws(":", F.lit("term"), t["first"], t["end"])), ",")
+    said = F.array_join(F.transform("__terms", lambda t: F.concat_ws(":", F.lit("term"), t["first"], t["end"])), ",")
     joined = _with_terms(base, terms)
     return joined.select(
         "doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256",
         F.concat_ws(",", F.nullif("base", F.lit("")), said).alias("spans"),
-        F.coalesce(F.size("terms"), F.lit(0)).cast("long").alias("n_term"))
+        F.coalesce(F.size("__terms"), F.lit(0)).cast("long").alias("n_term"))
 
 
 def rewritten(text: str, terms: list[tuple[int, int, bool]]) -> str:
@@ -281,7 +281,7 @@ def rewritten(text: str, terms: list[tuple[int, int, bool]]) -> str:
 def clean(docs: DataFrame, **settings) -> DataFrame:
     """The documents with sanitised ``text``; all columns of the input, texts without a span unchanged."""
     terms = term_spans(docs, **settings)
-    joined = _with_terms(docs.withColumn("__row", F.xxhash64("text")), terms).withColumnRenamed("terms", "__terms")
+    joined = _with_terms(docs.withColumn("__row", F.xxhash64("text")), terms)
 
     def run(batches):
         for batch in batches:
