@@ -8,9 +8,8 @@ fills: move a piece, swap one for one, or one for two, always out of the
 emptier sequence, until it is empty or nothing helps. A group wastes about one
 sequence, so groups of this size cost nothing visible and bound memory.
 
-The tokenizer drops white space and never joins across it, so texts are split at
-ASCII blanks with A-Z folded and each worker keeps the ids of words it has met
-(at most ``CACHE`` words, then it starts anew).
+The tokenizer folds case, drops white space and never joins across it, so texts
+are split at ASCII blanks with A-Z folded and each worker keeps ids of words.
 
 Cases: a null or empty text is its end token alone; repeated rows are packed
 each for itself, null ids too; an empty table gives no rows; other columns are
@@ -20,57 +19,114 @@ ignored.
 from __future__ import annotations
 
 import bisect
+import re
+import struct
 import zlib
 from collections import defaultdict
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from casequarry.llm.common import as_bytes
+from casequarry.llm.common import as_bytes, chunks
 from casequarry.session import cut
 
 CAPACITY = 2048
 END = 0
 GROUP = 40_000
-CACHE = 400_000
-_KNOWN: dict[str, tuple[object, dict[bytes, bytes]]] = {}
+CACHE = 1_000_000  # some 140 bytes each
+_PUNCTUATION = b".,;:!?|#%&*$"
+_PLAIN = re.compile("[a-z\u00df-\u00f6\u00f8-\u00ff\u00c0-\u00d6\u00d8-\u00de]+")
+_WORKERS: dict[str, TokenIds] = {}
 
 
-def _ids_of(path: str):
-    """A function from a text (bytes) to its ids as little-endian 32-bit numbers."""
-    if path not in _KNOWN:
+def _packed(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
+class TokenIds:
+    """Ids of texts as little-endian 32-bit numbers, exactly as the tokenizer gives them.
+
+    A word ends where the tokenizer would end it: at blanks, and between an ASCII
+    letter or digit and a run of punctuation. Words of plain Latin letters go
+    straight to the tokenizer's model; normalising and splitting would leave them
+    alone. All others take the whole way. Words met lately are remembered in two
+    generations of ``CACHE`` / 2, so a worker's memory is bounded and frequent
+    words stay.
+    """
+
+    def __init__(self, path: str):
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
 
-        _KNOWN[path] = (Tokenizer.from_file(path), {})
-    tokenizer, known = _KNOWN[path]
+        self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
+        spell = ByteLevel(add_prefix_space=False, use_regex=False)
+        self.spelling = {c: spell.pre_tokenize_str(chr(c).lower())[0][0] for c in range(0xC0, 0x100) if c not in (0xD7, 0xF7)}
+        self.young: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
 
-    def learn(words: set[bytes]) -> None:
-        if len(known) + len(words) > CACHE:
-            known.clear()
-        new = [w for w in words if w not in known]
-        for word, found in zip(new, tokenizer.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)):
-            known[word] = np.array(found.ids, "<u4").tobytes()
+    @staticmethod
+    def of(path: str) -> TokenIds:
+        """The worker's own one, kept between tasks."""
+        if path not in _WORKERS:
+            _WORKERS[path] = TokenIds(path)
+        return _WORKERS[path]
 
-    def ids(texts: list[bytes]) -> list[bytes]:
-        pieces = [t.lower().split() for t in texts]
-        learn(set().union(*pieces))
-        return [b"".join(map(known.__getitem__, p)) for p in pieces]
+    def _learn(self, words: list[bytes]) -> None:
+        young, split, slow = self.young, [], set()
+
+        def part(word: bytes) -> None:
+            text = word.decode()
+            if _PLAIN.fullmatch(text):
+                tokens = self.model.tokenize(text.translate(self.spelling))
+                young[word] = _packed([t.id for t in tokens])
+            else:
+                slow.add(word)
 
-    return ids
+        for word in words:
+            core = word.rstrip(_PUNCTUATION)
+            if len(core) < len(word) and core[-1:].isalnum():
+                split.append((word, core, word[len(core):]))
+                for piece in split[-1][1:]:
+                    if piece not in young:
+                        part(piece)
+            else:
+                part(word)
+        rest = list(slow)
+        for word, found in zip(rest, self.tokenizer.encode_batch_fast([w.decode() for w in rest], add_special_tokens=False)):
+            young[word] = _packed(found.ids)
+        for word, core, tail in split:
+            young[word] = young[core] + young[tail]
+
+    def __call__(self, texts: list[bytes]) -> list[bytes]:
+        pieces = [t.lower().split() for t in texts]
+        words = set().union(*pieces)
+        if len(self.young) + len(words) > CACHE // 2:
+            self.old, self.young = self.young, {}
+        young, old = self.young, self.old
+        missing = []
+        for word in words:
+            if word not in young:
+                known = old.get(word)
+                if known is None:
+                    missing.append(word)
+                else:
+                    young[word] = known
+        self._learn(missing)
+        return [b"".join(map(young.__getitem__, p)) for p in pieces]
 
 
 def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end: int = END) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32: what has to be packed."""
-    tail = np.array([end], "<u4").tobytes()
+    tail = _packed([end])
 
     def run(batches):
-        ids_of = _ids_of(tokenizer)
+        ids_of = TokenIds.of(tokenizer)
         for batch in batches:
             text = as_bytes(batch.column("text"))
             rows, out = [], []
-            for at in range(0, len(text), 200):
-                for k, ids in enumerate(ids_of(text.slice(at, 200).to_pylist()), at):
+            for at, to, _, _ in chunks(text, 1 << 22):
+                for k, ids in enumerate(ids_of(text.slice(at, to - at).to_pylist()), at):
                     ids += tail
                     for piece, begin in enumerate(range(0, len(ids), 4 * capacity)):
                         part = ids[begin:begin + 4 * capacity]
