@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, functions as F
 from casequarry.llm import rolling
 from casequarry.llm.common import chunks
 
-K, M, PICKED = 2, 24, 2
+K, M, PICKED = 2, 48, 2
 _LEAST = -(1 << 63)
 _SEEDS = np.random.default_rng(77).integers(1, 1 << 63, 256, dtype=np.uint64)
 _TOP = np.uint64((1 << 64) - 1)
