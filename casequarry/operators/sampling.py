@@ -7,29 +7,17 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from casequarry.skew import earliest, top_n
+from casequarry.skew import earliest, small_side, top_n
 
 
 def sample_key(key: str, seed: int = 42) -> Column:
     return F.md5(F.concat_ws(":", F.col(key).cast("string"), F.lit(str(seed))))
 
 
-def is_low(df: DataFrame, key: str, n: int, seed: int = 42) -> Column:
-    """True for the ``n`` rows of ``df`` with the lowest hashes and some more.
-
-    Hashes are uniform, so those rows lie below a bound that follows from the
-    row count. The bound leaves room for 2 n + 1000 rows; that fewer than n
-    fall below it has a chance under 1e-100, and a small table passes whole.
-    Without it every task would send n rows to the final merge.
-    """
-    total = df.agg(F.count("*")).scalar()
-    share = F.conv(F.substring(sample_key(key, seed), 1, 12), 16, 10).cast("double") / float(16 ** 12)
-    return share * total <= F.lit(2.0 * n + 1000)
-
-
 def random_rows(df: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame:
-    """``n`` rows; a distributed top-n, no full sort."""
-    return df.filter(is_low(df, key, n, seed)).orderBy(sample_key(key, seed), key).limit(n)
+    """``n`` rows; a distributed top-n, no full sort. Repeated ids count as rows
+    of their own."""
+    return df.orderBy(sample_key(key, seed), key).limit(n)
 
 
 def capped(df: DataFrame, strata: Sequence[str], key: str, cap: int, seed: int = 42) -> DataFrame:
@@ -57,11 +45,9 @@ def equal_caps(df: DataFrame, stratum: str, key: str, n: int, seed: int = 42) ->
 def trim_or_fill(chosen: DataFrame, pool: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame:
     """Exactly ``n`` rows where the pool has them: chosen rows first, then
     others, each in hash order."""
-    picked = chosen.select(key).withColumn("__chosen", F.lit(0))
+    picked = chosen.select(key).distinct().withColumn("__chosen", F.lit(0))
     tagged = pool.join(picked, key, "left").withColumn("__chosen", F.coalesce("__chosen", F.lit(1)))
-    # The low rows alone number at least n, chosen ones among them or not.
-    near = tagged.filter((F.col("__chosen") == 0) | is_low(pool, key, n, seed))
-    return near.orderBy("__chosen", sample_key(key, seed), key).limit(n).drop("__chosen")
+    return tagged.orderBy("__chosen", sample_key(key, seed), key).limit(n).drop("__chosen")
 
 
 def proportional(df: DataFrame, stratum: str, key: str, n: int, seed: int = 42) -> DataFrame:
@@ -72,7 +58,7 @@ def proportional(df: DataFrame, stratum: str, key: str, n: int, seed: int = 42)
     counts = df.groupBy(stratum).agg(F.count("*").alias("__c"))
     total = counts.agg(F.sum("__c")).scalar()
     quota = counts.select(stratum, F.floor(F.lit(n) * (F.col("__c") / total)).alias("__quota"))
-    hashed = df.withColumn("__h", sample_key(key, seed)).join(quota, stratum)
+    hashed = df.withColumn("__h", sample_key(key, seed)).join(small_side(quota), stratum)
     rows = top_n(hashed, [stratum], [F.asc("__h"), F.asc(key)], F.col("__quota"), "__rank", ["__h"])
     return trim_or_fill(rows.select(key), df, key, n, seed)
 

@@ -124,17 +124,6 @@ def exact_percentiles(df: DataFrame, keys: Sequence[str], value: str,
     return out.drop("__all")
 
 
-def bounded_rows(df: DataFrame, limit: int, what: str) -> DataFrame:
-    """``df`` after checking that it has at most ``limit`` rows. The count runs
-    at the time of the call, on a checkpointed copy, so later use sees the
-    same rows."""
-    kept = cut(df)
-    found = kept.limit(limit + 1).count()
-    if found > limit:
-        raise ValueError(f"{what}: more than {limit} rows; split it into blocks")
-    return kept
-
-
 def small_side(df: DataFrame, limit: int = 200_000) -> DataFrame:
     """``df`` ready to be joined: broadcast when a count of its checkpointed
     rows proves it small, else left to a shuffle join."""
