@@ -1,8 +1,7 @@
 """Parent and child assembly.
 
-Children are reduced per case before the join, so rows never multiply. A case
-with very many children is split into numbered parts of bounded size instead
-of one unbounded array; an ordinary case is exactly one part.
+Children are reduced per case before the join, so rows never multiply: a case is
+one row at any size. The long form and composite text never gather a case.
 """
 
 from __future__ import annotations
@@ -15,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from casequarry.functions import text as T
-from casequarry.skew import salt_of, salts, small_side, top_n
+from casequarry.skew import salt_of, salts, top_n
 
 
 @dataclass
@@ -47,38 +46,35 @@ def child_totals(children: Sequence[Child]) -> DataFrame:
         F.count_if(F.col("__child") == c.name).alias(f"__n_{c.name}") for c in children])
 
 
-def assemble(cases: DataFrame, case_id: str, children: Sequence[Child],
-             part_size: int = 10_000) -> DataFrame:
-    """Every case with its children as ordered arrays and their total counts.
+def child_rows(cases: DataFrame, case_id: str, children: Sequence[Child]) -> DataFrame:
+    """The children of all cases in long form: case, child, place, record (as
+    JSON), one row each. No case is gathered, whatever its size."""
+    long = reduce(DataFrame.unionByName, [
+        c.prepared().select(F.col("__key").alias(case_id), F.lit(c.name).alias("child"),
+                            F.struct(F.col("__pos").alias("position"), F.col("__tie").alias("tie")).alias("place"),
+                            F.to_json("__rec").alias("record")) for c in children])
+    return long.join(cases.select(case_id).distinct(), case_id, "left_semi")
 
-    Output: the case columns, ``part``, ``parts``, one array per child and one
-    ``<child>_count`` each (the total, also for a split case).
+
+def assemble(cases: DataFrame, case_id: str, children: Sequence[Child]) -> DataFrame:
+    """Every case, one row each, with its children as ordered arrays and counts.
+
+    A case is one value here; where that must not be, take ``child_rows`` or,
+    for text, ``composite_texts``. Output: the case columns, one array per child
+    and one ``<child>_count`` each.
     """
     names = [c.name for c in children]
-    most = F.greatest(F.lit(0), *[F.col(f"__n_{n}") for n in names])
-    hot = small_side(child_totals(children)
-                     .withColumn("__parts", F.ceil(most / part_size).cast("int"))
-                     .filter(F.col("__parts") > 1))
-    parents = (cases.join(hot, cases[case_id] == hot["__key"], "left").drop("__key")
-               .withColumn("parts", F.coalesce("__parts", F.lit(1)))
-               .withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))))
-    keys = hot.select("__key", "__parts")
+    parents = cases
     for child in children:
-        spread = (child.prepared().join(keys, "__key", "left")
-                  .withColumn("part", F.when(F.col("__parts").isNull(), 0).otherwise(
-                      F.pmod(F.xxhash64("__pos", "__tie"), F.col("__parts")).cast("int"))))
-        packed = spread.groupBy("__key", "part").agg(
+        packed = child.prepared().groupBy("__key").agg(
             F.array_sort(F.collect_list(F.struct("__pos", "__tie", "__rec"))).alias("__arr"))
-        packed = packed.select(
-            F.col("__key").alias(case_id), "part",
-            F.transform("__arr", lambda x: x["__rec"]).alias(child.name))
-        parents = parents.join(packed, [case_id, "part"], "left")
-    kept = [c for c in cases.columns]
+        packed = packed.select(F.col("__key").alias(case_id),
+                               F.transform("__arr", lambda x: x["__rec"]).alias(child.name))
+        parents = parents.join(packed, case_id, "left")
     return parents.select(
-        *kept, "part", "parts",
+        *cases.columns,
         *[F.coalesce(F.col(n), F.array().cast(parents.schema[n].dataType)).alias(n) for n in names],
-        *[F.coalesce(F.col(f"__n_{n}"), F.size(F.col(n)).cast("bigint"), F.lit(0)).cast("int")
-          .alias(f"{n}_count") for n in names])
+        *[F.coalesce(F.size(F.col(n)), F.lit(0)).alias(f"{n}_count") for n in names])
 
 
 def child_counts(cases: DataFrame, case_id: str, children: Sequence[Child]) -> DataFrame:
@@ -442,7 +438,7 @@ def resolution_text(df: DataFrame, keep_empty: bool = False) -> Column:
 def clean_and_validate(df: DataFrame, required: Sequence[str], html: Sequence[str]) -> DataFrame:
     """Blank to null, tags off, and an ``error`` naming missing required columns."""
     out = df.withColumns({c: F.nullif(T.clean_html(F.col(c)), F.lit("")) for c in html})
-    out = out.withColumns({c: F.nullif(F.trim(F.col(c)), F.lit("")) for c in required})
+    out = out.withColumns({c: F.nullif(T.strip(F.col(c)), F.lit("")) for c in required})
     missing = F.array_compact(F.array(*[F.when(F.col(c).isNull(), c) for c in required]))
     return out.withColumn("error", F.when(F.size(missing) > 0, F.concat(
         F.lit("missing: "), F.array_join(missing, ", "))))

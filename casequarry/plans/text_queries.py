@@ -460,7 +460,7 @@ SELECT sections, issue, child, count(*) AS cases FROM s GROUP BY ALL""")
 def composite_checks(t):
     cases = A.assemble(document_cases(t), "doc_id", document_children(t)[:1])
     text = A.composite_text(cases.columns)
-    checked = cases.filter(F.col("part") == 0).select(A.composite_checks(
+    checked = cases.select(A.composite_checks(
         text, F.col("casecomments_count"), F.lit(0)).alias("c"))
     return checked.select(
         "c.sections", (F.col("c.words")["ISSUE"] > 0).alias("issue"),
@@ -479,6 +479,5 @@ GROUP BY 1""")
 def composite_structure(t):
     cases = A.assemble(document_cases(t), "doc_id", document_children(t))
     text = A.composite_text(cases.columns)
-    return (cases.filter(F.col("part") == 0)
-            .select(F.size(F.split(text, r"\n\n", -1)).alias("sections"))
+    return (cases.select(F.size(F.split(text, r"\n\n", -1)).alias("sections"))
             .groupBy("sections").agg(F.count("*").alias("cases")))

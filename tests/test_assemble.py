@@ -66,27 +66,25 @@ def test_composite_equals_definition_for_ordinary_and_hot_cases(spark, data):
 def test_row_form_agrees_with_distributed_form(spark, data):
     cases, comments, mails = data
     cases_df, children = make(spark, cases, comments, mails)
-    rows = A.assemble(cases_df, "id", children, part_size=100_000)
+    rows = A.assemble(cases_df, "id", children)
     text = T.smart_truncate(A.composite_text(rows.columns))
     one_row = {r["id"]: r["t"] for r in rows.select("id", text.alias("t")).collect()}
     flat = {r["id"]: r["compositeText"] for r in A.composite_texts(cases_df, "id", children).collect()}
     assert one_row == flat
 
 
-def test_hot_case_is_split_and_stays_whole(spark, data):
+def test_a_case_is_one_row_at_any_size(spark, data):
     cases, comments, mails = data
     cases_df, children = make(spark, cases, comments, mails)
-    rows = A.assemble(cases_df, "id", children, part_size=500).collect()
-    hot = [r for r in rows if r["id"] == 4]
-    assert len(hot) == 12 and {r["parts"] for r in hot} == {12}
-    assert all(r["casecomments_count"] == 6000 for r in hot)
-    bodies = [c["commentBody"] for r in hot for c in r["casecomments"]]
-    assert sorted(bodies) == sorted(b for i, _, b in comments if i == 4)
-    assert max(len(r["casecomments"]) for r in hot) < 1000
-    ordinary = [r for r in rows if r["id"] == 1]
-    assert len(ordinary) == 1 and [c["commentBody"] for c in ordinary[0]["casecomments"]] == ["<b>first</b>", "second"]
-    none = [r for r in rows if r["id"] == 6][0]
-    assert none["emails"] == [] and none["emails_count"] == 0
+    rows = {r["id"]: r for r in A.assemble(cases_df, "id", children).collect()}
+    assert len(rows) == cases_df.count()
+    assert rows[4]["casecomments_count"] == 6000
+    assert sorted(c["commentBody"] for c in rows[4]["casecomments"]) == sorted(b for i, _, b in comments if i == 4)
+    assert [c["commentBody"] for c in rows[1]["casecomments"]] == ["<b>first</b>", "second"]
+    assert rows[6]["emails"] == [] and rows[6]["emails_count"] == 0
+    long = A.child_rows(cases_df, "id", children)
+    assert {(r["id"], r["child"]): r["n"] for r in long.groupBy("id", "child").agg(F.count("*").alias("n")).collect()}[
+        4, "casecomments"] == 6000
 
 
 def test_small_join_fixture(spark):
