@@ -37,23 +37,14 @@ DIGITS = 9
 
 # -- one query, inside Spark ------------------------------------------------------
 
-def term_statistics(corpus: DataFrame, text: str, terms: Sequence[str]) -> DataFrame:
-    """One row: number of texts, mean length, and texts per term."""
-    words = corpus.select(T.tokens(F.col(text)).alias("t"))
-    return words.agg(
-        F.count("*").alias("n"), F.avg(F.size("t")).alias("avgdl"),
-        F.array(*[F.count_if(F.array_contains("t", w)) for w in terms]).alias("df"))
-
-
-def bm25(tokens: Column, terms: Sequence[str], stats: Column) -> Column:
-    """Score of one token array; ``stats`` is the struct of term_statistics."""
-    length = F.size(tokens)
+def bm25(length: Column, counts: Column, terms: int, stats: Column) -> Column:
+    """Score of one text from its length and its count of each query word;
+    ``stats`` has n, avgdl and, per word, df of the whole collection."""
     norm = K1 * (1 - B + B * F.coalesce(F.try_divide(length, stats["avgdl"]), F.lit(0.0)))
     total = F.lit(0.0)
-    for i, word in enumerate(terms):
-        df = F.get(stats["df"], F.lit(i))
+    for i in range(terms):
+        df, tf = F.get(stats["df"], F.lit(i)), F.get(counts, F.lit(i))
         idf = F.log(1 + (stats["n"] - df + 0.5) / (df + 0.5))
-        tf = F.size(F.filter(tokens, _equals(word)))
         total = total + idf * tf * (K1 + 1) / (tf + norm)
     return total
 
@@ -67,23 +58,34 @@ def query_terms(query: str) -> list[str]:
     return sorted({w for w in regex.split(r"[^\p{L}\p{N}_]+", query.lower()) if w})
 
 
-def scored(corpus: DataFrame, text: str, vector: str, query: str, query_vector: Column,
+def scored(corpus: DataFrame, doc_id: str, text: str, vector: str, query: str, query_vector: Column,
            candidates: Column | None = None) -> DataFrame:
-    """``semantic`` and ``keyword`` (0 to 1) for the candidate rows. Filters
-    come before scoring; term statistics use the whole collection."""
+    """``doc_id``, ``semantic`` and ``keyword`` (0 to 1) of the candidate rows.
+
+    One pass reads and tokenises the collection and keeps a few numbers per row
+    (checkpointed); term statistics over the whole collection, the best score
+    among the candidates and the scores themselves come from those.
+    """
     terms = query_terms(query)
-    stats = term_statistics(corpus, text, terms).select(F.struct("*")).scalar()
-    rows = corpus if candidates is None else corpus.filter(candidates)
+    wanted = F.lit(True) if candidates is None else F.coalesce(candidates, F.lit(False))
     v = V.as_double(F.col(vector))
-    rows = (rows.withColumn("__t", T.tokens(F.col(text))).withColumn("__s", stats)
-            .withColumn("__q", query_vector)
-            .withColumn("semantic", F.when(F.col(vector).isNotNull(), V.certainty(
-                V.cosine(v, V.as_double(F.col("__q"))))))
-            .withColumn("__kw", bm25(F.col("__t"), terms, F.col("__s")))
-            .drop("__t", "__s", "__q"))
-    best = rows.agg(F.max("__kw")).scalar()
-    return rows.withColumn("keyword", F.when(best > 0, F.col("__kw") / best).otherwise(F.lit(0.0))
-                           ).drop("__kw")
+    target = V.as_double(F.col("__q"))
+    rows = corpus.withColumn("__q", query_vector).select(
+        doc_id, F.xxhash64(text).alias("__row"), wanted.alias("__wanted"), T.tokens(F.col(text)).alias("__t"),
+        F.when(F.col(vector).isNotNull() & wanted, V.certainty(V.cosine(v, target))).alias("semantic"))
+    # One look at each token; the query's words are then counted among the few that are left.
+    rows = rows.select(doc_id, "__row", "__wanted", "semantic", F.size("__t").alias("__length"),
+                       F.filter("__t", lambda t: t.isin(terms)).alias("__hits"))
+    small = cut(rows.select(
+        doc_id, "__row", "__wanted", "semantic", "__length",
+        F.array(*[F.size(F.filter("__hits", _equals(w))) for w in terms]).cast("array<int>").alias("__tf")))
+    stats = small.agg(F.count("*").alias("n"), F.avg("__length").alias("avgdl"),
+                      F.array(*[F.count_if(F.get("__tf", F.lit(i)) > 0) for i in range(len(terms))]).alias("df"))
+    weighed = small.filter("__wanted").withColumn("__s", stats.select(F.struct("*")).scalar()).withColumn(
+        "__kw", bm25(F.col("__length"), F.col("__tf"), len(terms), F.col("__s")))
+    best = weighed.agg(F.max("__kw")).scalar()
+    return weighed.withColumn("keyword", F.when(best > 0, F.col("__kw") / best).otherwise(F.lit(0.0))
+                              ).select(doc_id, "__row", "semantic", "keyword")
 
 
 def fuse(semantic: Column, keyword: Column, alpha: float | Column) -> Column:
@@ -100,14 +102,19 @@ def search(corpus: DataFrame, doc_id: str, text: str, vector: str, query: str,
     if search_type not in weights:
         raise ValueError(f"unknown search type {search_type}")
     weight = weights[search_type]
-    rows = scored(corpus, text, vector, query, query_vector, candidates)
+    rows = scored(corpus, doc_id, text, vector, query, query_vector, candidates)
     wanted = {"hybrid": F.col("semantic").isNotNull() | (F.col("keyword") > 0),
               "vector": F.col("semantic").isNotNull(), "bm25": F.col("keyword") > 0}[search_type]
     rows = rows.filter(wanted).withColumn(
         "score", F.round(fuse(F.col("semantic"), F.col("keyword"), weight), DIGITS))
     if least is not None:
         rows = rows.filter(F.col("score") >= least)
-    return rows.orderBy(F.desc("score"), doc_id).limit(limit)
+    best = rows.orderBy(F.desc("score"), doc_id).limit(limit).distinct().withColumnRenamed(doc_id, "__id")
+    # At most ``limit`` rows: a bounded broadcast brings the other columns back.
+    keyed = corpus.withColumn("__row", F.xxhash64(text))
+    return (keyed.join(F.broadcast(best), (keyed[doc_id] == best["__id"]) & (keyed["__row"] == best["__row"]))
+            .select(*[keyed[c] for c in corpus.columns], "semantic", "keyword", "score")
+            .orderBy(F.desc("score"), doc_id).limit(limit))
 
 
 def nearest(corpus: DataFrame, doc_id: str, vector: str, query_vector: Column,
