@@ -169,9 +169,6 @@ HIGH_RISK_FIELDS = ["commentbody", "textbody", "onsite_action", "problem_descrip
 
 CONFIDENTIAL_WORDS = ["confidential", "proprietary", "trade secret", "password", "secret",
                       "credential"]
-COMPLIANCE_TAGS = ["GDPR", "CCPA", "HPE_DATA_POLICY"]
-DATA_OWNER = "HPE_GRS_TEAM"
-AUDIT_CLASS = "HPE_CONFIDENTIAL"
 
 
 def rules_frame(spark: SparkSession, rulesets: dict[str, list[Rule]] = RULESETS) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from casequarry.functions import pii
 from casequarry.functions import text as T
 from casequarry.functions.pii_rules import (
-    AUDIT_CLASS, BY_FIELD, COMPLIANCE_TAGS, CONFIDENTIAL_WORDS, DATA_OWNER, HIGH_RISK_FIELDS, HIGH_RISK_TABLES,
+    BY_FIELD, CONFIDENTIAL_WORDS, HIGH_RISK_FIELDS, HIGH_RISK_TABLES,
     LEAK, OWN_NAMES, SEQUENTIAL, SIGNATURES, SITES, STAGED, TABLE_RISK, TECH_TERMS, Rule)
 from casequarry.operators.sampling import random_rows
 
@@ -64,7 +64,7 @@ def clean_records(df: DataFrame, fields: Sequence[str], table: str | None = None
 
 def audit_rows(cleaned: DataFrame, case_id: str, case_number: str, processed_at: Column,
                method: str = "regex", operator: str = "casequarry",
-               classification: str = AUDIT_CLASS) -> DataFrame:
+               classification: str = "confidential") -> DataFrame:
     """One audit row per cleaned record; the id is stable under re-runs."""
     return cleaned.select(
         F.sha2(F.concat_ws("|", F.col(case_id).cast("string"), processed_at.cast("string")), 256)
@@ -191,30 +191,46 @@ def sensitivity(subject: Column, description: Column, has_pii: Column, strict: b
     return F.when(keyword, "CONFIDENTIAL").when(has_pii, "RESTRICTED").otherwise("INTERNAL")
 
 
-def data_labels(classification: Column, removed: Column) -> dict[str, Column]:
+def data_labels(classification: Column, removed: Column, owner: str, tags: Sequence[str]) -> dict[str, Column]:
     return {
         "data_classification": classification,
         "pii_status": F.when(removed, "removed").otherwise("none_detected"),
         "encryption_required": classification.isin("CONFIDENTIAL", "RESTRICTED"),
         "retention_period_days": F.when(classification == "RESTRICTED", 2555).otherwise(3650),
-        "data_owner": F.lit(DATA_OWNER),
-        "compliance_tags": F.array(*[F.lit(x) for x in COMPLIANCE_TAGS]),
+        "data_owner": F.lit(owner),
+        "compliance_tags": F.array(*[F.lit(x) for x in tags]),
     }
 
 
+# A name is less sure than any pattern; its number sorts it behind them.
+NAME_CONFIDENCE, NAME_RULE = 0.7, 1000
 NAME = r"\b\p{Lu}\p{Ll}+(?: \p{Lu}\p{Ll}+)+\b"
 
 
-def person_names(df: DataFrame, key: str, text: str, names: DataFrame, name: str) -> DataFrame:
+def person_names(df: DataFrame, key: str, text: str, names: DataFrame, name: str,
+                 classes: str = "unicode") -> DataFrame:
     """Capitalised runs of two or more words that start with a known given
-    name and hold no product word. One row per text and name with the first
-    position. The gazetteer is joined on the first word."""
-    spaced = (df.select(key, F.col(text).alias("__text"), F.explode(F.array_distinct(
-        F.regexp_extract_all(text, F.lit(NAME), F.lit(0)))).alias("person")))
-    plausible = spaced.filter(~F.lower("person").rlike("|".join(t.lower() for t in TECH_TERMS)))
-    first = F.lower(F.split_part("person", F.lit(" "), F.lit(1)))
+    name and hold no product word: one row per place in a text, as detections
+    are. The gazetteer is joined on the first word."""
+    rule = pii.Rule("PERSON_NAME", NAME, NAME_CONFIDENCE, "names")
+    spans = df.select(key, F.explode(pii.rule_spans(F.col(text), rule, NAME_RULE, classes)).alias("span"))
+    plausible = spans.filter(~F.lower("span.text").rlike("|".join(t.lower() for t in TECH_TERMS)))
+    first = F.lower(F.split_part("span.text", F.lit(" "), F.lit(1)))
     known = names.select(F.lower(F.col(name)).alias("__first")).distinct()
-    return (plausible.withColumn("start", F.position(F.col("person"), F.col("__text")) - 1)
-            .drop("__text").withColumn("__first", first).join(known, "__first", "left_semi")
-            .select(key, "person", "start",
-                    (F.col("start") + F.length("person")).alias("end")))
+    return (plausible.withColumn("__first", first).join(known, "__first", "left_semi")
+            .select(key, F.col("span.text").alias("person"), F.col("span.start").alias("start"),
+                    F.col("span.end").alias("end"), "span"))
+
+
+def redact_names(df: DataFrame, key: str, text: str, names: DataFrame, name: str, table: str | None = None,
+                 rules: Sequence[pii.Rule] = (), merge: str = "reference", classes: str = "unicode",
+                 tokens: dict[str, str] | None = None) -> DataFrame:
+    """``text`` with person names, and what ``rules`` find, redacted together.
+    ``key`` is unique. Names are joined by key; rules alone need no shuffle."""
+    found = person_names(df, key, text, names, name, classes).groupBy(key).agg(
+        F.collect_list("span").alias("__names"))
+    none = F.array().cast(pii.SPANS)
+    ruled = pii.all_spans(F.col(text), F.col(table) if table else None, None, rules, classes) if rules else none
+    spans = pii.merge_spans(F.concat(ruled, F.coalesce("__names", none)), merge)
+    return df.join(found, key, "left").withColumn("__names", spans).withColumn(
+        text, pii.redact_spans(F.col(text), F.col("__names"), tokens)).select(*df.columns)

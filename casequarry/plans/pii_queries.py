@@ -303,7 +303,7 @@ def sensitivity_class(t):
     flagged = t.documents.withColumn("pii", pii.has_pii(text, STAGED[:8], ASCII)).select(
         "pii", P.sensitivity(subject, text, F.col("pii")).alias("c"),
         P.sensitivity(subject, text, F.col("pii"), strict=True).alias("strict"))
-    labels = P.data_labels(F.col("c"), F.col("pii"))
+    labels = P.data_labels(F.col("c"), F.col("pii"), "data-team", ["GDPR"])
     kept = ["data_classification", "pii_status", "encryption_required", "retention_period_days"]
     return flagged.groupBy("strict", *[labels[k].alias(k) for k in kept]).agg(F.count("*").alias("n"))
 
@@ -392,19 +392,37 @@ def pii_failure_gate(t):
         F.round("failure_rate", 6).alias("failure_rate"))
 
 
-@query("person_names", r"""
-WITH names AS (SELECT DISTINCT lower(w) AS w FROM (SELECT unnest(regexp_extract_all(text,
+NAMES_SQL = r"""names AS (SELECT DISTINCT lower(w) AS w FROM (SELECT unnest(regexp_extract_all(text,
     '[A-Z][a-z]+')) AS w FROM benchmark)),
-c AS (SELECT DISTINCT doc_id, text, unnest(regexp_extract_all(text,
-    '\p{Lu}\p{Ll}+(?: \p{Lu}\p{Ll}+)+')) AS person FROM documents)
-SELECT doc_id, person, strpos(text, person) - 1 AS start,
-  strpos(text, person) - 1 + length(person) AS "end" FROM c
-WHERE NOT regexp_matches(lower(person), 'proliant|synergy|aruba|gen10|ilo|simplivity|primera|nimble|apollo|hpe')
-  AND lower(split_part(person, ' ', 1)) IN (SELECT w FROM names)""")
-def person_names(t):
-    names = t.benchmark.select(F.explode(F.regexp_extract_all(
+c AS (SELECT doc_id, regexp_extract_all(text, '\p{Lu}\p{Ll}+(?: \p{Lu}\p{Ll}+)+') AS m,
+  string_split_regex(text, '\p{Lu}\p{Ll}+(?: \p{Lu}\p{Ll}+)+') AS g FROM documents),
+e AS (SELECT doc_id, i, m[i] AS person, g[i] AS gap,
+  list_sum(list_transform(g[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(m[1:i - 1], lambda x: length(x))), 0) AS pos
+  FROM (SELECT doc_id, m, g, unnest(range(1, len(g) + 1)) AS i FROM c)),
+k AS (SELECT *, person IS NOT NULL
+  AND NOT regexp_matches(lower(person), 'proliant|synergy|aruba|gen10|ilo|simplivity|primera|nimble|apollo|hpe')
+  AND lower(split_part(person, ' ', 1)) IN (SELECT w FROM names) AS known FROM e)"""
+
+
+def given_names(t):
+    return t.benchmark.select(F.explode(F.regexp_extract_all(
         "text", F.lit("[A-Z][a-z]+"), F.lit(0))).alias("given"))
-    return P.person_names(t.documents, "doc_id", "text", names, "given")
+
+
+@query("person_names", f"""
+WITH {NAMES_SQL}
+SELECT doc_id, person, pos::BIGINT AS start, (pos + length(person))::BIGINT AS "end" FROM k WHERE known""")
+def person_names(t):
+    return P.person_names(t.documents, "doc_id", "text", given_names(t), "given", ASCII).drop("span")
+
+
+@query("pii_redacted_names", f"""
+WITH {NAMES_SQL}
+SELECT doc_id, md5(string_agg(gap || CASE WHEN known THEN '[NAME_REDACTED]' ELSE coalesce(person, '') END, '' ORDER BY i)) AS text_md5
+FROM k GROUP BY doc_id""")
+def pii_redacted_names(t):
+    return P.redact_names(t.documents, "doc_id", "text", given_names(t), "given", classes=ASCII).select(
+        "doc_id", F.md5("text").alias("text_md5"))
 
 
 @query("pii_deobfuscated", r"""
