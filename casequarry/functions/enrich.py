@@ -7,6 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from casequarry.functions.text import strip
+
 # Ordered (pattern, family), category codes, labels.
 FAMILIES = [
     ("ProLiant.*", "ProLiant"),
@@ -46,7 +48,7 @@ def code_map(codes: Mapping[str, str]) -> Column:
 def product_family(c: Column, rules: Sequence[tuple[str, str]] = FAMILIES,
                    missing: str = "Unknown", other: str = "Other") -> Column:
     """First rule that matches, any letter case."""
-    trimmed = F.trim(c)
+    trimmed = strip(c)
     family = F.when(c.isNull() | (c == ""), missing)
     for pattern, name in rules:
         family = family.when(trimmed.rlike("(?i)" + pattern), name)
@@ -55,7 +57,7 @@ def product_family(c: Column, rules: Sequence[tuple[str, str]] = FAMILIES,
 
 def category_levels(c: Column, codes: Mapping[str, str] = CATEGORY_CODES) -> Column:
     """Struct of level1..3 and path; only the first part is looked up."""
-    parts = F.transform(F.split(c, "-", -1), lambda p: F.trim(p))
+    parts = F.transform(F.split(c, "-", -1), strip)
     level1 = F.coalesce(F.try_element_at(code_map(codes), F.upper(F.get(parts, F.lit(0)))),
                         F.get(parts, F.lit(0)))
     known = F.struct(
@@ -71,7 +73,7 @@ def category_levels(c: Column, codes: Mapping[str, str] = CATEGORY_CODES) -> Col
 def category_full_path(c: Column, codes: Mapping[str, str] = CATEGORY_CODES_FOUR) -> Column:
     """The variant whose path keeps all parts, however many; the first one is
     looked up as written."""
-    parts = F.transform(F.split(c, "-", -1), lambda p: F.trim(p))
+    parts = F.transform(F.split(c, "-", -1), strip)
     first = F.get(parts, F.lit(0))
     named = F.coalesce(F.try_element_at(code_map(codes), first), first)
     return F.concat_ws(" > ", named, F.slice(parts, F.lit(2), F.size(parts)))

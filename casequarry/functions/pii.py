@@ -24,12 +24,13 @@ ASCII_EDGE = (r"(?:(?<=[0-9A-Za-z_])(?![0-9A-Za-z_])|(?<![0-9A-Za-z_])(?=[0-9A-Z
 
 
 def java_regex(rule: Rule, classes: str = "unicode") -> str:
-    """``unicode`` gives Python's character classes and word edges. ``ascii``
+    """``unicode`` gives Python's character classes, word edges and dot (which
+    stops at a line feed only). ``ascii``
     gives those of RE2, for comparison with SQL engines built on it."""
     if classes == "unicode":
-        return ("(?iU)" if rule.ignore_case else "(?U)") + rule.regex
+        return ("(?idU)" if rule.ignore_case else "(?dU)") + rule.regex
     edged = rule.regex.replace(r"\b", ASCII_EDGE)
-    return ("(?i)" if rule.ignore_case else "") + edged
+    return ("(?id)" if rule.ignore_case else "(?d)") + edged
 
 
 def applies(rule: Rule, table: Column | None = None, field: str | None = None) -> Column | bool:

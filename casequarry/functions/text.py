@@ -27,8 +27,17 @@ def present(c: Column) -> Column:
     return c.isNotNull() & (c != "")
 
 
+# White space as Python has it: the Unicode property and four separators more.
+BLANKS = r"[\s\x1c-\x1f]+"
+
+
+def strip(c: Column) -> Column:
+    """White space of any kind off both ends."""
+    return F.regexp_replace(c, rf"(?U)\A{BLANKS}|{BLANKS}\z", "")
+
+
 def squeeze(c: Column) -> Column:
-    return F.trim(F.regexp_replace(c, r"(?U)\s+", " "))
+    return F.trim(F.regexp_replace(c, rf"(?U){BLANKS}", " "))
 
 
 def clean_html(c: Column) -> Column:
@@ -72,7 +81,7 @@ def normalize_unicode(c: Column) -> Column:
 
 def standardize(c: Column, case: str = "keep") -> Column:
     """Trim, fix letter case, and turn blank values into null."""
-    trimmed = F.trim(c)
+    trimmed = strip(c)
     cased = {"keep": lambda x: x, "upper": F.upper, "lower": F.lower,
              "title": F.initcap}[case](trimmed)
     return F.nullif(cased, F.lit(""))
@@ -174,7 +183,7 @@ def query_length_bucket(c: Column) -> Column:
 
 
 def query_is_valid(c: Column, least: int = 3) -> Column:
-    return c.isNotNull() & (F.length(F.trim(c)) >= least)
+    return c.isNotNull() & (F.length(strip(c)) >= least)
 
 
 def effective_limit(limit: Column, most: int = 50) -> Column:

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, MapType, StringType, StructField, StructType
 
 from casequarry import schemas as S
+from casequarry.functions.text import strip
 from casequarry.skew import earliest
 
 
@@ -92,7 +93,7 @@ def error_code_stats(df: DataFrame, codes: str) -> DataFrame:
     c = F.col(codes)
     rate = df.agg(F.avg(F.when(c.isNotNull() & (c != ""), 1.0).otherwise(0.0)).alias("present"))
     distinct = (df.select(F.explode(F.split(c, r",\s*")).alias("code"))
-                .filter(F.trim("code") != "").agg(F.countDistinct("code").alias("unique_codes")))
+                .filter(strip(F.col("code")) != "").agg(F.countDistinct("code").alias("unique_codes")))
     return rate.select("present", distinct.scalar().alias("unique_codes"))
 
 
@@ -181,11 +182,12 @@ def structure_issues(spark: SparkSession, path: str, table: str) -> DataFrame:
     records, or a record without a required key. A record is read as a map, so
     a key given with a null differs from a key not given. The first record's
     gap is reported twice, for the table and for record 0."""
+    from casequarry.sources.exports import is_json
     record = MapType(StringType(), StringType())
     whole = spark.read.option("wholetext", True).text(path).withColumnRenamed("value", "doc")
     first = F.left(F.ltrim(F.regexp_replace("doc", r"^\s+", "")), F.lit(1))
     parsed = whole.select(
-        first.alias("first"), F.try_parse_json("doc").isNotNull().alias("is_json"),
+        first.alias("first"), is_json(F.col("doc")).alias("is_json"),
         F.when(first == "[", F.from_json("doc", ArrayType(record)))
         .otherwise(F.from_json("doc", StructType([StructField("records", ArrayType(record))]))
                    ["records"]).alias("records"),
@@ -273,7 +275,7 @@ def clean_gate() -> Column:
     levels = F.split("category", " > ")
     return _failures([
         (~F.col("productFamily").isin("Unknown", "Other"), "productFamily"),
-        (F.forall(levels, lambda x: F.trim(x) != ""), "category"),
+        (F.forall(levels, lambda x: strip(x) != ""), "category"),
         (F.col("closedDate").isNull() | (F.col("closedDate") > F.col("createdDate")), "resolutionTime"),
         (F.col("quarter").rlike(r"^Q[1-4] \d{4}$"), "quarter"), (F.col("ageInDays") >= 0, "ageInDays")])
 

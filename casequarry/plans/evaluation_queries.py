@@ -52,22 +52,20 @@ def recall_at_k(t):
 
 
 def rating_rows(t):
-    """Ten ordered ratings per order customer: 1 to 5 from the order prices."""
+    """Ordered ratings per order customer: 1 to 5 from the order prices."""
     rated = t.orders.select("o_custkey", "o_orderkey", (1 + F.floor(
         F.col("o_totalprice") / 1000) % 5).cast("int").alias("r"))
-    from casequarry.skew import top_n
-    first = top_n(rated, ["o_custkey"], [F.asc("o_orderkey")], 10, "place", ["o_orderkey"])
-    return first.groupBy("o_custkey").agg(F.transform(
-        F.array_sort(F.collect_list(F.struct("place", "r"))), lambda x: x["r"]).alias("ratings"))
+    return rated.groupBy("o_custkey").agg(F.transform(
+        F.array_sort(F.collect_list(F.struct("o_orderkey", "r"))), lambda x: x["r"]).alias("ratings"))
 
 
 RATING_SQL = """
 r AS (SELECT o_custkey, 1 + cast(floor(o_totalprice / 1000) AS BIGINT) % 5 AS r,
   row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS i FROM orders),
-t AS (SELECT *, CASE WHEN r >= 4 THEN 1 ELSE 0 END AS rel FROM r WHERE i <= 10),
+t AS (SELECT *, CASE WHEN r >= 4 THEN 1 ELSE 0 END AS rel FROM r),
 n AS (SELECT o_custkey, count(*) AS n,
   sum(rel) FILTER (WHERE i <= 1) AS s1, sum(rel) FILTER (WHERE i <= 3) AS s3,
-  sum(rel) FILTER (WHERE i <= 5) AS s5, sum(rel) AS s10, min(i) FILTER (WHERE rel = 1) AS first,
+  sum(rel) FILTER (WHERE i <= 5) AS s5, sum(rel) FILTER (WHERE i <= 10) AS s10, min(i) FILTER (WHERE rel = 1) AS first,
   sum((pow(2, r) - 1) / log2(i + 1)) FILTER (WHERE i <= 5) AS dcg FROM t GROUP BY 1),
 o AS (SELECT o_custkey, r, row_number() OVER (PARTITION BY o_custkey ORDER BY r DESC) AS j FROM t WHERE i <= 5),
 d AS (SELECT o_custkey, sum((pow(2, r) - 1) / log2(j + 1)) AS idcg FROM o GROUP BY 1),

@@ -18,8 +18,8 @@ def read_envelopes(spark: SparkSession, paths: str | Sequence[str], schema: Stru
     """Rows from ``[...]``, ``{"records": [...]}`` or a single object.
 
     A whole document is one task, so a large export should come as many files
-    or, with ``lines``, one record per line. ``position`` names a column that
-    keeps the order of the records. ``strict`` fails on unreadable documents;
+    or, with ``lines``, one record per line. ``position`` names a column
+    {row, at} that keeps the order of the records. ``strict`` fails on unreadable documents;
     otherwise they are left out (``unreadable`` lists them).
     """
     raw = _raw(spark, paths, schema, lines)
@@ -34,7 +34,7 @@ def read_envelopes(spark: SparkSession, paths: str | Sequence[str], schema: Stru
                       F.posexplode(records).alias("_at", "r"))
     kept = [F.col(f"r.{n}").alias(n) for n in names]
     if position:
-        kept.append((F.col("_row") * F.lit(2 ** 24) + F.col("_at")).alias(position))
+        kept.append(F.struct(F.col("_row").alias("row"), F.col("_at").alias("at")).alias(position))
     return rows.select(*kept)
 
 
@@ -43,7 +43,16 @@ def unreadable(spark: SparkSession, paths: str | Sequence[str], lines: bool = Fa
     text = spark.read.option("wholetext", not lines).text(
         paths if isinstance(paths, str) else list(paths))
     return text.select(F.input_file_name().alias("path"), F.col("value").alias("document")).filter(
-        F.try_parse_json("document").isNull())
+        ~is_json(F.col("document")))
+
+
+def is_json(document: Column) -> Column:
+    """Whether an array, object or value parses, at any size. (A variant, as
+    ``try_parse_json`` makes, has a size limit.)"""
+    first = F.left(F.regexp_replace(document, r"^\s+", ""), F.lit(1))
+    return (F.when(first == "[", F.json_array_length(document).isNotNull())
+            .when(first == "{", F.json_object_keys(document).isNotNull())
+            .otherwise(F.coalesce(F.get_json_object(document, "$").isNotNull(), F.lit(False))))
 
 
 def _raw(spark: SparkSession, paths, schema: StructType, lines: bool) -> DataFrame:

@@ -109,10 +109,13 @@ def load_counts(checked: DataFrame) -> DataFrame:
 
 def upsert(current: DataFrame, changes: DataFrame, key: str, version: str) -> DataFrame:
     """Latest version of each key from both sides. An aggregate with map-side
-    combine, so a key with many versions does not gather in one task."""
-    order = [version, "__new"]
+    combine, so a key with many versions does not gather in one task. Of equal
+    versions a change wins over what is stored, and of equal changes the one
+    that is last by its content, so the result never depends on row order."""
+    order = [version, "__new", "__content"]
     both = current.withColumn("__new", F.lit(0)).unionByName(changes.withColumn("__new", F.lit(1)))
-    return latest(both, [key], order).drop("__new")
+    both = both.withColumn("__content", F.to_json(F.struct(*current.columns)))
+    return latest(both, [key], order).drop("__new", "__content")
 
 
 def write_version(df: DataFrame, folder: str, version: int) -> str:
