@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -128,11 +128,35 @@ def recovery_routes(records: DataFrame, staged: DataFrame, key: str) -> DataFram
         .when(stage == STAGES[2], "load_only").otherwise("none")).drop("__there")
 
 
-def recovery_outcome(routed: DataFrame) -> DataFrame:
-    return routed.agg(
+def rerun(routed: DataFrame, staged: DataFrame, key: str,
+          work: Mapping[str, Callable[[DataFrame], DataFrame]]) -> DataFrame:
+    """Run each route's flow on its staged rows and enter the result.
+
+    ``work`` maps a route to a function from staged rows to (key, error); it
+    does the cleaning, embedding and loading. The returned lineage has what
+    happened: loaded and completed, or failed with the error. Rows a flow gives
+    no answer for stay as they were.
+    """
+    done = reduce(DataFrame.unionByName, [
+        flow(staged.join(routed.filter(F.col("route") == route).select(key), key, "left_semi")).select(
+            key, F.col("error").cast("string").alias("__error"), F.lit(True).alias("__ran"))
+        for route, flow in work.items()])
+    out = routed.join(done, key, "left")
+    loaded = F.col("__ran") & F.col("__error").isNull()
+    return out.withColumns({
+        "current_stage": F.when(loaded, STAGES[-1]).otherwise(F.col("current_stage")),
+        "status": F.when(loaded, "completed").when(F.col("__ran"), "failed").otherwise(F.col("status")),
+        "error": F.col("__error")}).drop("__ran", "__error")
+
+
+def recovery_outcome(after: DataFrame) -> DataFrame:
+    """What the lineage says after a re-run: rows tried, rows now completed, and
+    rows that are not in staging or failed again."""
+    tried = F.col("route").isin("reclean", "load_only")
+    return after.agg(
         F.count("*").alias("attempted"),
-        F.count_if(F.col("route").isin("reclean", "load_only")).alias("recovered_count"),
-        F.count_if(F.col("route") == "not_found").alias("failed_count"))
+        F.count_if(tried & (F.col("status") == "completed")).alias("recovered_count"),
+        F.count_if((F.col("route") == "not_found") | (tried & (F.col("status") != "completed"))).alias("failed_count"))
 
 
 def compare_stores(source: DataFrame, stored: DataFrame, key: str) -> DataFrame:

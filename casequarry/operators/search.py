@@ -440,19 +440,6 @@ BY_COUNT = {1: (0.75, 5), 2: (0.75, 5), 3: (0.6, 5)}
 BY_SCORE = {1: (0.8, 5, 0.85), 2: (0.8, 10, 0.75), 3: (0.6, 20, None)}
 
 
-def fallback_stage(corpus: DataFrame, queries: DataFrame, product: str, family: str,
-                   enough: int = ENOUGH) -> DataFrame:
-    """Adds the narrowest stage with enough candidates: product, family, all.
-    Candidates are counted per value with map-side combine."""
-    def counts(column: str, name: str) -> DataFrame:
-        return corpus.groupBy(F.col(column).alias(column)).agg(F.count("*").alias(name))
-    counted = (queries.join(counts(product, "__np"), product, "left")
-               .join(counts(family, "__nf"), family, "left"))
-    return counted.withColumn("stage", F.when(F.coalesce("__np", F.lit(0)) >= enough, 1)
-                              .when(F.coalesce("__nf", F.lit(0)) >= enough, 2).otherwise(3)
-                              ).drop("__np", "__nf")
-
-
 def stage_message(stage: Column, product: str, family: str) -> Column:
     return (F.when(stage == 1, F.lit("Results for the exact product"))
             .when(stage == 2, F.concat(F.lit("Results from "), F.col(family),
@@ -472,35 +459,44 @@ def _at_stage(queries: DataFrame, product: str, family: str, settings: Mapping)
                         .when(F.col("stage") == 2, F.col(family)).cast("string")))
 
 
+def _all_stages(corpus: DataFrame, queries: DataFrame, doc_id: str, text: str, vector: str,
+                product: str, family: str, settings: Mapping) -> DataFrame:
+    """Results of every stage of every query, with ``stage``: the stages run as
+    separate queries of one search. Bounded by queries and limits, checkpointed."""
+    key = "__stage_query"
+    spread = queries.withColumn("stage", F.explode(F.array(*[F.lit(s) for s in settings])))
+    spread = _at_stage(spread, product, family, settings).withColumn(
+        key, F.concat_ws("#", F.col("query_id").cast("string"), F.col("stage").cast("string")))
+    found = cut(search_all(corpus, spread.drop("query_id").withColumnRenamed(key, "query_id"), doc_id,
+                           text, vector, [product, family]))
+    names = spread.select(F.col(key).alias("query_id"), F.col("query_id").alias("__qid"), "stage")
+    return found.join(names, "query_id").drop("query_id").withColumnRenamed("__qid", "query_id")
+
+
 def fallback_by_count(corpus: DataFrame, queries: DataFrame, doc_id: str, text: str, vector: str,
                       product: str, family: str, enough: int = ENOUGH) -> DataFrame:
-    """Results of the narrowest stage with enough candidates; one search for
-    all queries, whatever stage each ends in."""
-    staged = fallback_stage(corpus, queries, product, family, enough)
-    found = search_all(corpus, _at_stage(staged, product, family, BY_COUNT), doc_id, text, vector,
-                       [product, family])
-    told = staged.select("query_id", "stage", stage_message(F.col("stage"), product, family).alias("message"))
-    return found.join(told, "query_id")
+    """Results of the narrowest stage that has enough of them, else of the
+    widest. Results are counted, not candidates: a row of the right product
+    without a vector and without a query word is none."""
+    settings = {s: (alpha, max(limit, enough)) for s, (alpha, limit) in BY_COUNT.items()}
+    found = _all_stages(corpus, queries, doc_id, text, vector, product, family, settings)
+    full = (found.groupBy("query_id", "stage").agg(F.count("*").alias("n")).filter(F.col("n") >= enough)
+            .groupBy("query_id").agg(F.min("stage").alias("stage")))
+    told = queries.join(full, "query_id", "left").withColumn(
+        "stage", F.coalesce("stage", F.lit(max(BY_COUNT)))).select(
+        "query_id", "stage", stage_message(F.col("stage"), product, family).alias("message"))
+    most = F.create_map(*[F.lit(x) for s, v in BY_COUNT.items() for x in (s, v[1])])
+    return found.join(told, ["query_id", "stage"]).filter(F.col("rank") <= F.element_at(most, F.col("stage")))
 
 
 def fallback_by_score(corpus: DataFrame, queries: DataFrame, doc_id: str, text: str, vector: str,
                       product: str, family: str) -> DataFrame:
-    """Results of the first stage whose best score passes its bar. The three
-    stages of every query run as separate queries of the same search."""
-    key = "__stage_query"
-    spread = queries.withColumn("stage", F.explode(F.array(*[F.lit(s) for s in BY_SCORE])))
-    spread = _at_stage(spread, product, family, BY_SCORE).withColumn(
-        key, F.concat_ws("#", F.col("query_id").cast("string"), F.col("stage").cast("string")))
-    found = search_all(corpus, spread.drop("query_id").withColumnRenamed(key, "query_id"), doc_id,
-                       text, vector, [product, family])
-    found = cut(found)  # bounded by queries and limits, used twice
-    tagged = found.join(spread.select(F.col(key).alias("query_id"), F.col("query_id").alias("__qid"),
-                                      "stage"), "query_id").drop("query_id")
+    """Results of the first stage whose best score passes its bar."""
+    found = _all_stages(corpus, queries, doc_id, text, vector, product, family, BY_SCORE)
     bars = F.create_map(*[F.lit(x) for s, v in BY_SCORE.items() for x in (s, v[2] if v[2] else -1.0)])
-    tagged = tagged.withColumnRenamed("__qid", "query_id")
-    chosen = (tagged.filter((F.col("rank") == 1) & (F.col("score") > F.element_at(bars, F.col("stage"))))
+    chosen = (found.filter((F.col("rank") == 1) & (F.col("score") > F.element_at(bars, F.col("stage"))))
               .groupBy("query_id").agg(F.min("stage").alias("stage")))
-    return tagged.join(chosen, ["query_id", "stage"])
+    return found.join(chosen, ["query_id", "stage"])
 
 
 def adjusted_threshold(counts: Column, base: float = 0.7, step: float = 0.05, few: int = 5,

@@ -159,22 +159,33 @@ def alpha_grid_best(t):
 
 
 @query("regression_board", """
-WITH w AS (SELECT strftime(date_trunc('week', ts), '%Y-%m-%d') AS week, 'precision_at_5' AS metric,
-    avg(CASE WHEN event_type <> 'error' THEN 1.0::DOUBLE ELSE 0 END) AS value FROM events GROUP BY 1
-  UNION ALL SELECT strftime(date_trunc('week', ts), '%Y-%m-%d'), 'latency_p95', avg(value) FROM events GROUP BY 1),
-d AS (SELECT week, CASE metric WHEN 'precision_at_5' THEN 'RT001' ELSE 'RT003' END AS test_id, metric, value,
-  CASE WHEN (metric = 'precision_at_5' AND value >= 0.85) OR (metric = 'latency_p95' AND value < 1) THEN 'PASS'
-  ELSE 'FAIL' END AS status FROM w),
+WITH e AS (SELECT strftime(date_trunc('week', ts), '%Y-%m-%d') AS week, event_type, user_id, value, props FROM events),
+w AS (SELECT week, 'precision_at_5' AS metric, avg(CASE WHEN event_type <> 'error' THEN 1.0::DOUBLE ELSE 0 END) AS value FROM e GROUP BY 1
+  UNION ALL SELECT week, 'product_accuracy', avg(CASE WHEN event_type <> 'error' THEN 1.0::DOUBLE ELSE 0 END) FROM e WHERE user_id % 2 = 0 GROUP BY 1
+  UNION ALL SELECT week, 'pii_leaks', count(*) FILTER (contains(props, '@'))::DOUBLE FROM e GROUP BY 1
+  UNION ALL SELECT week, 'latency_p95', quantile_cont(value, 0.95) FROM e GROUP BY 1),
+t(metric, test_id) AS (VALUES ('precision_at_5', 'RT001'), ('product_accuracy', 'RT002'), ('latency_p95', 'RT003'), ('pii_leaks', 'RT005')),
+d AS (SELECT week, test_id, metric, value,
+  CASE WHEN (metric = 'precision_at_5' AND value >= 0.85) OR (metric = 'product_accuracy' AND value >= 0.8)
+    OR (metric = 'latency_p95' AND value < 1) OR (metric = 'pii_leaks' AND value <= 0) THEN 'PASS' ELSE 'FAIL' END AS status
+  FROM w JOIN t USING (metric)),
 l AS (SELECT week, metric, value, lag(value) OVER (PARTITION BY metric ORDER BY week) AS b FROM w)
 SELECT week, test_id, metric, round(value, 6) AS value, status FROM d
-UNION ALL SELECT week, 'RT004', metric, round(value, 6), CASE WHEN (metric = 'latency_p95' AND (value - b) / b > 0.05)
-  OR (metric <> 'latency_p95' AND (value - b) / b < -0.05) THEN 'FAIL' ELSE 'PASS' END FROM l""")
+UNION ALL SELECT week, 'RT004', metric, round(value, 6), CASE WHEN b <> 0 AND ((metric IN ('latency_p95', 'pii_leaks') AND (value - b) / b > 0.05)
+  OR (metric NOT IN ('latency_p95', 'pii_leaks') AND (value - b) / b < -0.05)) THEN 'FAIL' ELSE 'PASS' END FROM l""")
 def regression_board(t):
-    week = F.date_format(F.date_trunc("week", "ts"), "yyyy-MM-dd").alias("week")
+    """The four measures come from the events of a week: successes stand for
+    precision, those of even users for one product, ``@`` for a leak."""
+    from casequarry.skew import exact_percentiles
+    events = t.events.withColumn("week", F.date_format(F.date_trunc("week", "ts"), "yyyy-MM-dd"))
     ok = F.when(F.col("event_type") != "error", 1.0).otherwise(0.0)
-    weekly = t.events.groupBy(week).agg(F.avg(ok).alias("p"), F.avg("value").alias("l")).select(
-        "week", F.inline(F.array(F.struct(F.lit("precision_at_5").alias("metric"), F.col("p").alias("value")),
-                                 F.struct(F.lit("latency_p95").alias("metric"), F.col("l").alias("value")))))
+    measured = events.groupBy("week").agg(
+        F.avg(ok).alias("precision_at_5"), F.avg(F.when(F.col("user_id") % 2 == 0, ok)).alias("product_accuracy"),
+        F.count_if(F.contains("props", F.lit("@"))).cast("double").alias("pii_leaks"))
+    slow = exact_percentiles(events, ["week"], "value", {"latency_p95": 0.95})
+    names = ["precision_at_5", "product_accuracy", "pii_leaks", "latency_p95"]
+    weekly = measured.join(slow, "week").select("week", F.inline(F.array(*[
+        F.struct(F.lit(n).alias("metric"), F.col(n).alias("value")) for n in names])))
     return X.regression_board(weekly).withColumn("value", F.round("value", 6))
 
 

@@ -192,10 +192,17 @@ def recovery_routes(t):
 
 
 @query("recovery_outcome", f"""
-WITH {ROUTE_SQL} SELECT count(*) AS attempted, count(*) FILTER (WHERE route IN ('reclean', 'load_only')) AS recovered_count,
-  count(*) FILTER (WHERE route = 'not_found') AS failed_count FROM r""")
+WITH {ROUTE_SQL.replace("SELECT CASE WHEN o_orderkey % 97", "SELECT o_orderkey, CASE WHEN o_orderkey % 97")},
+d AS (SELECT route, CASE WHEN route = 'reclean' THEN o_totalprice >= 50000 ELSE o_orderstatus <> 'P' END AS ok
+  FROM r JOIN orders USING (o_orderkey))
+SELECT count(*) AS attempted, count(*) FILTER (WHERE route IN ('reclean', 'load_only') AND ok) AS recovered_count,
+  count(*) FILTER (WHERE route = 'not_found' OR (route IN ('reclean', 'load_only') AND NOT ok)) AS failed_count FROM d""")
 def recovery_outcome(t):
-    return J.recovery_outcome(routed(t))
+    """Small orders fail the cleaning flow again, pending ones the load."""
+    staged = t.orders.filter(F.col("o_orderkey") % 97 != 0)
+    work = {"reclean": lambda rows: rows.select("o_orderkey", F.when(F.col("o_totalprice") < 50000, "not clean").alias("error")),
+            "load_only": lambda rows: rows.select("o_orderkey", F.when(F.col("o_orderstatus") == "P", "not loaded").alias("error"))}
+    return J.recovery_outcome(J.rerun(routed(t), staged, "o_orderkey", work))
 
 
 @query("retry_schedule", """

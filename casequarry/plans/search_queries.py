@@ -232,18 +232,17 @@ def staged_queries(t):
 WITH {HYBRID_SQL},
 ctx AS (SELECT b.item_id, d.source || '/' || d.lang AS p, d.lang AS f FROM benchmark b
   JOIN documents d ON d.doc_id = b.item_id),
-stage AS (SELECT item_id, p, f, CASE
-  WHEN (SELECT count(*) FROM documents WHERE source || '/' || lang = p) >= 5 THEN 1
-  WHEN (SELECT count(*) FROM documents WHERE lang = f) >= 5 THEN 2 ELSE 3 END AS stage FROM ctx),
-c AS (SELECT hy.item_id, hy.doc_id, semantic, stage, bm.raw FROM hy JOIN stage USING (item_id)
-  JOIN documents d ON d.doc_id = hy.doc_id LEFT JOIN bm ON bm.item_id = hy.item_id AND bm.doc_id = hy.doc_id
-  WHERE stage = 3 OR (stage = 1 AND source || '/' || lang = p) OR (stage = 2 AND lang = f)),
-s AS (SELECT item_id, doc_id, stage, semantic, coalesce(raw / max(raw) OVER (PARTITION BY item_id), 0) AS keyword,
-  CASE WHEN stage = 3 THEN 0.6::DOUBLE ELSE 0.75::DOUBLE END AS a FROM c),
-r AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY round(a * semantic + (1 - a) * keyword, 9) DESC, doc_id)
-  AS rank FROM s)
-SELECT item_id AS query_id, stage, rank, doc_id, round(a * semantic + (1 - a) * keyword, 6) AS score
-FROM r WHERE rank <= 5""")
+sg(stage, a) AS (VALUES (1, 0.75::DOUBLE), (2, 0.75), (3, 0.6)),
+c AS (SELECT hy.item_id, hy.doc_id, semantic, sg.stage, a, bm.raw FROM hy JOIN ctx USING (item_id)
+  JOIN documents d ON d.doc_id = hy.doc_id LEFT JOIN bm ON bm.item_id = hy.item_id AND bm.doc_id = hy.doc_id, sg
+  WHERE sg.stage = 3 OR (sg.stage = 1 AND source || '/' || lang = p) OR (sg.stage = 2 AND lang = f)),
+s AS (SELECT *, coalesce(raw / max(raw) OVER (PARTITION BY item_id, stage), 0) AS keyword FROM c),
+r AS (SELECT *, row_number() OVER (PARTITION BY item_id, stage
+  ORDER BY round(a * semantic + (1 - a) * keyword, 9) DESC, doc_id) AS rank FROM s),
+g AS (SELECT item_id, coalesce(min(stage) FILTER (n >= 5), 3) AS stage
+  FROM (SELECT item_id, stage, count(*) AS n FROM r GROUP BY 1, 2) GROUP BY 1)
+SELECT r.item_id AS query_id, r.stage, rank, doc_id, round(a * semantic + (1 - a) * keyword, 6) AS score
+FROM r JOIN g ON g.item_id = r.item_id AND g.stage = r.stage WHERE rank <= 5""")
 def hybrid_fallback_stage(t):
     found = H.fallback_by_count(staged_corpus(t), staged_queries(t), "doc_id", "text", "embedding",
                                 "product", "family")

@@ -106,6 +106,17 @@ def test_fallback_by_count(data):
         assert [r["id"] for r in mine] == brute(docs, text, vector, alpha, keep, 5)
 
 
+def test_fallback_counts_results_not_candidates(spark):
+    """Six rows of the product have neither a vector nor a query word."""
+    rows = [(f"a{i}", "nothing here", None, "p", "f") for i in range(6)]
+    rows += [(f"b{i}", "boot fails", [1.0, 0.0], "other", "f") for i in range(6)]
+    corpus = spark.createDataFrame(rows, "id string, text string, vec array<float>, product string, family string")
+    asked = spark.createDataFrame([("q", "boot", [1.0, 0.0], "p", "f")],
+                                  "query_id string, text string, vector array<float>, product string, family string")
+    found = H.fallback_by_count(corpus, asked, "id", "text", "vec", "product", "family").collect()
+    assert {r["stage"] for r in found} == {2} and len(found) == 5
+
+
 def test_fallback_by_score_takes_the_first_good_stage(data):
     docs, queries, corpus, asked = data
     found = H.fallback_by_score(corpus, asked, "id", "text", "vec", "product", "family").collect()
