@@ -131,6 +131,13 @@ def embed(df: DataFrame, text: str, embedder: Embedder, size: int = DIMENSIONS,
     return df.mapInPandas(run, schema)
 
 
+def embed_issue_resolution(df: DataFrame, embedder: Embedder, size: int = DIMENSIONS, issue: str = "issue_text",
+                           resolution: str = "resolution_text") -> DataFrame:
+    """Two vectors per case: ``issue_vector`` and ``resolution_vector``."""
+    first = embed(df, issue, embedder, size, "issue_vector")
+    return embed(first, resolution, embedder, size, "resolution_vector")
+
+
 def embed_distinct(df: DataFrame, text: str, embedder: Embedder, size: int = DIMENSIONS,
                    out: str = "embedding") -> DataFrame:
     """Embed each distinct text once, then give every copy its vector.

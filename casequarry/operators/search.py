@@ -519,6 +519,22 @@ def combine(left: DataFrame, right: DataFrame, doc_id: str, how: str = "max",
             .orderBy(F.desc("score"), doc_id).limit(limit))
 
 
+def search_issue_and_resolution(corpus: DataFrame, doc_id: str, issue: str, resolution: str, query_vector: Column,
+                                limit: int = DEFAULT_LIMIT, each: int = 20, how: str = "max",
+                                weights: tuple[float, float] = (0.5, 0.5), least: float | None = None) -> DataFrame:
+    """One query against both vectors of the cases: the best ``each`` by issue
+    and by resolution, merged into one list."""
+    lists = [nearest(corpus, doc_id, v, query_vector, each, least).select(doc_id, F.col("cosine").alias("score"))
+             for v in (issue, resolution)]
+    return combine(*lists, doc_id, how, weights, limit)
+
+
+def similar_resolutions(corpus: DataFrame, doc_id: str, resolution: str, value, limit: int = 5) -> DataFrame:
+    """Cases resolved like the given one, without it."""
+    return similar_to(corpus, doc_id, resolution, value, limit)
+
+
+
 def match_type(score: Column) -> Column:
     return (F.when(score > 0.9, "Exact semantic match").when(score > 0.8, "Strong semantic similarity")
             .when(score > 0.7, "Moderate similarity").otherwise("Metadata match"))

@@ -285,6 +285,39 @@ def combined_lists(t):
     return H.combine(one(7), one(8), "vec_id").withColumn("score", F.round("score", 6))
 
 
+TWO_VECTORS_SQL = """p AS (SELECT e.vec_id, e.embedding::DOUBLE[] AS i, r.embedding::DOUBLE[] AS r
+  FROM embeddings e LEFT JOIN embeddings r ON r.vec_id = e.vec_id + 1),
+q AS (SELECT embedding::DOUBLE[] AS v FROM embeddings WHERE vec_id = 7)"""
+
+
+def two_vectors(t):
+    """Each vector as an issue, the next one as its resolution; the last has none."""
+    following = t.embeddings.select((F.col("vec_id") - 1).alias("vec_id"), F.col("embedding").alias("resolution_vector"))
+    return t.embeddings.select("vec_id", F.col("embedding").alias("issue_vector")).join(following, "vec_id", "left")
+
+
+@query("issue_resolution_search", f"""
+WITH {TWO_VECTORS_SQL},
+x AS (SELECT vec_id, round(list_cosine_similarity(v, i), 9) AS a FROM p, q ORDER BY a DESC, vec_id LIMIT 20),
+y AS (SELECT vec_id, round(list_cosine_similarity(v, r), 9) AS b FROM p, q WHERE r IS NOT NULL ORDER BY b DESC, vec_id LIMIT 20)
+SELECT vec_id, round(0.5 * coalesce(a, 0) + 0.5 * coalesce(b, 0), 6) AS score FROM x FULL OUTER JOIN y USING (vec_id)
+ORDER BY round(0.5 * coalesce(a, 0) + 0.5 * coalesce(b, 0), 9) DESC, vec_id LIMIT 10""")
+def issue_resolution_search(t):
+    target = H.vector_of(t.embeddings, "vec_id", "embedding", 7)
+    return H.search_issue_and_resolution(two_vectors(t), "vec_id", "issue_vector", "resolution_vector", target,
+                                         how="weighted").withColumn("score", F.round("score", 6))
+
+
+@query("similar_resolutions", f"""
+WITH {TWO_VECTORS_SQL}
+SELECT vec_id, round(list_cosine_similarity((SELECT r FROM p WHERE vec_id = 7), r), 6) AS cosine FROM p
+WHERE vec_id <> 7 AND r IS NOT NULL
+ORDER BY round(list_cosine_similarity((SELECT r FROM p WHERE vec_id = 7), r), 9) DESC, vec_id LIMIT 5""")
+def similar_resolutions(t):
+    return H.similar_resolutions(two_vectors(t), "vec_id", "resolution_vector", 7).select(
+        "vec_id", F.round("cosine", 6).alias("cosine"))
+
+
 @query("result_projection", f"""
 WITH {HYBRID_SQL},
 r AS (SELECT item_id, doc_id, score, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank

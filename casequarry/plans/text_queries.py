@@ -481,3 +481,21 @@ def composite_structure(t):
     text = A.composite_text(cases.columns)
     return (cases.select(F.size(F.split(text, r"\n\n", -1)).alias("sections"))
             .groupBy("sections").agg(F.count("*").alias("cases")))
+
+
+@query("transformed_cases", f"""
+WITH c AS (SELECT conv_id, text FROM conversations WHERE turn = 0),
+j AS (SELECT doc_id, source || CASE WHEN d.text <> '' THEN ' | ' || d.text ELSE '' END AS issue, coalesce(c.text, '') AS resolution
+  FROM documents d LEFT JOIN c ON conv_id = doc_id),
+t AS (SELECT doc_id, {sql_clean("issue")} AS issue, {sql_clean("resolution")} AS resolution FROM j)
+SELECT doc_id::VARCHAR AS "Id", md5(issue) AS issue_md5, md5(nullif(resolution, '')) AS resolution_md5,
+  CASE WHEN resolution = '' THEN 'missing: resolution_text' END AS error FROM t""")
+def transformed_cases(t):
+    """Join, issue and resolution text, cleaning and validation in one flow."""
+    cases = t.documents.select(F.col("doc_id").cast("string").alias("Id"), F.col("source").alias("Subject"),
+                               F.col("text").alias("Description"))
+    comments = t.conversations.filter("turn = 0").select(
+        F.col("text").alias("CommentBody"), F.col("conv_id").cast("string").alias("ParentId"))
+    none = t.spark.createDataFrame([], "Subject string, CaseId string")
+    done = A.transform_cases(cases, none, none, comments)
+    return done.select("Id", F.md5("issue_text").alias("issue_md5"), F.md5("resolution_text").alias("resolution_md5"), "error")
