@@ -154,13 +154,10 @@ TOKENS = {
 }
 OTHER_TOKEN = "[REDACTED]"
 
-# Product words that are never person names.
-PRODUCT_WORDS = ["proliant", "synergy", "apollo", "primera", "nimble", "ilo", "oneview",
-                 "infosight", "aruba", "simplivity", "greenlake", "ezmeral", "alletra", "edgeline"]
+# Words that no person name holds, risk tiers, high-risk tables and fields, keywords.
 TECH_TERMS = ["ProLiant", "Synergy", "Aruba", "Gen10", "iLO", "SimpliVity", "Primera", "Nimble",
               "Apollo", "HPE"]
 
-# Risk tier and high-risk fields per source table.
 TABLE_RISK = {"case": "MEDIUM", "task": "LOW", "workorder": "HIGH", "casecomment": "HIGH",
               "workorderfeed": "MEDIUM", "emailmessage": "CRITICAL"}
 HIGH_RISK_TABLES = ["emailmessage", "casecomments", "workorder"]

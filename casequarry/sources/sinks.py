@@ -41,9 +41,10 @@ def backfill(df: DataFrame, folder: str, day_of: Column) -> DataFrame:
 
 def write_envelopes(df: DataFrame, folder: str, key: str, rows_per_file: int = 10_000) -> None:
     """``{records, totalSize, done}`` documents of bounded size, one per line.
-    Rows are spread over documents by a hash of ``key``."""
+    Rows are dealt over documents by a hash of ``key`` and their place, so rows
+    that repeat a key do not meet in one document."""
     documents = F.ceil(df.agg(F.count("*")).scalar() / rows_per_file)
-    slot = F.pmod(F.xxhash64(key), F.greatest(F.lit(1), documents))
+    slot = F.pmod(F.xxhash64(key, F.monotonically_increasing_id()), F.greatest(F.lit(1), documents))
     packed = df.groupBy(slot.alias("__slot")).agg(
         F.collect_list(F.struct(*df.columns)).alias("records"))
     packed.select(F.to_json(F.struct(
