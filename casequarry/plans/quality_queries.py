@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from casequarry.functions import enrich as E
 from casequarry.functions import vectors as V
+from casequarry.operators import assemble as A
 from casequarry.operators import quality as Q
 from casequarry.plans.registry import query
 from casequarry.plans.text_queries import dated_cases
@@ -252,3 +253,16 @@ UNION ALL SELECT 'lineitem', count(*), 11 FROM lineitem
 UNION ALL SELECT 'documents', count(*), 5 FROM documents""")
 def table_summary(t):
     return exports.summary({"orders": t.orders, "lineitem": t.lineitem, "documents": t.documents})
+
+
+@query("case_lookup", "SELECT o_orderkey, o_custkey FROM orders WHERE o_orderkey IN (1, 7, 32, 100, 0)")
+def case_lookup(t):
+    return A.lookup(t.orders, "o_orderkey", 1, 7, 32, 100, 0).select("o_orderkey", "o_custkey")
+
+
+@query("upsert_equal_versions", """
+SELECT o_custkey, max(o_orderkey) AS o_orderkey FROM orders GROUP BY 1""")
+def upsert_equal_versions(t):
+    """All orders of a customer are changes of one version: the last by content stays."""
+    rows = t.orders.select("o_custkey", F.lpad(F.col("o_orderkey").cast("string"), 20, "0").alias("k"), F.lit(1).alias("v"))
+    return sinks.upsert(rows.limit(0), rows, "o_custkey", "v").select("o_custkey", F.col("k").cast("bigint").alias("o_orderkey"))

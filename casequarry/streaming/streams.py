@@ -17,6 +17,7 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType, Tim
 from casequarry.functions import pii
 from casequarry.functions.pii_rules import LEAK, STAGED
 from casequarry.operators import monitor
+from casequarry.session import cut
 from casequarry.sources import sinks
 
 LATENESS = "10 minutes"
@@ -87,7 +88,9 @@ def apply_changes(spark: SparkSession, batch: DataFrame, folder: str, key: str,
                   number: int) -> None:
     """One micro-batch into a versioned snapshot: clean rows are merged, the
     rest goes to the review queue. Repeating a batch gives the same version,
-    so a restart neither loses nor doubles it."""
+    so a restart neither loses nor doubles it. The cleaned batch is written once
+    and read for both."""
+    batch = cut(batch)
     batch.filter("leak").write.mode("overwrite").parquet(f"{folder}/review/batch={number}")
     rows = batch.filter(~F.col("leak")).drop("leak")
     target = f"{folder}/current"
