@@ -8,6 +8,7 @@ import numpy as np
 import pytest
 
 from casequarry.llm import repeats, span_dedup, suffix_dedup
+from tests.llm.tables import docs  # noqa: F401
 
 LEAST = -(1 << 63)
 

@@ -13,6 +13,7 @@ import __spark_entry__ as entry_points
 import corpus_pipeline
 from casequarry.llm import packing, quality, sanitise
 from casequarry.llm.queries import tokenizer_path
+from tests.llm.tables import docs  # noqa: F401
 from tests.llm.test_text_operators import brute_classes, brute_spans, plain_words
 
 FOLDER = "/root/testdata/sf0.001"

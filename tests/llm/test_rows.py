@@ -8,6 +8,7 @@ import numpy as np
 import pytest
 
 from casequarry.llm import chat, packing, urls
+from tests.llm.tables import docs  # noqa: F401
 
 tokenizers = pytest.importorskip("tokenizers")
 

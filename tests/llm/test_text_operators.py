@@ -10,6 +10,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from casequarry.llm import components, decontaminate, order_minhash, quality, sanitise, simhash
+from tests.llm.tables import docs  # noqa: F401
 
 FOLD = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
