@@ -28,7 +28,7 @@ from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 from casequarry.functions import text as T
 from casequarry.functions import vectors as V
 from casequarry.session import cut
-from casequarry.skew import top_n
+from casequarry.skew import salt_of, salts, top_n
 
 K1, B = 1.2, 0.75
 DEFAULT_ALPHA, DEFAULT_LIMIT = 0.75, 10
@@ -154,8 +154,7 @@ class Block:
     alpha: np.ndarray
     limit: np.ndarray
     least: np.ndarray
-    filter_on: list[str | None]
-    filter_value: list[str | None]
+    tests: list[tuple]                 # per query: (column, op, values) that must all hold
     idf: dict[int, float] = field(default_factory=dict)
     avgdl: float = 1.0
     best_keyword: np.ndarray | None = None
@@ -167,7 +166,7 @@ class Block:
             for code in terms:
                 self.weights[line, np.searchsorted(self.codes, code)] = self.idf.get(code, 0.0)
         self.step = max(64, min(1024, 1_000_000 // max(1, len(self.ids))))
-        self.filtered = [i for i, c in enumerate(self.filter_on) if c is not None]
+        self.filtered = [i for i, t in enumerate(self.tests) if t]
         return self
 
     def keyword(self, rows: pa.RecordBatch) -> np.ndarray:
@@ -201,10 +200,12 @@ class Block:
 
     def allowed(self, rows: pa.RecordBatch) -> np.ndarray:
         mask = np.ones((len(self.ids), rows.num_rows), dtype=bool)
-        values = {c: rows.column(c).to_numpy(zero_copy_only=False)
-                  for c in {self.filter_on[i] for i in self.filtered}}
+        held: dict = {}
         for line in self.filtered:
-            mask[line] = values[self.filter_on[line]] == self.filter_value[line]
+            for test in self.tests[line]:
+                if test not in held:
+                    held[test] = _holds(rows.column(test[0]), *test[1:])
+                mask[line] &= held[test]
         return mask
 
     def best(self, rows: pa.RecordBatch, ids: str) -> pd.DataFrame:
@@ -241,6 +242,22 @@ class Block:
                 yield rows.slice(at, self.step)
 
 
+def _holds(column: pa.Array, op: str, values: tuple[str, ...]) -> np.ndarray:
+    """Where one test of a query holds; nulls on either side hold nowhere."""
+    if op == "in":
+        found = pc.is_in(column, value_set=pa.array(values, pa.string()), skip_nulls=True)
+    elif op == "contains":
+        found = reduce(pc.or_, [pc.match_substring(column, v) for v in values if v is not None],
+                       pa.array(np.zeros(len(column), dtype=bool)))
+    elif op in ("from", "to"):
+        found = (pc.greater_equal if op == "from" else pc.less_equal)(column, values[0])
+    elif op in ("above", "below"):
+        found = (pc.greater if op == "above" else pc.less)(pc.cast(column, pa.float64()), float(values[0]))
+    else:
+        raise ValueError(f"unknown test {op}")
+    return pc.fill_null(found, False).to_numpy(zero_copy_only=False)
+
+
 def _hits(words: Sequence[str]) -> str:
     """SQL for the hashes of a row's query words. Membership is tested on the
     words themselves; the hash only makes them cheap to hand to Python."""
@@ -269,7 +286,23 @@ def _block_of(rows: list) -> Block:
         [r["query_id"] for r in rows], text_line, vector_line, [list(t) for t in texts], matrix,
         np.array([float(r["alpha"]) for r in rows]), np.array([int(r["limit"]) for r in rows]),
         np.array([float(r["least"]) for r in rows]),
-        [r["filter_on"] for r in rows], [r["filter_value"] for r in rows])
+        [tuple((t["column"], t["op"], tuple(t["values"])) for t in r["tests"]) for r in rows])
+
+
+TESTS = "array<struct<column:string,op:string,values:array<string>>>"
+
+
+def test(column: str, op: str, *values) -> Column:
+    """One test for ``tests``: ``in`` (equals one of), ``contains`` (any of),
+    ``from`` and ``to`` (text order, so times as ISO text), ``above`` and
+    ``below`` (numbers)."""
+    return F.struct(F.lit(column).alias("column"), F.lit(op).alias("op"), F.array(*[
+        (v if isinstance(v, Column) else F.lit(v)).cast("string") for v in values]).alias("values"))
+
+
+def all_of(*tests: Column) -> Column:
+    """The conjunction of the tests; a null one is not made."""
+    return F.array_compact(F.array(*tests)).cast(TESTS)
 
 
 QUERY_DEFAULTS = {"text": ("string", None), "vector": ("array<double>", None),
@@ -284,15 +317,21 @@ def search_all(corpus: DataFrame, queries: DataFrame, doc_id: str, text: str | N
     """Ranked results of every query: query_id, rank, id, score, semantic, keyword.
 
     ``queries`` has ``query_id`` and any of ``text, vector, alpha, limit, least,
-    filter_on, filter_value`` (keep only rows whose column ``filter_on`` equals
-    the value). Queries travel to the tasks in blocks of bounded size; every
-    block is one scan of the collection, two when keyword scores must first be
-    scaled by the best one. A task hands on at most ``limit`` rows per query.
+    tests, filter_on, filter_value``. ``tests`` (see ``test``) is a conjunction
+    per query over the columns named in ``filters``, ``filter_on`` a single column
+    that must equal a value; they limit the candidates, not the statistics. Queries
+    travel to the tasks in blocks of bounded size; every block reads and
+    tokenises the collection once. A task hands on at most ``limit`` rows per
+    query.
     """
     given = queries.columns
+    none = F.array().cast(TESTS)
+    tests = F.coalesce(F.col("tests").cast(TESTS), none) if "tests" in given else none
     full = queries.select("query_id", *[
         (F.col(c).cast(kind) if c in given else F.lit(default).cast(kind)).alias(c)
-        for c, (kind, default) in QUERY_DEFAULTS.items()])
+        for c, (kind, default) in QUERY_DEFAULTS.items()], tests.alias("tests"))
+    single = F.struct(F.col("filter_on").alias("column"), F.lit("in").alias("op"), F.array("filter_value").alias("values"))
+    full = full.withColumn("tests", F.concat("tests", all_of(F.when(F.col("filter_on").isNotNull(), single))))
     terms = F.array_distinct(T.tokens(F.col("text"))) if text else F.array().cast("array<string>")
     full = cut(full.withColumn("terms", terms).withColumn(
         "codes", F.transform("terms", lambda w: F.xxhash64(w))).drop("text"))
@@ -310,6 +349,9 @@ def search_all(corpus: DataFrame, queries: DataFrame, doc_id: str, text: str | N
 def _search_block(corpus: DataFrame, asked: list, queries: DataFrame, doc_id: str,
                   text: str | None, vector: str | None, filters: Sequence[str]) -> DataFrame:
     spark, block = corpus.sparkSession, _block_of(asked)
+    unknown = {t[0] for tests in block.tests for t in tests} - set(filters)
+    if unknown:
+        raise ValueError(f"columns {sorted(unknown)} are tested but not among the filters")
     words = dict(pair for r in asked for pair in zip(r["terms"] or [], r["codes"] or []))
     if len(set(words.values())) != len(words):
         raise ValueError("two query words share a hash; use smaller blocks")
@@ -317,10 +359,12 @@ def _search_block(corpus: DataFrame, asked: list, queries: DataFrame, doc_id: st
     columns = [F.col(doc_id), F.size("__tok").alias("__dl"), F.expr(_hits(sorted(words))).alias("__hits"),
                *[F.col(f).cast("string").alias(f) for f in filters]]
     if vector:
-        columns.append(V.as_double(F.col(vector)).alias("__vec"))
+        columns.append(F.col(vector).alias("__vec"))
     rows = corpus.withColumn("__tok", tokens).select(*columns)
 
     if words:
+        # A few numbers per row (and its vector) are kept: texts are tokenised once, not by each pass below.
+        rows = cut(rows)
         # One row per term, and one under null for the collection as a whole.
         seen = rows.select("__dl", F.explode(F.concat(
             F.array(F.lit(None).cast("bigint")), F.array_distinct("__hits"))).alias("code"))
@@ -437,6 +481,7 @@ def has_code(codes: Column, wanted: Sequence[str]) -> Column:
 ENOUGH = 5
 # Weight and limit per stage.
 BY_COUNT = {1: (0.75, 5), 2: (0.75, 5), 3: (0.6, 5)}
+URGENT = ["High", "Critical"]
 BY_SCORE = {1: (0.8, 5, 0.85), 2: (0.8, 10, 0.75), 3: (0.6, 20, None)}
 
 
@@ -447,28 +492,27 @@ def stage_message(stage: Column, product: str, family: str) -> Column:
             .otherwise(F.lit("Results from all products")))
 
 
-def _at_stage(queries: DataFrame, product: str, family: str, settings: Mapping) -> DataFrame:
+def _at_stage(queries: DataFrame, product: str, family: str, settings: Mapping, first: Sequence[Column]) -> DataFrame:
     def pick(i: int, kind: str) -> Column:
         out = F.lit(None).cast(kind)
         for s, values in settings.items():
             out = F.when(F.col("stage") == s, F.lit(values[i]).cast(kind)).otherwise(out)
         return out
-    return (queries.withColumn("alpha", pick(0, "double")).withColumn("limit", pick(1, "int"))
-            .withColumn("filter_on", F.when(F.col("stage") == 1, product).when(F.col("stage") == 2, family))
-            .withColumn("filter_value", F.when(F.col("stage") == 1, F.col(product))
-                        .when(F.col("stage") == 2, F.col(family)).cast("string")))
+    tests = (F.when(F.col("stage") == 1, all_of(test(product, "in", F.col(product)), *first))
+             .when(F.col("stage") == 2, all_of(test(family, "in", F.col(family)))).otherwise(F.array().cast(TESTS)))
+    return queries.withColumns({"alpha": pick(0, "double"), "limit": pick(1, "int"), "tests": tests})
 
 
-def _all_stages(corpus: DataFrame, queries: DataFrame, doc_id: str, text: str, vector: str,
-                product: str, family: str, settings: Mapping) -> DataFrame:
+def _all_stages(corpus: DataFrame, queries: DataFrame, doc_id: str, text: str, vector: str, product: str,
+                family: str, settings: Mapping, first: Sequence[Column] = (), also: Sequence[str] = ()) -> DataFrame:
     """Results of every stage of every query, with ``stage``: the stages run as
     separate queries of one search. Bounded by queries and limits, checkpointed."""
     key = "__stage_query"
     spread = queries.withColumn("stage", F.explode(F.array(*[F.lit(s) for s in settings])))
-    spread = _at_stage(spread, product, family, settings).withColumn(
+    spread = _at_stage(spread, product, family, settings, first).withColumn(
         key, F.concat_ws("#", F.col("query_id").cast("string"), F.col("stage").cast("string")))
     found = cut(search_all(corpus, spread.drop("query_id").withColumnRenamed(key, "query_id"), doc_id,
-                           text, vector, [product, family]))
+                           text, vector, [product, family, *also]))
     names = spread.select(F.col(key).alias("query_id"), F.col("query_id").alias("__qid"), "stage")
     return found.join(names, "query_id").drop("query_id").withColumnRenamed("__qid", "query_id")
 
@@ -490,9 +534,13 @@ def fallback_by_count(corpus: DataFrame, queries: DataFrame, doc_id: str, text:
 
 
 def fallback_by_score(corpus: DataFrame, queries: DataFrame, doc_id: str, text: str, vector: str,
-                      product: str, family: str) -> DataFrame:
-    """Results of the first stage whose best score passes its bar."""
-    found = _all_stages(corpus, queries, doc_id, text, vector, product, family, BY_SCORE)
+                      product: str, family: str, priority: str | None = None,
+                      priorities: Sequence[str] = URGENT) -> DataFrame:
+    """Results of the first stage whose best score passes its bar. With a
+    ``priority`` column the first stage asks for one of ``priorities`` too."""
+    first = [test(priority, "in", *priorities)] if priority else []
+    found = _all_stages(corpus, queries, doc_id, text, vector, product, family, BY_SCORE, first,
+                        [priority] if priority else [])
     bars = F.create_map(*[F.lit(x) for s, v in BY_SCORE.items() for x in (s, v[2] if v[2] else -1.0)])
     chosen = (found.filter((F.col("rank") == 1) & (F.col("score") > F.element_at(bars, F.col("stage"))))
               .groupBy("query_id").agg(F.min("stage").alias("stage")))
@@ -505,6 +553,20 @@ def adjusted_threshold(counts: Column, base: float = 0.7, step: float = 0.05, fe
     return F.when(counts < few, base - step).when(counts > many, base + step).otherwise(F.lit(base))
 
 
+def search_adjusting(corpus: DataFrame, queries: DataFrame, doc_id: str, text: str | None = None,
+                     vector: str | None = None, base: float = 0.7, step: float = 0.05, few: int = 5,
+                     many: int = 50, limit: int = DEFAULT_LIMIT, filters: Sequence[str] = ()) -> DataFrame:
+    """Search above ``base``; a query with too few results is widened by
+    ``step``, one with too many tightened. One search at the widest threshold
+    answers all three cases. Adds the ``threshold`` that was used."""
+    wide = queries.withColumn("least", F.lit(base - step)).withColumn("limit", F.lit(max(limit, many + 1)))
+    found = cut(search_all(corpus, wide, doc_id, text, vector, filters))
+    counts = found.groupBy("query_id").agg(F.count_if(F.col("score") >= base).alias("__n")).select(
+        "query_id", F.round(adjusted_threshold(F.col("__n"), base, step, few, many), DIGITS).alias("threshold"))
+    return found.join(counts, "query_id").filter(
+        (F.col("score") >= F.col("threshold")) & (F.col("rank") <= limit))
+
+
 # -- after the search ---------------------------------------------------------------------------
 
 def combine(left: DataFrame, right: DataFrame, doc_id: str, how: str = "max",
@@ -534,7 +596,6 @@ def similar_resolutions(corpus: DataFrame, doc_id: str, resolution: str, value,
     return similar_to(corpus, doc_id, resolution, value, limit)
 
 
-
 def match_type(score: Column) -> Column:
     return (F.when(score > 0.9, "Exact semantic match").when(score > 0.8, "Strong semantic similarity")
             .when(score > 0.7, "Moderate similarity").otherwise("Metadata match"))
@@ -597,10 +658,10 @@ def filter_values(corpus: DataFrame, fields: Sequence[str]) -> DataFrame:
 
 
 def by_group(results: DataFrame, group: str, doc_id: str) -> DataFrame:
-    """Results of a search listed per group; bounded by the search's limit."""
-    return results.groupBy(group).agg(
-        F.count("*").alias("n"), F.transform(F.array_sort(F.collect_list(F.struct("rank", doc_id))),
-                                             lambda r: r[doc_id]).alias("ids"))
+    """Results of a search per group: a row each, with the size ``n`` of its
+    group, so no group is gathered however many searches it comes from."""
+    sizes = results.groupBy(group).agg(F.count("*").alias("n"))
+    return results.join(sizes, group).select(group, "n", "query_id", "rank", doc_id)
 
 
 # -- strategies ------------------------------------------------------------------------------------
@@ -625,6 +686,38 @@ def with_strategy(queries: DataFrame, strategy: str) -> DataFrame:
     return queries.join(F.broadcast(presets), F.col(strategy) == F.col("name"), "left").drop("name")
 
 
+def wanted_tests(wanted: Column, keys: Column, date: str = "createdDate") -> Column:
+    """Tests from a map of filter keys to values. Of the keys only those of
+    ``keys`` count; lists are comma-separated, a date range is ``start/end``."""
+    def asked(key: str) -> Column:
+        return F.when(F.array_contains(keys, key), F.try_element_at(wanted, F.lit(key)))
+
+    def struct(column: str, op: str, values: Column) -> Column:
+        return F.when(values.isNotNull(), F.struct(
+            F.lit(column).alias("column"), F.lit(op).alias("op"), values.alias("values")))
+
+    tests = [struct(k, "in", F.split(asked(k), ",")) for k in [*EQUAL_KEYS, "priority"]]
+    tests += [struct(k, "contains", F.split(asked(k), ",")) for k in [*CONTAINS_KEYS, "errorCodes"]]
+    ends = F.split(asked("dateRange"), "/")
+    tests += [struct(date, "from", F.slice(ends, 1, 1)), struct(date, "to", F.slice(ends, 2, 1))]
+    return all_of(*tests)
+
+
+def search_by_strategy(corpus: DataFrame, queries: DataFrame, doc_id: str, text: str, vector: str,
+                       strategy: str, wanted: str, date: str = "createdDate") -> DataFrame:
+    """Every query with its preset's weight, limit and least score, filtered by
+    those of its ``wanted`` values that the preset filters by."""
+    ready = with_strategy(queries, strategy).withColumn("tests", wanted_tests(F.col(wanted), F.col("filter_keys"), date))
+    columns = [c for c in [*EQUAL_KEYS, *CONTAINS_KEYS, "priority", "errorCodes", date] if c in corpus.columns]
+    return search_all(corpus, ready, doc_id, text, vector, columns)
+
+
+def family_test(text: Column, families: Sequence[tuple[str, str]], column: str = "productFamily") -> Column:
+    """A test for the family of the product that a query names, null without one."""
+    family = F.coalesce(*[F.when(text.rlike("(?i)" + p), F.lit(n)) for p, n in families])
+    return F.when(family.isNotNull(), test(column, "in", family))
+
+
 def query_class(text: Column) -> Column:
     return (F.when(text.rlike(SKU), "sku").when(text.rlike(CODE), "specific")
             .when(text.rlike(CONCEPT), "conceptual").otherwise("technical"))
@@ -638,33 +731,45 @@ def alpha_for(kind: Column) -> Column:
 
 # -- approximate neighbours ----------------------------------------------------------------------------
 
-def with_cells(df: DataFrame, vector: str, cells: int, seed: int = 42):
-    """Rows with the number of their k-means cell, and the cell centres."""
+def kmeans_centres(df: DataFrame, vector: str, cells: int, seed: int = 42) -> DataFrame:
+    """``cells`` centres of the collection: cell, centre."""
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.functions import array_to_vector
-    usable = df.filter(F.col(vector).isNotNull()).withColumn(
-        "__features", array_to_vector(V.l2_normalize(V.as_double(F.col(vector)))))
-    model = KMeans(k=cells, seed=seed, featuresCol="__features", predictionCol="cell",
-                   maxIter=10).fit(usable)
-    return model.transform(usable).drop("__features"), np.array(model.clusterCenters())
-
-
-def approximate(corpus: DataFrame, queries: DataFrame, doc_id: str, vector: str, cells: int,
-                probes: int = 2, limit: int = DEFAULT_LIMIT) -> DataFrame:
-    """Search only the ``probes`` cells nearest to each query. With the
-    collection stored by cell the others are not read."""
-    placed, centres = with_cells(corpus, vector, cells)
-    unit = centres / np.maximum(np.linalg.norm(centres, axis=1, keepdims=True), 1e-12)
-    table = queries.sparkSession.createDataFrame(
-        [(i, [float(x) for x in c]) for i, c in enumerate(unit)], "cell int, centre array<double>")
-    by_cell = table.agg(F.collect_list(F.struct("cell", "centre"))).scalar()
+    usable = df.filter(F.col(vector).isNotNull()).select(
+        array_to_vector(V.l2_normalize(V.as_double(F.col(vector)))).alias("__features"))
+    model = KMeans(k=cells, seed=seed, featuresCol="__features", maxIter=10).fit(usable)
+    return df.sparkSession.createDataFrame(
+        [(i, [float(x) for x in c]) for i, c in enumerate(model.clusterCenters())], "cell int, centre array<double>")
+
+
+def nearest_cells(df: DataFrame, vector: str, centres: DataFrame, probes: int = 1) -> DataFrame:
+    """``df`` with ``unit`` (its vector at length 1) and a row for each of the
+    ``probes`` nearest ``cell``; the centres, some hundreds at most, ride along
+    as one value."""
+    table = centres.select("cell", V.l2_normalize(V.as_double(F.col("centre"))).alias("centre")).agg(
+        F.sort_array(F.collect_list(F.struct("cell", "centre")))).scalar()
     near = F.slice(F.array_sort(F.transform(F.col("__cells"), lambda c: F.struct(
-        (-V.dot(V.as_double(F.col("vector")), c["centre"])).alias("d"), c["cell"].alias("cell")))), 1, probes)
-    probed = queries.withColumn("__cells", by_cell).withColumn("__c", F.explode(near)).select(
-        F.concat_ws("#", F.col("query_id").cast("string"), F.col("__c.cell").cast("string")).alias("query_id"),
-        "vector", F.lit(1.0).alias("alpha"), F.lit(limit).alias("limit"), F.lit("cell").alias("filter_on"),
-        F.col("__c.cell").cast("string").alias("filter_value"))
-    found = search_all(placed, probed, doc_id, None, vector, ["cell"])
-    kind = queries.schema["query_id"].dataType
-    found = found.withColumn("query_id", F.split_part("query_id", F.lit("#"), F.lit(1)).cast(kind)).drop("rank")
-    return top_n(found, ["query_id"], [F.desc("score"), F.asc(doc_id)], limit, "rank", [doc_id])
+        (-V.dot(F.col("unit"), c["centre"])).alias("d"), c["cell"].alias("cell")))), 1, probes)
+    return (df.filter(F.col(vector).isNotNull()).withColumn("unit", V.l2_normalize(V.as_double(F.col(vector))))
+            .withColumn("__cells", table).withColumn("cell", F.explode(F.transform(near, lambda c: c["cell"])))
+            .drop("__cells"))
+
+
+def approximate(corpus: DataFrame, queries: DataFrame, doc_id: str, vector: str, cells: int = 0,
+                probes: int = 2, limit: int = DEFAULT_LIMIT, centres: DataFrame | None = None) -> DataFrame:
+    """Search only the ``probes`` cells nearest to each query.
+
+    Rows and probes meet by cell, so a row is compared only with the queries
+    that probe its cell; a cell is dealt over salts, and the few probes are
+    repeated for each. Ranking is in two levels. ``centres`` (cell, centre) are
+    given, or found by k-means.
+    """
+    centres = kmeans_centres(corpus, vector, cells) if centres is None else centres
+    n = salts(corpus.sparkSession)
+    rows = nearest_cells(corpus.select(doc_id, vector), vector, centres).select(
+        doc_id, "cell", F.col("unit").alias("__row"), salt_of([F.col(doc_id)], n).alias("__part"))
+    probed = nearest_cells(queries.select("query_id", "vector"), "vector", centres, probes).select(
+        "query_id", "cell", "unit", F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("__part"))
+    near = rows.join(probed, ["cell", "__part"]).select("query_id", doc_id, F.round(
+        V.certainty(V.dot(F.col("__row"), F.col("unit"))), DIGITS).alias("score"))
+    return top_n(near, ["query_id"], [F.desc("score"), F.asc(doc_id)], limit, "rank", [doc_id])

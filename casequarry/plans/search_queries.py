@@ -430,13 +430,12 @@ def filter_values(t):
 WITH {HYBRID_SQL},
 r AS (SELECT item_id, doc_id, score, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank
   FROM (SELECT item_id, doc_id, round({FUSED}, 9) AS score FROM hy))
-SELECT lang, count(*) AS n, string_agg(r.doc_id, ',' ORDER BY rank, r.doc_id) AS ids
-FROM r JOIN documents d ON d.doc_id = r.doc_id WHERE rank <= 10 GROUP BY 1""")
+SELECT lang, count(*) OVER (PARTITION BY lang) AS n, item_id AS query_id, rank, r.doc_id
+FROM r JOIN documents d ON d.doc_id = r.doc_id WHERE rank <= 10""")
 def results_by_group(t):
     found = H.search_all(corpus(t), golden(t), "doc_id", "text", "embedding")
     rows = found.join(t.documents.select("doc_id", "lang"), "doc_id")
-    return H.by_group(rows, "lang", "doc_id").withColumn(
-        "ids", F.array_join(F.transform("ids", lambda x: x.cast("string")), ","))
+    return H.by_group(rows, "lang", "doc_id")
 
 
 @query("query_strategies", r"""
@@ -505,3 +504,146 @@ def part_families_search(t):
     from casequarry.functions.enrich import product_family
     return t.part.groupBy(product_family(F.col("p_name"), PART_FAMILIES).alias("family"), "p_brand"
                           ).agg(F.count("*").alias("n"))
+
+
+# -- searches with filters per query -------------------------------------------------
+
+def filtered_sql(fields: str, wanted: str, fused: str, kept: str) -> str:
+    """``fields`` are columns per document, ``wanted`` per query; ``fused`` is the
+    score and ``kept`` the condition on (score, rank) and both."""
+    return f"""
+WITH {BM25_SQL},
+w AS (SELECT item_id, {wanted} FROM benchmark),
+f AS (SELECT doc_id, {fields} FROM documents),
+pairs AS (SELECT w.*, f.* FROM w, f WHERE {kept}),
+c AS (SELECT p.*, semantic, raw FROM pairs p LEFT JOIN sem ON sem.item_id = p.item_id AND sem.doc_id = p.doc_id
+  LEFT JOIN bm ON bm.item_id = p.item_id AND bm.doc_id = p.doc_id WHERE semantic IS NOT NULL OR raw > 0),
+k AS (SELECT *, coalesce(raw / max(raw) OVER (PARTITION BY item_id), 0) AS keyword FROM c),
+s AS (SELECT *, round({fused}, 9) AS score FROM k)"""
+
+
+CASE_FIELDS_SQL = """lang AS "productFamily", CASE WHEN doc_id % 3 = 0 THEN 'Closed' ELSE 'New' END AS status,
+  CASE doc_id % 4 WHEN 0 THEN 'High' WHEN 1 THEN 'Critical' WHEN 2 THEN 'Low' ELSE 'Medium' END AS priority,
+  source AS category, 'E' || (doc_id % 7) || ',E' || (doc_id % 11) AS "errorCodes",
+  strftime(DATE '2024-01-01' + (doc_id % 366)::INTEGER, '%Y-%m-%d') AS "createdDate", doc_id % 90 AS age"""
+
+
+def case_corpus(t):
+    """Documents and their vectors with the metadata of a case."""
+    i = F.col("doc_id")
+    return corpus(t).withColumns({
+        "productFamily": F.col("lang"), "status": F.when(i % 3 == 0, "Closed").otherwise("New"),
+        "priority": F.when(i % 4 == 0, "High").when(i % 4 == 1, "Critical").when(i % 4 == 2, "Low").otherwise("Medium"),
+        "category": F.col("source"),
+        "errorCodes": F.concat(F.lit("E"), (i % 7).cast("string"), F.lit(",E"), (i % 11).cast("string")),
+        "createdDate": F.date_format(F.date_add(F.lit("2024-01-01").cast("date"), (i % 366).cast("int")), "yyyy-MM-dd"),
+        "age": i % 90})
+
+
+@query("strategy_search", f"""{filtered_sql(CASE_FIELDS_SQL, '''item_id % 5 AS kind, CASE item_id % 5 WHEN 0 THEN 0.9::DOUBLE
+  WHEN 1 THEN 0.75 WHEN 4 THEN 0.85 ELSE 0.6 END AS a, CASE item_id % 5 WHEN 0 THEN 20 WHEN 1 THEN 10 WHEN 2 THEN 10
+  WHEN 3 THEN 50 ELSE 30 END AS most, CASE item_id % 5 WHEN 0 THEN 0.6::DOUBLE WHEN 2 THEN 0.65 WHEN 3 THEN 0.5 ELSE 0.7 END AS least''',
+"a * coalesce(semantic, 0) + (1 - a) * keyword", '''kind = 0
+  OR (kind = 1 AND "productFamily" = 'en' AND status = 'Closed' AND priority IN ('High', 'Critical'))
+  OR (kind = 2 AND contains("errorCodes", 'E5'))
+  OR (kind = 3 AND "createdDate" BETWEEN '2024-03-01' AND '2024-10-31')
+  OR (kind = 4 AND status = 'Closed')''')},
+r AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM s WHERE score >= least)
+SELECT item_id AS query_id, rank, doc_id, round(score, 6) AS score FROM r WHERE rank <= most""")
+def strategy_search(t):
+    """Each query runs with a preset, filtered by what the preset filters by."""
+    kind = F.col("query_id") % 5
+    name = F.lit(None).cast("string")
+    for i, preset in enumerate(H.STRATEGIES):
+        name = F.when(kind == i, preset[0]).otherwise(name)
+    wanted = F.create_map(*[F.lit(x) for x in (
+        "productFamily", "en", "status", "Closed", "priority", "High,Critical", "errorCodes", "E5",
+        "dateRange", "2024-03-01/2024-10-31")])
+    asked = golden(t).withColumns({"strategy": name, "wanted": wanted})
+    return shown(H.search_by_strategy(case_corpus(t), asked, "doc_id", "text", "embedding", "strategy", "wanted"))
+
+
+@query("stale_case_search", f"""{filtered_sql(CASE_FIELDS_SQL, "0.6::DOUBLE AS a", "a * coalesce(semantic, 0) + (1 - a) * keyword",
+"status = 'New' AND priority IN ('High', 'Critical') AND age > 30")},
+r AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM s)
+SELECT item_id AS query_id, rank, doc_id, round(score, 6) AS score FROM r WHERE rank <= 10""")
+def stale_case_search(t):
+    """Open urgent cases above an age, ranked by relevance."""
+    tests = H.all_of(H.test("status", "in", "New"), H.test("priority", "in", *H.URGENT), H.test("age", "above", 30))
+    asked = golden(t).withColumns({"alpha": F.lit(0.6), "tests": tests})
+    return shown(H.search_all(case_corpus(t), asked, "doc_id", "text", "embedding", ["status", "priority", "age"]))
+
+
+@query("error_code_hybrid", f"""{filtered_sql(CASE_FIELDS_SQL, "'E' || (item_id % 7) AS code, 0.3::DOUBLE AS a",
+"a * coalesce(semantic, 0) + (1 - a) * keyword", '''status = 'Closed' AND contains("errorCodes", code)''')},
+r AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM s)
+SELECT item_id AS query_id, rank, doc_id, round(score, 6) AS score FROM r WHERE rank <= 5""")
+def error_code_hybrid(t):
+    """A different code for each query, closed cases only, keyword-heavy."""
+    code = F.concat(F.lit("E"), (F.col("query_id") % 7).cast("string"))
+    tests = H.all_of(H.test("status", "in", "Closed"), H.test("errorCodes", "contains", code))
+    asked = golden(t).withColumns({"alpha": F.lit(0.3), "limit": F.lit(5), "tests": tests})
+    return shown(H.search_all(case_corpus(t), asked, "doc_id", "text", "embedding", ["status", "errorCodes"]))
+
+
+@query("product_word_search", f"""{filtered_sql(CASE_FIELDS_SQL, "CASE WHEN regexp_matches(text, '(?i)information') THEN 'en' WHEN regexp_matches(text, '(?i)les') THEN 'fr' END AS family",
+"0.75::DOUBLE * coalesce(semantic, 0) + 0.25::DOUBLE * keyword", '''family IS NULL OR "productFamily" = family''')},
+r AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM s)
+SELECT item_id AS query_id, rank, doc_id, round(score, 6) AS score FROM r WHERE rank <= 10""")
+def product_word_search(t):
+    """A word in the query that names a family limits the search to it."""
+    tests = H.all_of(H.family_test(F.col("text"), [("information", "en"), ("les", "fr")]))
+    return shown(H.search_all(case_corpus(t), golden(t).withColumn("tests", tests), "doc_id", "text", "embedding",
+                              ["productFamily"]))
+
+
+@query("adjusted_search", f"""
+WITH {HYBRID_SQL},
+s AS (SELECT item_id, doc_id, round({FUSED}, 9) AS score FROM hy),
+n AS (SELECT item_id, count(*) FILTER (score >= 0.55) AS n FROM s GROUP BY 1),
+g AS (SELECT item_id, CASE WHEN n < 5 THEN 0.5::DOUBLE WHEN n > 12 THEN 0.6 ELSE 0.55 END AS threshold FROM n),
+r AS (SELECT s.*, threshold, row_number() OVER (PARTITION BY s.item_id ORDER BY score DESC, doc_id) AS rank
+  FROM s JOIN g USING (item_id) WHERE score >= threshold)
+SELECT item_id AS query_id, threshold, rank, doc_id, round(score, 6) AS score FROM r WHERE rank <= 10""")
+def adjusted_search(t):
+    """Too few results widen the search, too many tighten it."""
+    found = H.search_adjusting(corpus(t), golden(t), "doc_id", "text", "embedding", 0.55, 0.05, 5, 12)
+    return found.select("query_id", "threshold", "rank", "doc_id", F.round("score", 6).alias("score"))
+
+
+@query("hybrid_fallback_priority", f"""
+WITH {HYBRID_SQL},
+ctx AS (SELECT b.item_id, d.source || '/' || d.lang AS p, d.lang AS f FROM benchmark b
+  JOIN documents d ON d.doc_id = b.item_id),
+sg(stage, a, most, bar) AS (VALUES (1, 0.8::DOUBLE, 5, 0.85::DOUBLE), (2, 0.8, 10, 0.75), (3, 0.6, 20, -1.0)),
+c AS (SELECT hy.item_id, hy.doc_id, semantic, sg.stage, a, most, bar, bm.raw FROM hy JOIN ctx USING (item_id)
+  JOIN documents d ON d.doc_id = hy.doc_id LEFT JOIN bm ON bm.item_id = hy.item_id AND bm.doc_id = hy.doc_id, sg
+  WHERE sg.stage = 3 OR (sg.stage = 1 AND source || '/' || lang = p AND d.doc_id % 4 < 2) OR (sg.stage = 2 AND lang = f)),
+s AS (SELECT *, coalesce(raw / max(raw) OVER (PARTITION BY item_id, stage), 0) AS keyword FROM c),
+r AS (SELECT *, round(a * semantic + (1 - a) * keyword, 9) AS score, row_number() OVER (PARTITION BY item_id, stage
+  ORDER BY round(a * semantic + (1 - a) * keyword, 9) DESC, doc_id) AS rank FROM s),
+g AS (SELECT item_id, min(stage) AS stage FROM r WHERE rank = 1 AND score > bar GROUP BY 1)
+SELECT r.item_id AS query_id, r.stage, rank, doc_id, round(score, 6) AS score FROM r JOIN g ON g.item_id = r.item_id
+  AND g.stage = r.stage WHERE rank <= most""")
+def hybrid_fallback_priority(t):
+    """Stage 1 asks for the product and an urgent priority."""
+    rows = case_corpus(t).withColumns({"product": F.concat_ws("/", "source", "lang"), "family": F.col("lang")})
+    return H.fallback_by_score(rows, staged_queries(t), "doc_id", "text", "embedding", "product", "family",
+                               "priority").select("query_id", "stage", "rank", "doc_id", F.round("score", 6).alias("score"))
+
+
+@query("ann_topk", """
+WITH v AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings),
+cell AS (SELECT a.vec_id, c.vec_id AS cell, row_number() OVER (PARTITION BY a.vec_id
+  ORDER BY round(list_cosine_similarity(a.e, c.e), 12) DESC, c.vec_id) AS place FROM v a, v c WHERE c.vec_id < 8),
+near AS (SELECT q.vec_id AS item_id, d.vec_id AS doc_id, round((1 + list_cosine_similarity(q.e, d.e)) / 2, 9) AS score
+  FROM cell p JOIN cell r ON r.cell = p.cell AND r.place = 1 AND p.place <= 2 JOIN v q ON q.vec_id = p.vec_id
+  JOIN v d ON d.vec_id = r.vec_id WHERE p.vec_id IN (SELECT item_id FROM benchmark)),
+r AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM near)
+SELECT item_id AS query_id, rank, doc_id, round(score, 6) AS score FROM r WHERE rank <= 10""")
+def ann_topk(t):
+    """Two cells of eight are searched; eight rows are the given centres."""
+    rows = t.embeddings.withColumnRenamed("vec_id", "doc_id")
+    centres = rows.filter("doc_id < 8").select(F.col("doc_id").alias("cell"), F.col("embedding").alias("centre"))
+    asked = golden(t).select("query_id", "vector").filter(F.col("vector").isNotNull())
+    return shown(H.approximate(rows, asked, "doc_id", "embedding", probes=2, centres=centres))
