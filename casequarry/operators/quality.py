@@ -184,7 +184,7 @@ def structure_issues(spark: SparkSession, path: str, table: str) -> DataFrame:
     gap is reported twice, for the table and for record 0."""
     from casequarry.sources.exports import is_json
     record = MapType(StringType(), StringType())
-    whole = spark.read.option("wholetext", True).text(path).withColumnRenamed("value", "doc")
+    whole = spark.read.text(path, wholetext=True).withColumnRenamed("value", "doc")
     first = F.left(F.ltrim(F.regexp_replace("doc", r"^\s+", "")), F.lit(1))
     parsed = whole.select(
         first.alias("first"), is_json(F.col("doc")).alias("is_json"),

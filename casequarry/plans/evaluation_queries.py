@@ -219,10 +219,39 @@ def ab_test_stats(t):
     return out.select("n_a", "n_b", *[F.round(c, 6).alias(c) for c in ("mean_a", "mean_b", "t")], "freedom")
 
 
-@query("ab_test_decision")
+def two_sided(t: str) -> str:
+    """Student's two-sided p value for ``t`` and ``freedom``: the density summed by Simpson's rule."""
+    return f"""(SELECT 1 - 2 * exp(lgamma((freedom + 1) / 2) - lgamma(freedom / 2)) / sqrt(pi() * freedom) * abs({t}) / 6000
+  * sum(CASE WHEN i = 0 OR i = 2000 THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END
+    * exp(-(freedom + 1) / 2 * ln(1 + pow(abs({t}) * i / 2000, 2) / freedom))) FROM range(0, 2001) x(i))"""
+
+
+@query("ab_test_decision", f"""
+WITH v AS (SELECT {VARIANT_SQL} AS variant, value, CASE WHEN event_type = 'purchase' THEN 1.0::DOUBLE ELSE 0 END AS hit FROM events),
+s AS (SELECT count(*) FILTER (variant = 'A') AS n_a, count(*) FILTER (variant = 'B') AS n_b,
+  avg(value) FILTER (variant = 'A') AS l_a, avg(value) FILTER (variant = 'B') AS l_b,
+  var_samp(value) FILTER (variant = 'A') AS lv_a, var_samp(value) FILTER (variant = 'B') AS lv_b,
+  avg(hit) FILTER (variant = 'A') AS h_a, avg(hit) FILTER (variant = 'B') AS h_b,
+  var_samp(hit) FILTER (variant = 'A') AS hv_a, var_samp(hit) FILTER (variant = 'B') AS hv_b FROM v),
+x AS (SELECT *, (n_a + n_b - 2)::DOUBLE AS freedom, sqrt(1.0::DOUBLE / n_a + 1.0::DOUBLE / n_b) AS shares FROM s),
+y AS (SELECT *, (l_a - l_b) / (shares * sqrt(((n_a - 1) * lv_a + (n_b - 1) * lv_b) / freedom)) AS lt,
+  (h_a - h_b) / (shares * sqrt(((n_a - 1) * hv_a + (n_b - 1) * hv_b) / freedom)) AS ht FROM x),
+p AS (SELECT *, {two_sided("lt")} AS lp, {two_sided("ht")} AS hp, (l_a - l_b) / l_a AS faster, (h_b - h_a) / h_a AS better FROM y)
+SELECT n_a AS variant_a_queries, n_b AS variant_b_queries, round(l_a, 6) AS variant_a_avg_latency,
+  round(l_b, 6) AS variant_b_avg_latency, round(faster, 6) AS latency_improvement, round(lp, 6) AS latency_p_value,
+  round(better, 6) AS precision_improvement, round(hp, 6) AS precision_p_value, lp < 0.05 AS latency_significant,
+  hp < 0.05 AS precision_significant,
+  CASE WHEN lp < 0.05 AND faster > 0.1 THEN 'Variant B shows ' || format('{{:.1f}}', faster * 100)
+    || '% latency improvement (statistically significant). Recommend rollout.'
+  WHEN hp < 0.05 AND better > 0.05 THEN 'Variant B shows ' || format('{{:.1f}}', better * 100)
+    || '% precision improvement (statistically significant). Recommend rollout.'
+  ELSE 'No significant improvement detected. Keep Variant A (baseline).' END AS recommendation FROM p""")
 def ab_test_decision(t):
     rows = with_variant(t).withColumn("hit", F.when(F.col("event_type") == "purchase", 1.0).otherwise(0.0))
-    return X.ab_decision(X.two_sample(rows, "variant", "value"), X.two_sample(rows, "variant", "hit"))
+    out = X.ab_decision(X.two_sample(rows, "variant", "value"), X.two_sample(rows, "variant", "hit"))
+    return out.withColumns({c: F.round(c, 6) for c in (
+        "variant_a_avg_latency", "variant_b_avg_latency", "latency_improvement", "latency_p_value",
+        "precision_improvement", "precision_p_value")})
 
 
 @query("latency_percentiles", """

@@ -74,7 +74,9 @@ def provider_fallback(t):
         F.count("*").alias("n"), F.round(F.sum(F.get("embedding", F.lit(0))), 4).alias("first_sum"))
 
 
-@query("embed_documents")
+@query("embed_documents", r"""
+SELECT doc_id, 256 AS dims, CASE WHEN regexp_matches(coalesce(text, ''), '[\p{L}\p{N}_]') THEN 1.0::DOUBLE ELSE 0.0 END AS magnitude,
+  NULL::VARCHAR AS embedding_error FROM documents""")
 def embed_documents(t):
     embedder = V.HashingEmbedder(256)
     out = V.embed_distinct(t.documents.select("doc_id", "text"), "text", embedder, 256)

@@ -40,8 +40,7 @@ def read_envelopes(spark: SparkSession, paths: str | Sequence[str], schema: Stru
 
 def unreadable(spark: SparkSession, paths: str | Sequence[str], lines: bool = False) -> DataFrame:
     """Path and text of every document, or line, that is not JSON."""
-    text = spark.read.option("wholetext", not lines).text(
-        paths if isinstance(paths, str) else list(paths))
+    text = spark.read.text(paths if isinstance(paths, str) else list(paths), wholetext=not lines)
     return text.select(F.input_file_name().alias("path"), F.col("value").alias("document")).filter(
         ~is_json(F.col("document")))
 
@@ -120,15 +119,16 @@ NESTED = {"task": ("Task", "CaseId"), "workorder": ("WorkOrder", "CaseId"),
           "emailmessage": ("EmailMessage", "ParentId")}
 
 
-def nested_cases(spark: SparkSession, path: str, root: str = "sample_data") -> DataFrame:
-    """One row per entry of ``root``: the case object and its child arrays."""
+def nested_cases(spark: SparkSession, path: str, root: str = "sample_data", lines: bool = False) -> DataFrame:
+    """One row per entry of ``root``: the case object and its child arrays.
+    With ``lines`` every line is a document of its own."""
     def child_type(table: str, key: str) -> StructType:
         return StructType([f for f in S.TABLES[table].fields if f.name != key])
     entry = StructType(
         [StructField("name", StringType()), StructField("Case", S.TABLES["case"])]
         + [StructField(n, ArrayType(child_type(t, k))) for t, (n, k) in NESTED.items()])
     schema = StructType([StructField(root, MapType(StringType(), entry))])
-    document = spark.read.schema(schema).option("multiLine", True).json(path)
+    document = spark.read.schema(schema).option("multiLine", not lines).json(path)
     return document.select(F.explode(F.col(root)).alias("entry_key", "e")).select("entry_key", "e.*")
 
 

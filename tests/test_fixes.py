@@ -81,3 +81,11 @@ def test_every_place_of_a_name_is_found_and_redacted(spark):
     from casequarry.functions.pii_rules import STAGED
     got = {r["id"]: r["t"] for r in P.redact_names(df, "id", "t", names, "n", rules=STAGED).collect()}
     assert got == {1: "[NAME_REDACTED] met [NAME_REDACTED] and Bob Jones", 2: None, 3: "[EMAIL_REDACTED] by [NAME_REDACTED]"}
+
+
+def test_export_over_several_lines_is_one_document(spark, tmp_path):
+    case = {"Id": "1", "CaseNumber": "5001", "Subject": "s", "Description": "d", "Status": "Closed"}
+    path = tmp_path / "cases.json"
+    path.write_text(json.dumps({"records": [case]}, indent=2))
+    assert quality.structure_issues(spark, str(path), "case").count() == 0
+    assert exports.unreadable(spark, str(path)).count() == 0
