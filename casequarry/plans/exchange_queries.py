@@ -16,6 +16,7 @@ from casequarry.operators import assemble as A
 from casequarry.operators import quality as Q
 from casequarry.operators.compliance import red_team
 from casequarry.plans.flow_queries import export_cases, work_folder
+from casequarry.plans.quality_queries import CHANGES_SQL
 from casequarry.plans.registry import query
 from casequarry.sources import exports, sinks
 
@@ -220,3 +221,20 @@ def pii_decoded(t):
     letters = F.concat(F.lit("Dial 1-800-DEED-"), F.lpad((F.col("item_id") % 1000).cast("string"), 3, "0"), F.lit(" now"))
     return t.benchmark.select("item_id", F.md5(F.array_join(pii.decoded_tokens(coded), "")).alias("decoded_md5"),
                               pii.phone_letters(letters).alias("dialled"))
+
+
+@query("upsert_buckets", f"""
+WITH {CHANGES_SQL}, r AS (SELECT *, row_number() OVER (PARTITION BY o_orderkey
+  ORDER BY version DESC, o_orderstatus DESC, o_totalprice DESC) AS n FROM changes)
+SELECT o_orderkey, version, o_orderstatus FROM r WHERE n = 1""")
+def upsert_buckets(t):
+    """Orders, then their lines as changes, merged into a snapshot in buckets."""
+    base = t.orders.select("o_orderkey", "o_orderstatus", "o_totalprice", F.lit(1).alias("version"))
+    changes = t.lineitem.select(
+        F.col("l_orderkey").alias("o_orderkey"), F.concat(F.lit("L"), "l_linestatus").alias("o_orderstatus"),
+        F.col("l_extendedprice").alias("o_totalprice"), (F.col("l_linenumber") + 1).alias("version"))
+    folder, order = work_folder(t), F.struct("version", "o_orderstatus", "o_totalprice")
+    for number, rows in enumerate((base, changes)):
+        rows = rows.withColumn("v", order)
+        sinks.upsert_buckets(rows, folder, "o_orderkey", "v", number, 16)
+    return sinks.read_buckets(t.spark, folder, rows.schema).select("o_orderkey", "version", "o_orderstatus")

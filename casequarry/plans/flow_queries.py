@@ -198,6 +198,26 @@ def stream_zero_results(t):
     return finished(t, rate, "complete").select(F.date_format("start", "yyyy-MM-dd").alias("start"), "bucket", "n", "hits")
 
 
+@query("stream_late_rows", """
+SELECT strftime(time_bucket(INTERVAL 1 HOUR, ts), '%Y-%m-%d %H:%M:%S') AS start, event_type, count(*) AS n FROM events GROUP BY 1, 2""")
+def stream_late_rows(t):
+    """Windows written once they are closed: later events close them, and when
+    the first ones come a second time they are too late to count."""
+    folder, length = work_folder(t), "1 hour"
+    events = t.events.select("event_type", F.col("ts").cast("timestamp").alias("ts"))
+    later = events.withColumn("ts", F.col("ts") + F.expr("interval 365 days"))
+    for rows in (events, later, events):
+        rows.write.mode("append").parquet(f"{folder}/in")
+        stream = t.spark.readStream.schema(events.schema).parquet(f"{folder}/in")
+        counts = M.window_counts(K.late(stream, "ts"), "ts", length, ["event_type"])
+        counts.writeStream.format("parquet").option("path", f"{folder}/out").option(
+            "checkpointLocation", f"{folder}/checkpoint").outputMode("append").trigger(
+            availableNow=True).start().awaitTermination()
+    last = events.agg(F.max("ts")).scalar()
+    closed = t.spark.read.schema(counts.schema).parquet(f"{folder}/out").filter(F.col("start") <= last)
+    return closed.select(F.date_format("start", MIN).alias("start"), "event_type", "n")
+
+
 @query("stream_clean_upsert", f"SELECT doc_id, md5(text) AS text_md5 FROM ({ORACLE['pii_redacted_cover']})")
 def stream_clean_upsert(t):
     """Documents as change events: cleaned, split, merged into a snapshot. What

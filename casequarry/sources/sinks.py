@@ -147,6 +147,48 @@ def current_version(spark: SparkSession, folder: str) -> str | None:
     return max(found) if found else None
 
 
+def bucket_of(key: str, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
+
+
+def bucket_paths(spark: SparkSession, folder: str) -> tuple[int, dict[int, str]]:
+    """Number of the newest complete manifest (-1 if none) and where each
+    bucket's rows are; as many lines as there are buckets."""
+    newest = current_version(spark, f"{folder}/manifests")
+    if newest is None:
+        return -1, {}
+    rows = spark.read.parquet(newest).collect()
+    return int(newest.rsplit("=", 1)[1]), {r["bucket"]: r["path"] for r in rows}
+
+
+def upsert_buckets(changes: DataFrame, folder: str, key: str, version: str, number: int, buckets: int = 64) -> None:
+    """Merge a batch into a snapshot kept in hash buckets of the key.
+
+    Only buckets with changes are read and written again; the others stay where
+    they are. A batch counts once its manifest is complete, and repeating a
+    batch changes nothing. ``buckets`` stays the same for the life of a folder.
+    """
+    spark = changes.sparkSession
+    done, paths = bucket_paths(spark, folder)
+    if done >= number:
+        return
+    touched = [r["bucket"] for r in changes.select(bucket_of(key, buckets).alias("bucket")).distinct().collect()]
+    old = [paths[b] for b in touched if b in paths]
+    base = spark.read.schema(changes.schema).parquet(*old) if old else spark.createDataFrame([], changes.schema)
+    target = f"{folder}/batches/batch={number:08d}"
+    (upsert(base, changes, key, version).withColumn("bucket", bucket_of(key, buckets)).hint("rebalance", F.col("bucket"))
+     .write.mode("overwrite").partitionBy("bucket").parquet(target))
+    paths.update({b: f"{target}/bucket={b}" for b in touched})
+    manifest = spark.createDataFrame(sorted(paths.items()), "bucket int, path string").coalesce(1)
+    write_version(manifest, f"{folder}/manifests", number)
+
+
+def read_buckets(spark: SparkSession, folder: str, schema) -> DataFrame:
+    """The current snapshot of ``upsert_buckets``."""
+    paths = list(bucket_paths(spark, folder)[1].values())
+    return spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
+
+
 def delete(current: DataFrame, ids: DataFrame, key: str) -> DataFrame:
     return current.join(ids.select(key), key, "left_anti")
 

@@ -85,15 +85,19 @@ def cleaned(stream: DataFrame, text: str, table: str | None = None) -> DataFrame
 
 
 def apply_changes(spark: SparkSession, batch: DataFrame, folder: str, key: str, version: str,
-                  number: int) -> None:
+                  number: int, buckets: int | None = None) -> None:
     """One micro-batch into a versioned snapshot: clean rows are merged, the
     rest goes to the review queue. Repeating a batch gives the same version,
     so a restart neither loses nor doubles it. The cleaned batch is written once
-    and read for both."""
+    and read for both. With ``buckets`` only the buckets with changes are written
+    again (read by ``sinks.read_buckets``), else the whole snapshot."""
     batch = cut(batch)
     batch.filter("leak").write.mode("overwrite").parquet(f"{folder}/review/batch={number}")
     rows = batch.filter(~F.col("leak")).drop("leak")
     target = f"{folder}/current"
+    if buckets:
+        sinks.upsert_buckets(rows, target, key, version, number, buckets)
+        return
     newest = sinks.current_version(spark, target)
     if newest is not None and int(newest.rsplit("=", 1)[1]) >= number:
         return
@@ -102,12 +106,12 @@ def apply_changes(spark: SparkSession, batch: DataFrame, folder: str, key: str,
 
 
 def run_changes(stream: DataFrame, folder: str, checkpoint: str, key: str, version: str, text: str,
-                at: str, table: str | None = None, **trigger):
+                at: str, table: str | None = None, buckets: int | None = None, **trigger):
     """Dedupe, clean, split and upsert a stream of change events."""
     spark = stream.sparkSession
     ready = cleaned(deduplicated(stream, at, [key, version]), text, table)
     return (ready.writeStream.option("checkpointLocation", checkpoint)
-            .foreachBatch(lambda batch, number: apply_changes(spark, batch, folder, key, version, number))
+            .foreachBatch(lambda batch, number: apply_changes(spark, batch, folder, key, version, number, buckets))
             .trigger(**(trigger or {"availableNow": True})).start())
 
 

@@ -124,3 +124,17 @@ def test_repeated_batch_changes_nothing(spark, tmp_path):
         K.apply_changes(spark, rows, str(tmp_path / "s"), "id", "version", 4)
     newest = sinks.current_version(spark, str(tmp_path / "s" / "current"))
     assert newest.endswith("00000004") and spark.read.parquet(newest).count() == 1
+
+
+def test_buckets_without_changes_stay(spark, tmp_path):
+    folder, schema = str(tmp_path / "b"), "id long, version int, x string"
+    first = spark.range(200).selectExpr("id", "1 AS version", "'a' AS x")
+    sinks.upsert_buckets(first, folder, "id", "version", 0, 8)
+    before = sinks.bucket_paths(spark, folder)[1]
+    change = spark.createDataFrame([(7, 2, "b"), (7, 1, "late")], schema)
+    for _ in range(2):
+        sinks.upsert_buckets(change, folder, "id", "version", 1, 8)
+    number, after = sinks.bucket_paths(spark, folder)
+    assert number == 1 and len(after) == 8 and sum(after[b] != before[b] for b in after) == 1
+    rows = {r["id"]: r["x"] for r in sinks.read_buckets(spark, folder, first.schema).collect()}
+    assert len(rows) == 200 and rows[7] == "b" and rows[8] == "a"
