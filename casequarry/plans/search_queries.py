@@ -47,12 +47,14 @@ def vector_pad(t):
 @query("vector_normalized", """
 WITH n AS (SELECT vec_id, embedding, sqrt(list_sum(list_transform(embedding, lambda x: x::DOUBLE * x::DOUBLE))) AS m
   FROM embeddings)
-SELECT vec_id, round(embedding[1]::DOUBLE / m, 6) AS first, round(embedding[64]::DOUBLE / m, 6) AS last FROM n""")
+SELECT vec_id, round(embedding[1]::DOUBLE / m, 6) AS first, round(embedding[64]::DOUBLE / m, 6) AS last,
+  round(list_sum(list_transform(embedding, lambda x, i: i * x::DOUBLE / m)), 4) AS all_values FROM n""")
 def vector_normalized(t):
     unit = V.l2_normalize(V.as_double(F.col("embedding")))
     return t.embeddings.withColumn("u", unit).select(
         "vec_id", F.round(F.get("u", F.lit(0)), 6).alias("first"),
-        F.round(F.get("u", F.lit(63)), 6).alias("last"))
+        F.round(F.get("u", F.lit(63)), 6).alias("last"),
+        F.round(F.aggregate(F.transform("u", lambda x, i: (i + 1) * x), F.lit(0.0), lambda a, x: a + x), 4).alias("all_values"))
 
 
 @query("embedding_success_rate", """

@@ -47,11 +47,9 @@ def html_unescape_pages(t):
 
 
 @query("unicode_normalized_docs", """
-SELECT doc_id, md5(nfc_normalize(text)) AS text_md5
-FROM documents WHERE regexp_matches(text, '[^\\x00-\\x7F]')""")
+SELECT doc_id, md5(nfc_normalize(text)) AS text_md5 FROM documents""")
 def unicode_normalized_docs(t):
-    return t.documents.filter(F.col("text").rlike(r"[^\x00-\x7F]")).select(
-        "doc_id", F.md5(T.normalize_unicode(F.col("text"))).alias("text_md5"))
+    return t.documents.select("doc_id", F.md5(T.normalize_unicode(F.col("text"))).alias("text_md5"))
 
 
 @query("standardized_values", """
@@ -264,12 +262,14 @@ f AS (SELECT o_orderkey AS case_id, CASE WHEN raw = '' THEN 'Uncategorized' ELSE
     END AS category,
   CASE WHEN closed IS NULL THEN 'Open' WHEN hours < 0 THEN 'Invalid' WHEN hours < 4 THEN '0-4 hours'
   WHEN hours < 24 THEN '4-24 hours' WHEN hours < 168 THEN '1-7 days' ELSE '>7 days' END AS bucket,
-  'Q' || quarter(created) || ' ' || year(created) AS quarter, age FROM e)
-SELECT case_id, category, bucket, quarter, concat_ws('; ',
+  'Q' || quarter(created) || ' ' || year(created) AS quarter, age, status, created FROM e)
+SELECT case_id, category, bucket, quarter, status, o_orderpriority AS priority, 'ring' AS product, 'Other' AS family,
+  year(created)::INTEGER AS year, month(created)::INTEGER AS month,
+  CASE WHEN age >= 0 THEN floor(age / 86400)::BIGINT END AS age_days, concat_ws('; ',
   CASE WHEN category = 'Uncategorized' THEN 'Category is uncategorized' END,
   CASE WHEN age < 0 THEN 'Invalid creation date' END,
   CASE WHEN bucket = 'Invalid' THEN 'Invalid date range: ClosedDate before CreatedDate' END)
-  AS warnings FROM f""")
+  AS warnings FROM f JOIN orders ON o_orderkey = case_id""")
 def case_enrichment(t):
     orders = t.orders.select("o_orderkey", "o_orderstatus", "o_orderpriority")
     none = F.lit(None).cast("string")
@@ -284,7 +284,8 @@ def case_enrichment(t):
     rich = E.enrich(cases, F.to_timestamp(F.lit(NOW)))
     return rich.select(
         F.col("caseId").alias("case_id"), "category", F.col("resolutionTimeBucket").alias("bucket"),
-        "quarter", F.array_join(E.enrichment_warnings(
+        "quarter", "status", "priority", "product", F.col("productFamily").alias("family"), "year", "month",
+        F.col("ageInDays").cast("bigint").alias("age_days"), F.array_join(E.enrichment_warnings(
             F.col("productFamily"), F.col("category"), F.col("ageInDays"),
             F.col("resolutionTimeBucket")), "; ").alias("warnings"))
 

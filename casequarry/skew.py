@@ -124,11 +124,13 @@ def exact_percentiles(df: DataFrame, keys: Sequence[str], value: str,
     return out.drop("__all")
 
 
-def small_side(df: DataFrame, limit: int = 200_000) -> DataFrame:
-    """``df`` ready to be joined: broadcast when a count of its checkpointed
-    rows proves it small, else left to a shuffle join."""
+def small_side(df: DataFrame, limit: int = 16 << 20) -> DataFrame:
+    """``df`` ready to be joined: broadcast when its checkpointed rows, measured
+    as text, are proven to be at most ``limit`` bytes, else left to a shuffle
+    join."""
     kept = cut(df)
-    return F.broadcast(kept) if kept.limit(limit + 1).count() <= limit else kept
+    size = kept.agg(F.sum(F.octet_length(F.to_json(F.struct("*"))))).first()[0] or 0
+    return F.broadcast(kept) if size <= limit else kept
 
 
 def spread(scan: DataFrame) -> DataFrame:
