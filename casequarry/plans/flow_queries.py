@@ -12,13 +12,15 @@ from pyspark.sql import functions as F
 
 from casequarry import schemas as S
 from casequarry.functions import vectors as V
+from casequarry.functions.pii_rules import STAGED
 from casequarry.functions.text import query_length_bucket
 from casequarry.operators import assemble as A
 from casequarry.operators import monitor as M
 from casequarry.operators import quality as Q
 from casequarry.operators.compliance import clean_records
-from casequarry.plans.pii_queries import with_table
+from casequarry.plans.pii_queries import SQL_COVER, TOKEN_SQL, sql_hits, with_table
 from casequarry.plans.registry import ORACLE, query
+from casequarry.plans.text_queries import sql_clean
 from casequarry.session import checkpoint_dir
 from casequarry.skew import spread
 from casequarry.sources import exports, sinks
@@ -108,7 +110,28 @@ def collection_load(t):
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
-@query("case_flow")
+# Documents and turns as one set of texts, none from a table with rules of its own.
+FLOW_TEXTS = """docs AS (SELECT doc_id * 2 AS doc_id, text FROM documents
+  UNION ALL SELECT (conv_id * 1000 + turn) * 2 + 1, text FROM conversations)"""
+
+
+@query("case_flow", f"""
+WITH RECURSIVE {FLOW_TEXTS}, {sql_hits([r for r in STAGED if r.table is None])}, {SQL_COVER},
+gaps AS (SELECT doc_id, type, start, stop,
+  coalesce(lag(stop) OVER (PARTITION BY doc_id ORDER BY start), 0) AS before FROM merged),
+built AS (SELECT g.doc_id, string_agg(substr(text, before + 1, start - before) || {TOKEN_SQL}, ''
+    ORDER BY start) || substr(any_value(text), max(stop) + 1) AS clean
+  FROM gaps g JOIN docs d ON d.doc_id = g.doc_id GROUP BY 1),
+k AS (SELECT d.doc_id, coalesce(clean, text) AS text FROM docs d LEFT JOIN built b ON b.doc_id = d.doc_id),
+c AS (SELECT conv_id, string_agg({sql_clean('k.text')}, ' | ' ORDER BY turn) AS s FROM conversations
+  JOIN k ON k.doc_id = (conv_id * 1000 + turn) * 2 + 1 WHERE k.text <> '' GROUP BY 1),
+j AS (SELECT concat_ws(chr(10) || chr(10), 'Case: ' || d.doc_id || ' | ' || source || ' | Status: ' || lang,
+  CASE WHEN k.text <> '' THEN 'ISSUE: ' || {sql_clean('k.text')} END, 'COMMENTS: ' || c.s) AS s
+  FROM documents d JOIN k ON k.doc_id = d.doc_id * 2 LEFT JOIN c ON c.conv_id = d.doc_id),
+x AS (SELECT length(s) > 30000 AS was_truncated, CASE WHEN length(s) > 30000 THEN substr(substr(s, 1, 24000) || chr(10) || chr(10)
+  || '[...TRUNCATED...]' || chr(10) || chr(10) || right(s, 6000), 1, 30000) ELSE s END AS s FROM j)
+SELECT was_truncated, 'ok' AS outcome, count(*) AS cases, cast(sum(length(s)) AS BIGINT) AS characters,
+  cast(sum(('0x' || substr(md5(s), 1, 8))::BIGINT) AS BIGINT) AS text_hash FROM x GROUP BY 1""")
 def case_flow(t):
     """The whole flow: assemble, clean, compose, embed, check."""
     raw = t.documents.select("doc_id", F.col("doc_id").cast("string").alias("caseNumber"),
@@ -122,7 +145,8 @@ def case_flow(t):
     vectors = V.embed_distinct(texts, "compositeText", V.HashingEmbedder(256), 256)
     checked = sinks.load_check(vectors, "embedding", 256)
     return checked.groupBy("was_truncated", F.coalesce("error", F.lit("ok")).alias("outcome")).agg(
-        F.count("*").alias("cases"), F.sum(F.length("compositeText")).alias("characters"))
+        F.count("*").alias("cases"), F.sum(F.length("compositeText")).alias("characters"),
+        F.sum(F.conv(F.left(F.md5("compositeText"), F.lit(8)), 16, 10).cast("bigint")).alias("text_hash"))
 
 
 # -- streams ----------------------------------------------------------------------
