@@ -167,3 +167,19 @@ def test_query_classes(spark):
             ("memory patterns", "technical")]
     df = spark.createDataFrame(rows, "t string, k string")
     assert df.filter(H.query_class(F.col("t")) != F.col("k")).count() == 0
+
+
+def test_conjunctions_per_query(spark):
+    rows = [(i, "boot", "Closed" if i % 2 else "New", None if i == 3 else f"E{i % 3},E9", str(i * 10)) for i in range(12)]
+    corpus = spark.createDataFrame(rows, "id int, text string, status string, codes string, age string")
+    asked = spark.createDataFrame([("a", "Closed", "E1"), ("b", None, "E2"), ("c", "New", None)],
+                                  "query_id string, status string, code string").withColumns({
+        "text": F.lit("boot"), "alpha": F.lit(0.0), "limit": F.lit(20)})
+    tests = H.all_of(H.test("status", "in", F.col("status")), F.when(F.col("code").isNotNull(), H.test(
+        "codes", "contains", F.col("code"))), H.test("age", "above", 30), H.test("age", "below", 110))
+    ready = asked.withColumn("tests", tests)
+    found = H.search_all(corpus, ready, "id", "text", None, ["status", "codes", "age"]).collect()
+    got = {q: {r["id"] for r in found if r["query_id"] == q} for q in "abc"}
+    assert got == {"a": {7}, "b": set(), "c": {4, 6, 8, 10}}
+    with pytest.raises(ValueError, match="not among the filters"):
+        H.search_all(corpus, ready, "id", "text", None, ["status"])
