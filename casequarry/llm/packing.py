@@ -4,8 +4,8 @@ Texts become token ids in tasks; a document longer than a sequence is cut into
 full pieces and a rest. Pieces (a few numbers each) are dealt at random into
 groups of about ``GROUP`` and each group is packed by itself: best fit, longest
 first, then exchanges between underfull sequences that raise the sum of squared
-fills: move a piece, swap one for one, or one for two, always out of the
-emptier sequence, until it is empty or nothing helps. A group wastes about one
+fills: move a piece, swap one for one, or one for two, in repeated passes over
+all underfull sequences until no exchange helps. A group wastes about one
 sequence, so groups of this size cost nothing visible and bound memory.
 
 The tokenizer folds case, drops white space and never joins across it, so texts
@@ -19,10 +19,12 @@ ignored.
 from __future__ import annotations
 
 import bisect
+import heapq
 import re
 import struct
 import zlib
 from collections import defaultdict
+from itertools import combinations
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
@@ -167,67 +169,114 @@ def best_fit(lengths: list[int], capacity: int) -> list[list[int]]:
     return bins
 
 
+class _Receivers:
+    """Underfull bins by ``reach``: the free space there is once items of length ``back`` are out of the bin.
+
+    An item of length s fits when back < s <= reach, and then reach - s stays free.
+    """
+
+    def __init__(self, capacity: int):
+        self.bins: list[dict[int, dict[int, None]]] = [{} for _ in range(capacity + 1)]  # by reach, then back
+        self.least: list[list[int]] = [[] for _ in range(capacity + 1)]  # heaps of back, some out of date
+
+    @staticmethod
+    def _backs(sizes: list[int]) -> set[int]:
+        kinds = set(sizes)
+        twice = {k for k in kinds if sizes.count(k) > 1} if len(kinds) < len(sizes) else ()
+        return {0, *kinds, *(x + y for x, y in combinations(kinds, 2)), *(2 * k for k in twice)}
+
+    def add(self, b: int, free: int, sizes: list[int]) -> None:
+        for back in self._backs(sizes) if free and sizes else ():
+            here = self.bins[back + free]
+            if back not in here:
+                here[back] = {}
+                heapq.heappush(self.least[back + free], back)
+            here[back][b] = None
+
+    def remove(self, b: int, free: int, sizes: list[int]) -> None:
+        for back in self._backs(sizes) if free and sizes else ():
+            here = self.bins[back + free]
+            del here[back][b]
+            if not here[back]:
+                del here[back]
+
+    def find(self, size: int, free: int, donor: int) -> tuple[int, int] | None:
+        """Bin and length to give back, so that less than ``free`` stays free there, as little as can be."""
+        for reach in range(size, min(size + free, len(self.bins))):
+            here, heap = self.bins[reach], self.least[reach]
+            while heap and heap[0] not in here:
+                heapq.heappop(heap)
+            if not heap or heap[0] >= size:
+                continue
+            for b in here[heap[0]]:
+                if b != donor:
+                    return b, heap[0]
+            for back in sorted(here):  # only the donor itself is at the first one
+                if back >= size:
+                    break
+                for b in here[back]:
+                    if b != donor:
+                        return b, back
+        return None
+
+
 def local_search(bins: list[list[int]], lengths: list[int], capacity: int) -> list[list[int]]:
-    """Empty the emptiest underfull bins into the others; every step raises the squared fill.
+    """Exchange items between underfull bins, emptiest donors first, until no step raises the squared fill.
 
-    A step takes an item out of the donor and gives it to a fuller bin, for
+    A step takes an item out of the donor and gives it to another bin, for
     nothing (move), for one smaller item or for two (swap), the exchange that
-    fills the receiver most. A donor that gets empty is gone.
+    leaves the receiver fullest, and fuller than the donor was. Passes over all
+    donors are repeated until one changes nothing. A donor that gets empty is gone.
     """
-    fill = [sum(lengths[i] for i in b) for b in bins]
-    # Underfull bins by free space, and for each the lengths it could give back.
-    open_bins = sorted((b for b in range(len(bins)) if fill[b] < capacity), key=lambda b: fill[b])
-    rank = {b: k for k, b in enumerate(open_bins)}
-    for donor in open_bins:
-        receivers = [b for b in open_bins[rank[donor] + 1:] if fill[b] < capacity]
-        improved = True
-        while improved and bins[donor]:
-            improved = False
-            for item in sorted(bins[donor], key=lambda i: -lengths[i]):
-                best = None
-                for b in receivers:
-                    free = capacity - fill[b]
-                    if free <= 0 or fill[b] < fill[donor]:
-                        continue
-                    offer = _exchange(lengths[item], free, bins[b], lengths)
-                    if offer and (best is None or free - offer[0] < best[0]):
-                        best = (free - offer[0], b, offer)
-                        if best[0] == 0:
-                            break
-                if best:
-                    _, b, (gain, back) = best
-                    bins[donor].remove(item)
-                    bins[donor].extend(back)
-                    bins[b] = [x for x in bins[b] if x not in back] + [item]
-                    fill[donor] -= gain
-                    fill[b] += gain
-                    improved = True
-                    break
-        if bins[donor]:
-            break  # fuller donors are harder to empty
+    bins = [list(b) for b in bins]
+    free = [capacity - sum(lengths[i] for i in b) for b in bins]
+    receivers = _Receivers(capacity)
+    sizes = lambda b: [lengths[i] for i in bins[b]]
+    for b in range(len(bins)):
+        receivers.add(b, free[b], sizes(b))
+
+    def step(donor: int) -> bool:
+        for size in sorted(set(sizes(donor)), reverse=True):
+            found = receivers.find(size, free[donor], donor)
+            if found:
+                b, back = found
+                receivers.remove(donor, free[donor], sizes(donor))
+                receivers.remove(b, free[b], sizes(b))
+                item = next(i for i in bins[donor] if lengths[i] == size)
+                given = _given(back, bins[b], lengths)
+                bins[donor] = [i for i in bins[donor] if i != item] + given
+                bins[b] = [i for i in bins[b] if i not in given] + [item]
+                free[donor] += size - back
+                free[b] -= size - back
+                receivers.add(donor, free[donor], sizes(donor))
+                receivers.add(b, free[b], sizes(b))
+                return True
+        return False
+
+    changed = True
+    while changed:
+        changed = False
+        for donor in sorted((b for b in range(len(bins)) if bins[b] and free[b]), key=lambda b: -free[b]):
+            while bins[donor] and free[donor] and step(donor):
+                changed = True
     return [b for b in bins if b]
 
 
-def _exchange(size: int, free: int, items: list[int], lengths: list[int]) -> tuple[int, list[int]] | None:
-    """Largest gain of the receiver (at most ``free``) and what it gives back for an item of ``size``."""
-    if size <= free:
-        return size, []
-    need = size - free  # must come back at least, and less than size
-    mine = sorted((lengths[i], i) for i in items if lengths[i] < size)
-    best = None
-    at = bisect.bisect_left(mine, (need, -1))
-    if at < len(mine):
-        best = (size - mine[at][0], [mine[at][1]])
-    low, high = 0, len(mine) - 1
-    while low < high:
-        both = mine[low][0] + mine[high][0]
-        if both < need:
-            low += 1
-            continue
-        if both < size and (best is None or size - both > best[0]):
-            best = (size - both, [mine[low][1], mine[high][1]])
-        high -= 1
-    return best
+def _given(back: int, items: list[int], lengths: list[int]) -> list[int]:
+    """None, one or two of ``items`` of length ``back`` together."""
+    if not back:
+        return []
+    by_length: dict[int, list[int]] = defaultdict(list)
+    for i in items:
+        by_length[lengths[i]].append(i)
+    if back in by_length:
+        return by_length[back][:1]
+    for size, here in by_length.items():
+        if 2 * size == back and len(here) > 1:
+            return here[:2]
+        if 2 * size != back and back - size in by_length:
+            return [here[0], by_length[back - size][0]]
+    raise ValueError("no such items")
 
 
 def pack_lengths(lengths: list[int], capacity: int = CAPACITY) -> list[list[int]]:

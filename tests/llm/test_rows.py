@@ -176,5 +176,23 @@ def test_search_improves_on_best_fit():
     assert len(packing.local_search([[0, 1, 2], [3], [4], [5]], [60, 15, 10, 85, 90, 40], 100)) == 3
 
 
+def test_search_goes_on_past_a_donor_without_offers():
+    # The emptiest bin has no offer until 820 and 614 change places between the other two.
+    assert len(packing.pack_lengths([820, 820, 614, 614, 614, 614])) == 2
+    assert len(packing.pack_lengths([820] * 30 + [614] * 60)) == 30
+
+
+def test_no_exchange_is_left():
+    r = random.Random(6)
+    for _ in range(100):
+        lengths = [r.randint(1, r.choice([30, 60, 100])) for _ in range(r.randint(0, 30))]
+        bins = [[lengths[i] for i in b] for b in packing.pack_lengths(lengths, 100)]
+        for d, donor in enumerate(bins):
+            for s in donor:
+                for b, other in enumerate(bins):
+                    backs = [0, *other, *(x + y for k, x in enumerate(other) for y in other[:k])]
+                    assert b == d or not any(y < s and sum(donor) < sum(other) + s - y <= 100 for y in backs)
+
+
 def test_nothing_to_pack(docs):
     assert packing.pack(docs([]), path()).count() == 0
