@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from casequarry.llm import chat, decontaminate, order_minhash, packing, quality, sanitise, simhash, span_dedup, sql, suffix_dedup, urls
+from casequarry.llm import chat, clusters, decontaminate, order_minhash, packing, quality, sanitise, simhash, span_dedup, sql, suffix_dedup, urls
 from casequarry.llm.common import table
 
 QUERIES = {}
@@ -90,3 +90,8 @@ def tokenizer_path(name="word_bpe_49k.json"):
 @query("op10_packing")
 def op10_packing(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
+@query("op11_clusters", sql.CLUSTERS)
+def op11_clusters(spark, sf_dir):
+    return clusters.cluster(table(spark, sf_dir, "embeddings"))

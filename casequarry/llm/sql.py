@@ -136,3 +136,31 @@ SELECT d.doc_id, (length(h) // 2)::BIGINT AS n_bytes, coalesce(removed, 0)::BIGI
   sha256(unhex(coalesce(head, '') || substr(h, 2 * coalesce(last, 0) + 1))) AS kept_sha256
 FROM d LEFT JOIN kept ON d.doc_id = kept.doc_id
 """
+
+
+def _clusters(k: int = 8, rounds: int = 10) -> str:
+    """Rounds written out, one after another; sums are rounded down."""
+    steps = []
+    for r in range(rounds + 1):
+        steps.append(f"""a{r} AS MATERIALIZED (SELECT vec_id, min(struct_pack(d := d, c := c)) AS best FROM (
+            SELECT vec_id, c, sum((v.x - m.x) * (v.x - m.x))::BIGINT AS d FROM v JOIN m{r} m USING (j) GROUP BY vec_id, c) GROUP BY vec_id)""")
+        if r < rounds:
+            steps.append(f"""m{r + 1} AS MATERIALIZED (SELECT o.c, o.j, coalesce((s - ((s % n) + n) % n) // n, o.x)::BIGINT AS x
+            FROM m{r} o LEFT JOIN (SELECT best.c AS c, j, sum(x)::HUGEINT AS s, count(*) AS n FROM a{r} JOIN v USING (vec_id) GROUP BY 1, 2) t
+            ON o.c = t.c AND o.j = t.j)""")
+    return f"""
+WITH kept AS (SELECT vec_id, embedding FROM embeddings WHERE len(embedding) = 64
+  AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64),
+v AS MATERIALIZED (SELECT vec_id, unnest(range(64)) AS j, unnest(list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT)) AS x FROM kept),
+h AS (SELECT vec_id, row_number() OVER (ORDER BY sha256('3:' || vec_id)) - 1 AS c FROM kept),
+m0 AS MATERIALIZED (SELECT c, j, x FROM h JOIN v USING (vec_id) WHERE c < {k}),
+{", ".join(steps)},
+q AS (SELECT vec_id, best.c AS c, best.d AS d FROM a{rounds}),
+i AS (SELECT c, sum(d)::BIGINT AS cluster_inertia FROM q GROUP BY c),
+n AS (SELECT c, sha256(string_agg(x::VARCHAR, ',' ORDER BY j)) AS centroid_sha256 FROM m{rounds} GROUP BY c)
+SELECT vec_id, c::INT AS cluster, d AS distance, cluster_inertia, (SELECT sum(d)::BIGINT FROM q) AS inertia, centroid_sha256
+FROM q JOIN i USING (c) JOIN n USING (c)
+"""
+
+
+CLUSTERS = _clusters()

@@ -160,4 +160,4 @@ def test_terms_are_sanitised_as_defined(spark, docs):
 def test_run_and_names(spark):
     assert corpus_pipeline.run(spark, FOLDER).count() > 0
     names = [n for n in entry_points.queries() if re.match(r"op\d+_", n)]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11)) and "pipeline" in entry_points.queries()
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14)) and "pipeline" in entry_points.queries()
