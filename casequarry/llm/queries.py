@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from casequarry.llm import chat, clusters, decontaminate, order_minhash, packing, quality, sanitise, simhash, span_dedup, sql, suffix_dedup, urls
+from casequarry.llm import chat, clusters, collocations, decontaminate, order_minhash, packing, quality, sanitise, simhash, span_dedup, sql, suffix_dedup, urls
 from casequarry.llm.common import table
 
 QUERIES = {}
@@ -95,3 +95,8 @@ def op10_packing(spark, sf_dir):
 @query("op11_clusters", sql.CLUSTERS)
 def op11_clusters(spark, sf_dir):
     return clusters.cluster(table(spark, sf_dir, "embeddings"))
+
+
+@query("op12_collocations", sql.COLLOCATIONS)
+def op12_collocations(spark, sf_dir):
+    return collocations.mine(table(spark, sf_dir, "documents"))

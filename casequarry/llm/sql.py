@@ -164,3 +164,22 @@ FROM q JOIN i USING (c) JOIN n USING (c)
 
 
 CLUSTERS = _clusters()
+
+COLLOCATIONS = rf"""
+WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), '{_UP}', '{_LOW}'),
+  '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+w AS MATERIALIZED (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p),
+g AS (SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase
+      FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM w, (SELECT unnest(range(1, 6)) AS k) WHERE len(w) >= k)),
+f AS MATERIALIZED (SELECT lang, phrase, k, count(*) AS f FROM g GROUP BY lang, phrase, k HAVING count(*) >= 100),
+t AS (SELECT lang, sum(len(w))::BIGINT AS n FROM w GROUP BY lang),
+c AS (SELECT lang, phrase, k AS size, f AS a, string_split(phrase, ' ') AS w, unnest(range(1, k)) AS k FROM f WHERE k > 1),
+s AS (SELECT c.lang, c.phrase, c.size, a, c.k, x.f AS l, y.f AS r, n, ((1000::HUGEINT * a * n) // (x.f::HUGEINT * y.f))::BIGINT AS score
+  FROM c JOIN f x ON x.lang = c.lang AND x.phrase = array_to_string(c.w[:c.k], ' ')
+  JOIN f y ON y.lang = c.lang AND y.phrase = array_to_string(c.w[c.k + 1:], ' ') JOIN t ON t.lang = c.lang),
+b AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM b WHERE NOT EXISTS (SELECT 1 FROM f z WHERE z.lang = b.lang AND z.k > b.size AND 100 * z.f >= 100 * b.a
+  AND contains(' ' || z.phrase || ' ', ' ' || b.phrase || ' '))
+QUALIFY rank <= 2000
+"""
