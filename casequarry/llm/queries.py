@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from casequarry.llm import chat, clusters, collocations, decontaminate, order_minhash, packing, quality, sanitise, simhash, span_dedup, sql, suffix_dedup, urls
+from casequarry.llm import chat, clusters, collocations, decontaminate, maxent, order_minhash, packing, quality, sanitise, simhash, span_dedup, sql, suffix_dedup, urls
 from casequarry.llm.common import table
 
 QUERIES = {}
@@ -100,3 +100,8 @@ def op11_clusters(spark, sf_dir):
 @query("op12_collocations", sql.COLLOCATIONS)
 def op12_collocations(spark, sf_dir):
     return collocations.mine(table(spark, sf_dir, "documents"))
+
+
+@query("op13_maxent")
+def op13_maxent(spark, sf_dir):
+    return maxent.score(table(spark, sf_dir, "documents"))
