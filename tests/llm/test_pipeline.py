@@ -14,7 +14,8 @@ import corpus_pipeline
 from casequarry.llm import packing, quality, sanitise
 from casequarry.llm.queries import tokenizer_path
 from tests.llm.tables import docs  # noqa: F401
-from tests.llm.test_text_operators import brute_classes, brute_spans, plain_words
+from tests.llm.test_near_copies import brute_kept
+from tests.llm.test_text_operators import brute_spans, plain_words
 
 FOLDER = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test data")
@@ -115,8 +116,7 @@ def test_each_stage_equals_plain_python(spark, tmp_path):
     assert after == sorted(((i, t) for i, t in before if score(t) >= 0.3), key=key)
 
     before, after = step("near_duplicates")
-    names = {c for _, _, c in brute_classes(before)}
-    assert [i for i, _ in after if i is not None] == sorted(i for i in names if i is not None)
+    assert [i for i, _ in after if i is not None] == sorted(i for i, _ in brute_kept(before) if i is not None)
     assert set(after) <= set(before)
 
     items = [x["text"] for x in spark.read.parquet(f"{tmp_path}/benchmark.parquet").collect()]
