@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from casequarry.functions import text as T
 from casequarry.functions.pii_rules import LEAK
 from casequarry.operators import compliance as P
+from casequarry.operators import digests as D
 from casequarry.operators import monitor as M
 from casequarry.operators import reconcile as J
 from casequarry.plans.registry import query
+from casequarry.session import checkpoint_dir
 
 FIELDS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority"]
 
@@ -37,7 +41,7 @@ def damaged(t):
     return kept.unionByName(lost).withColumn("checksum", J.checksum(FIELDS))
 
 
-@query("checksum_reconcile", f"""
+RECONCILE_SQL = f"""
 WITH a AS (SELECT o_orderkey, {sum_sql()} AS c,
   CASE o_orderkey % 3 WHEN 0 THEN {sum_sql()} WHEN 1 THEN {sum_sql("'x' || o_orderstatus")} ELSE 'none' END AS r FROM orders),
 b AS (SELECT o_orderkey, {sum_sql("CASE WHEN o_orderkey % 89 = 0 THEN 'x' || o_orderstatus ELSE o_orderstatus END")} AS c
@@ -46,16 +50,59 @@ b AS (SELECT o_orderkey, {sum_sql("CASE WHEN o_orderkey % 89 = 0 THEN 'x' || o_o
 o AS (SELECT CASE WHEN b.c IS NULL THEN 'MISSING' WHEN a.c IS NULL THEN 'ORPHANED' WHEN a.c = b.c THEN 'MATCH'
   WHEN a.r = a.c THEN 'STALE' WHEN a.r = b.c THEN 'SOURCE_NEWER' ELSE 'CORRUPT' END AS outcome
   FROM a FULL OUTER JOIN b ON a.o_orderkey = b.o_orderkey)
-SELECT outcome, count(*) AS n FROM o GROUP BY 1""")
+SELECT outcome, count(*) AS n FROM o GROUP BY 1"""
+
+
+@query("checksum_reconcile", RECONCILE_SQL)
 def checksum_reconcile(t):
+    return J.compare_stores(recomputed(t), damaged(t), "o_orderkey").groupBy("outcome").agg(F.count("*").alias("n"))
+
+
+def recomputed(t):
     k = F.col("o_orderkey") % 3
     source = source_rows(t)
     altered = t.orders.withColumn("o_orderstatus", F.concat(F.lit("x"), "o_orderstatus")).select(
         "o_orderkey", J.checksum(FIELDS).alias("other"))
-    source = source.join(altered, "o_orderkey").withColumn("recomputed", F.when(
+    return source.join(altered, "o_orderkey").withColumn("recomputed", F.when(
         k == 0, F.col("checksum")).when(k == 1, F.col("other")).otherwise("none"))
-    return J.compare_stores(source, damaged(t), "o_orderkey").groupBy("outcome").agg(
-        F.count("*").alias("n"))
+
+
+def stored_digests(t, store, name):
+    """Digests as a store keeps them: written, and read again."""
+    folder = f"{checkpoint_dir(t.spark)}/digests-{uuid.uuid4().hex}/{name}"
+    D.write(D.digests(store, "o_orderkey", depth=3), folder)
+    return D.read(t.spark, folder)
+
+
+@query("digest_reconcile", RECONCILE_SQL)
+def digest_reconcile(t):
+    """The same outcomes; only rows of differing leaves are joined."""
+    source, stored = recomputed(t), damaged(t)
+    trees = [stored_digests(t, x, n) for x, n in ((source, "source"), (stored, "stored"))]
+    return D.compare(source, stored, "o_orderkey", *trees).groupBy("outcome").agg(F.count("*").alias("n"))
+
+
+@query("digest_equal_stores", "SELECT o_orderkey, 'MATCH' AS outcome FROM orders")
+def digest_equal_stores(t):
+    """Equal stores: digests alone decide, no row is joined or shuffled."""
+    source = source_rows(t).withColumn("recomputed", F.col("checksum"))
+    tree = stored_digests(t, source, "source")
+    return D.compare(source, source_rows(t), "o_orderkey", tree, stored_digests(t, source_rows(t), "stored"))
+
+
+@query("digest_few_changes", """
+SELECT CASE WHEN o_custkey = 1 THEN 'STALE' ELSE 'MATCH' END AS outcome, count(*) AS n FROM orders
+WHERE o_orderkey >= 0 GROUP BY 1 UNION ALL SELECT 'ORPHANED', count(*) FROM nation""")
+def digest_few_changes(t):
+    """One customer's orders changed and some rows came: the store's digests follow by what changed, equal leaves are counted only."""
+    source = source_rows(t).withColumn("recomputed", F.col("checksum"))
+    before = source_rows(t).select("o_orderkey", "o_custkey", "checksum")
+    old = before.filter("o_custkey = 1")
+    new = old.withColumn("checksum", F.lit("other")).unionByName(t.nation.select(
+        (-1 - F.col("n_nationkey")).alias("o_orderkey"), F.lit(0).cast("long").alias("o_custkey"), F.lit("orphan").alias("checksum")))
+    stored = before.filter("o_custkey != 1").unionByName(new)
+    tree = D.updated(stored_digests(t, before, "before"), old, new, "o_orderkey")
+    return D.outcome_counts(source, stored, "o_orderkey", stored_digests(t, source, "source"), tree)
 
 
 @query("mismatch_level", """

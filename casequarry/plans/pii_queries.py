@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from casequarry.functions import pii
+from casequarry.functions import pii, table_functions
 from casequarry.functions.pii_rules import (
     CONFIDENTIAL_WORDS, FLAT, LEAK, OWN_NAMES, SEQUENTIAL, SIGNATURES, SITES, STAGED, TOKENS, Rule)
 from casequarry.operators import compliance as P
@@ -433,3 +433,27 @@ SELECT item_id, plain FROM c""")
 def pii_deobfuscated(t):
     hidden = F.replace(F.replace("text", F.lit("@"), F.lit(" [at] ")), F.lit("."), F.lit("[.]"))
     return t.benchmark.select("item_id", pii.deobfuscate(hidden).alias("plain"))
+
+
+@query("pii_table_function", f"""
+WITH RECURSIVE {DOCS_SQL}, {sql_hits(STAGED)}, {SQL_MERGE}
+SELECT doc_id, type, stage, confidence, start, stop AS "end" FROM merged""")
+def pii_table_function(t):
+    """Detections by a SQL table function and LATERAL, in plain SQL text."""
+    name = table_functions.register(t.spark, "pii_detections_ascii", classes=ASCII)
+    return t.spark.sql(f'''SELECT doc_id, d.type, d.stage, d.confidence, d.start, d.`end`
+        FROM {{docs}}, LATERAL {name}(text, `table`) d''', docs=with_table(t))
+
+
+@query("pii_table_function_types", f"""
+WITH RECURSIVE {DOCS_SQL}, {sql_hits(STAGED)}, {SQL_MERGE},
+c AS (SELECT doc_id, type, count(*) AS n, min(start) AS first FROM merged GROUP BY 1, 2)
+SELECT lang, type, sum(n)::BIGINT AS hits, count(*) AS texts, min(first) AS earliest
+FROM c JOIN documents USING (doc_id) GROUP BY 1, 2""")
+def pii_table_function_types(t):
+    """The table function inside a correlated subquery that groups per text."""
+    name = table_functions.register(t.spark, "pii_detections_ascii", classes=ASCII)
+    return t.spark.sql(f'''SELECT lang, type, sum(n) AS hits, count(*) AS texts, min(first) AS earliest
+        FROM (SELECT doc_id, lang, d.type, count(*) AS n, min(d.start) AS first
+              FROM {{docs}}, LATERAL {name}(text, `table`) d GROUP BY doc_id, lang, d.type)
+        GROUP BY lang, type''', docs=with_table(t))

@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
+import hashlib
+import uuid
+
 from pyspark.sql import functions as F
 
 from casequarry.functions import text as T
 from casequarry.functions import vectors as V
+from casequarry.operators import cells as C
 from casequarry.operators import search as H
+from casequarry.operators.term_index import TermIndex
 from casequarry.plans.registry import query
 from casequarry.plans.text_queries import PART_FAMILIES
+from casequarry.session import checkpoint_dir
 
 # -- vectors -------------------------------------------------------------------
 
@@ -193,6 +199,27 @@ WORDS = "les that und information"
 ONE = f"SELECT 0 AS item_id, '{WORDS}' AS text"
 
 
+def token_table(t, name="tokens", fill=None):
+    """A token table of the folder's documents, written once per application."""
+    key = hashlib.md5(t.folder.encode()).hexdigest()
+    index = TermIndex(t.spark, f"{checkpoint_dir(t.spark)}/{name}-{t.spark.sparkContext.applicationId}-{key}")
+    if index.manifest()[0] < 0:
+        index.put(corpus(t), "doc_id", "text", "embedding", ["lang", "source", "n_chars"], 0)
+    if fill:
+        fill(index)
+    return index
+
+
+@query("token_table_terms", rf"""
+WITH tok AS (SELECT doc_id, list_filter(regexp_split_to_array(lower(text), '{T.NOT_TOKEN}'), lambda x: x <> '') AS t FROM documents),
+p AS (SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest(t) AS term FROM tok) GROUP BY 1, 2)
+SELECT term, count(*) AS df, sum(tf)::BIGINT AS cf, max(tf) AS most FROM p GROUP BY 1""")
+def token_table_terms(t):
+    """What the stored postings say of every word."""
+    return token_table(t).postings().groupBy("term").agg(
+        F.count("*").alias("df"), F.sum("tf").alias("cf"), F.max("tf").cast("long").alias("most"))
+
+
 @query("hybrid_one_query", f"""
 WITH {bm25_sql(ONE)},
 hy AS (SELECT 0 AS item_id, coalesce(kw.doc_id, sem.doc_id) AS doc_id, coalesce(semantic, 0) AS semantic,
@@ -200,10 +227,9 @@ hy AS (SELECT 0 AS item_id, coalesce(kw.doc_id, sem.doc_id) AS doc_id, coalesce(
 SELECT doc_id, round(score, 6) AS score FROM (SELECT doc_id, round({FUSED}, 9) AS score FROM hy)
 ORDER BY score DESC, doc_id LIMIT 10""")
 def hybrid_one_query(t):
-    rows = corpus(t)
+    """One request against the stored token table."""
     target = H.vector_of(t.embeddings, "vec_id", "embedding", 0)
-    return H.search(rows, "doc_id", "text", "embedding", WORDS, target).select(
-        "doc_id", F.round("score", 6).alias("score"))
+    return token_table(t).search(WORDS, target).select(F.col("id").alias("doc_id"), F.round("score", 6).alias("score"))
 
 
 @query("hybrid_filtered_query", f"""
@@ -213,11 +239,24 @@ hy AS (SELECT 0 AS item_id, coalesce(kw.doc_id, sem.doc_id) AS doc_id, coalesce(
 SELECT doc_id, round(score, 6) AS score FROM (SELECT doc_id, round({FUSED}, 9) AS score FROM hy)
 ORDER BY score DESC, doc_id LIMIT 10""")
 def hybrid_filtered_query(t):
-    rows = corpus(t)
     target = H.vector_of(t.embeddings, "vec_id", "embedding", 0)
     wanted = H.nested_filter({"lang": "en", "n_chars": {"$gt": 500}})
-    return H.search(rows, "doc_id", "text", "embedding", WORDS, target, candidates=wanted).select(
-        "doc_id", F.round("score", 6).alias("score"))
+    return token_table(t).search(WORDS, target, candidates=wanted).select(F.col("id").alias("doc_id"), F.round("score", 6).alias("score"))
+
+
+HYBRID_ONE_SQL = f"""
+WITH {bm25_sql(ONE)},
+hy AS (SELECT 0 AS item_id, coalesce(kw.doc_id, sem.doc_id) AS doc_id, coalesce(semantic, 0) AS semantic,
+  coalesce(keyword, 0) AS keyword FROM kw FULL OUTER JOIN sem ON kw.doc_id = sem.doc_id)
+SELECT doc_id, round(score, 6) AS score FROM (SELECT doc_id, round({FUSED}, 9) AS score FROM hy)
+ORDER BY score DESC, doc_id LIMIT 10"""
+
+
+@query("hybrid_one_scan", HYBRID_ONE_SQL)
+def hybrid_one_scan(t):
+    """The same request over the texts themselves, without an index."""
+    target = H.vector_of(t.embeddings, "vec_id", "embedding", 0)
+    return H.search(corpus(t), "doc_id", "text", "embedding", WORDS, target).select("doc_id", F.round("score", 6).alias("score"))
 
 
 def staged_corpus(t):
@@ -488,14 +527,16 @@ def trend_and_stale(t):
 
 @query("ann_recall")
 def ann_recall(t):
-    """Share of the exact ten nearest that two probed cells of eight give."""
+    """Share of the exact ten nearest that the search by bounded cells gives, and the share of all pairs that it scored."""
     rows = t.embeddings.withColumnRenamed("vec_id", "doc_id")
     queries = golden(t).select("query_id", "vector").filter(F.col("vector").isNotNull())
     exact = H.search_all(rows, queries.withColumn("alpha", F.lit(1.0)), "doc_id", None, "embedding")
-    near = H.approximate(rows, queries, "doc_id", "embedding", cells=8, probes=2)
+    near, scored = C.search(C.build(rows, "doc_id", "embedding"), queries)
     both = exact.join(near.select("query_id", "doc_id"), ["query_id", "doc_id"], "left_semi")
     total = exact.agg(F.count("*")).scalar()
-    return both.agg(F.count("*").alias("found")).select("found", (F.col("found") / total).alias("recall"))
+    pairs = queries.count() * rows.count()
+    return both.agg(F.count("*").alias("found")).select(
+        "found", (F.col("found") / total).alias("recall"), F.lit(scored / max(pairs, 1)).alias("scored_share"))
 
 
 @query("part_families_search", f"""
@@ -636,7 +677,7 @@ def hybrid_fallback_priority(t):
                                "priority").select("query_id", "stage", "rank", "doc_id", F.round("score", 6).alias("score"))
 
 
-@query("ann_topk", """
+@query("ann_two_cells", """
 WITH v AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings),
 cell AS (SELECT a.vec_id, c.vec_id AS cell, row_number() OVER (PARTITION BY a.vec_id
   ORDER BY round(list_cosine_similarity(a.e, c.e), 12) DESC, c.vec_id) AS place FROM v a, v c WHERE c.vec_id < 8),
@@ -645,9 +686,88 @@ near AS (SELECT q.vec_id AS item_id, d.vec_id AS doc_id, round((1 + list_cosine_
   JOIN v d ON d.vec_id = r.vec_id WHERE p.vec_id IN (SELECT item_id FROM benchmark)),
 r AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM near)
 SELECT item_id AS query_id, rank, doc_id, round(score, 6) AS score FROM r WHERE rank <= 10""")
-def ann_topk(t):
+def ann_two_cells(t):
     """Two cells of eight are searched; eight rows are the given centres."""
     rows = t.embeddings.withColumnRenamed("vec_id", "doc_id")
     centres = rows.filter("doc_id < 8").select(F.col("doc_id").alias("cell"), F.col("embedding").alias("centre"))
     asked = golden(t).select("query_id", "vector").filter(F.col("vector").isNotNull())
     return shown(H.approximate(rows, asked, "doc_id", "embedding", probes=2, centres=centres))
+
+
+EXACT_TEN = f"""
+WITH sem AS (SELECT q.vec_id AS item_id, d.vec_id AS doc_id,
+  (1 + list_cosine_similarity(q.embedding::DOUBLE[], d.embedding::DOUBLE[])) / 2 AS semantic
+  FROM embeddings q, embeddings d WHERE q.vec_id IN (SELECT item_id FROM benchmark)),
+{ranked_sql('semantic', 'sem', 10)}"""
+
+
+@query("ann_topk", EXACT_TEN)
+def ann_topk(t):
+    """Cells with bounds around eight given centres: the exact ten of every query."""
+    rows = t.embeddings.withColumnRenamed("vec_id", "doc_id")
+    centres = rows.filter("doc_id < 8").select(F.col("doc_id").alias("cell"), F.col("embedding").alias("centre"))
+    asked = golden(t).select("query_id", "vector")
+    return shown(C.search(C.build(rows, "doc_id", "embedding", centres=centres), asked)[0])
+
+
+@query("ann_stored_cells", EXACT_TEN)
+def ann_stored_cells(t):
+    """The same from an index written by cell and read again, with centres found by k-means."""
+    rows = t.embeddings.withColumnRenamed("vec_id", "doc_id")
+    folder = f"{checkpoint_dir(t.spark)}/cells-{uuid.uuid4().hex}"
+    C.build(rows, "doc_id", "embedding").write(folder)
+    asked = golden(t).select("query_id", "vector")
+    return shown(C.search(C.CellIndex.read(t.spark, folder, "doc_id"), asked)[0])
+
+
+# -- the stored token table after changes ----------------------------------------------
+
+CHANGED_SQL = r"""
+WITH base AS (SELECT doc_id, CASE WHEN b.text IS NOT NULL THEN coalesce(d.text, '') || ' ' || b.text ELSE d.text END AS text
+  FROM documents d LEFT JOIN benchmark b ON b.item_id = d.doc_id
+  WHERE doc_id NOT IN (SELECT doc_id FROM labels WHERE toxic = 1)),
+documents AS (SELECT * FROM base UNION ALL SELECT -1 - item_id, text FROM benchmark),"""
+
+
+def changes(docs, items, labels):
+    """All benchmark texts are appended to the documents of their number and added as rows; toxic documents go."""
+    def fill(table):
+        texts = F.concat_ws(" ", F.coalesce("text", F.lit("")), "more")
+        more = docs.join(items.select(F.col("item_id").alias("doc_id"), F.col("text").alias("more")), "doc_id").withColumn("text", texts).drop("more")
+        table.put(more, "doc_id", "text", "embedding", ["lang", "source", "n_chars"], 1)
+        table.put(items.select((-1 - F.col("item_id")).alias("doc_id"), "text"), "doc_id", "text", number=2)
+        table.remove(labels.filter("toxic = 1").select("doc_id"), "doc_id", 3)
+    return fill
+
+
+def changed_table(t, compacted=False):
+    def fill(table):
+        changes(corpus(t), t.benchmark, t.labels)(table)
+        if compacted:
+            table.compact(4)
+    return token_table(t, "tokens-compacted" if compacted else "tokens-changed", fill)
+
+
+@query("token_table_changed", f"""{CHANGED_SQL} {bm25_sql(ONE)},
+hy AS (SELECT 0 AS item_id, coalesce(kw.doc_id, sem.doc_id) AS doc_id, coalesce(semantic, 0) AS semantic,
+  coalesce(keyword, 0) AS keyword FROM kw FULL OUTER JOIN sem ON kw.doc_id = sem.doc_id)
+SELECT doc_id, round(score, 6) AS score FROM (SELECT doc_id, round({FUSED}, 9) AS score FROM hy)
+ORDER BY score DESC, doc_id LIMIT 50""")
+def token_table_changed(t):
+    """Changed, new and removed texts are found, or not, without writing the rest again."""
+    target = H.vector_of(t.embeddings, "vec_id", "embedding", 0)
+    return changed_table(t).search(WORDS, target, limit=50).select(F.col("id").alias("doc_id"), F.round("score", 6).alias("score"))
+
+
+@query("token_table_compacted", f"""{CHANGED_SQL}
+tok AS (SELECT doc_id, list_filter(regexp_split_to_array(lower(text), '{T.NOT_TOKEN}'), lambda x: x <> '') AS t FROM documents),
+p AS (SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest(t) AS term FROM tok) GROUP BY 1, 2)
+SELECT term, count(*) AS df, sum(tf)::BIGINT AS cf, (SELECT count(*) FROM documents) AS n,
+  (SELECT sum(len(t))::BIGINT FROM tok) AS total FROM p GROUP BY 1""")
+def token_table_compacted(t):
+    """All live postings after the changes were merged into one segment, and the manifest's statistics."""
+    table = changed_table(t, compacted=True)
+    _, segments, n, _, length = table.manifest()
+    assert len(segments) == 1
+    return table.postings().groupBy("term").agg(F.count("*").alias("df"), F.sum("tf").alias("cf")).withColumns(
+        {"n": F.lit(n).cast("long"), "total": F.lit(length).cast("long")})
