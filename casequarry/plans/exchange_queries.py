@@ -19,6 +19,7 @@ from casequarry.plans.flow_queries import export_cases, work_folder
 from casequarry.plans.quality_queries import CHANGES_SQL
 from casequarry.plans.registry import query
 from casequarry.sources import exports, sinks
+from casequarry.sources.snapshots import Snapshot
 
 
 @query("child_exports", """
@@ -238,3 +239,41 @@ def upsert_buckets(t):
         rows = rows.withColumn("v", order)
         sinks.upsert_buckets(rows, folder, "o_orderkey", "v", number, 16)
     return sinks.read_buckets(t.spark, folder, rows.schema).select("o_orderkey", "version", "o_orderstatus")
+
+
+# -- snapshots that grow ---------------------------------------------------------------
+
+def grown(t):
+    """Orders, then their lines as changes, in leaves of at most 1,000 rows; then what urgent orders' customers have is deleted."""
+    base = t.orders.select("o_orderkey", "o_orderstatus", "o_totalprice", F.lit(1).alias("version"))
+    lines = t.lineitem.select(
+        F.col("l_orderkey").alias("o_orderkey"), F.concat(F.lit("L"), "l_linestatus").alias("o_orderstatus"),
+        F.col("l_extendedprice").alias("o_totalprice"), (F.col("l_linenumber") + 1).alias("version"))
+    order = F.struct("version", "o_orderstatus", "o_totalprice")
+    snapshot = Snapshot(t.spark, work_folder(t), "o_orderkey", "v", base.withColumn("v", order).schema, 1000)
+    snapshot.upsert(base.withColumn("v", order), 0)
+    snapshot.upsert(lines.withColumn("v", order), 1)
+    snapshot.delete(t.orders.filter("o_orderpriority = '1-URGENT'").select("o_orderkey"), 2)
+    return snapshot
+
+
+@query("snapshot_grown", f"""
+WITH {CHANGES_SQL}, r AS (SELECT *, row_number() OVER (PARTITION BY o_orderkey
+  ORDER BY version DESC, o_orderstatus DESC, o_totalprice DESC) AS n FROM changes)
+SELECT o_orderkey, version, o_orderstatus FROM r WHERE n = 1
+  AND o_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderpriority = '1-URGENT')""")
+def snapshot_grown(t):
+    return grown(t).read().select("o_orderkey", "version", "o_orderstatus")
+
+
+@query("snapshot_leaves", """
+WITH k AS (SELECT o_orderkey FROM orders UNION SELECT l_orderkey FROM lineitem)
+SELECT count(*)::BIGINT AS rows, true AS bounded, true AS covered, true AS kept FROM k""")
+def snapshot_leaves(t):
+    """Leaves hold all rows, none more than its capacity, cover every hash once, and a delete leaves their files."""
+    snapshot = grown(t)
+    leaves = t.spark.createDataFrame([(x.depth, x.path, x.n, len(x.hidden)) for x in snapshot.leaves()[1]], "depth int, path string, n long, hidden int")
+    rows = snapshot.read().count()
+    hidden = t.orders.filter("o_orderpriority = '1-URGENT'").select("o_orderkey").distinct().count()
+    return leaves.agg(F.sum("n").alias("rows"), (F.max("n") <= 1000).alias("bounded"), (F.sum(F.pow(F.lit(0.5), "depth")) == 1).alias("covered"),
+                      (F.sum("n") == rows + hidden).alias("kept"))

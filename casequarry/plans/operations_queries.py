@@ -12,6 +12,7 @@ from casequarry.operators import compliance as P
 from casequarry.operators import digests as D
 from casequarry.operators import monitor as M
 from casequarry.operators import reconcile as J
+from casequarry.operators import sketches as K
 from casequarry.plans.registry import query
 from casequarry.session import checkpoint_dir
 
@@ -528,3 +529,41 @@ WITH m AS (SELECT user_id, max(ts) AS ts FROM events GROUP BY 1)
 SELECT e.user_id, max(value) AS value, max(value) < 20 AS low FROM events e JOIN m ON m.user_id = e.user_id AND m.ts = e.ts GROUP BY 1""")
 def latest_gauge(t):
     return M.latest_gauge(t.events, "user_id", "ts", "value", 20.0)
+
+
+# -- mergeable sketches ----------------------------------------------------------------
+
+@query("sketch_percentiles", """
+SELECT strftime(time_bucket(INTERVAL 6 HOUR, ts), '%Y-%m-%d %H:%M:%S') AS start, event_type, count(*) AS n,
+  unnest([true, true, true]) AS within, unnest(['p50', 'p95', 'p99']) AS point FROM events GROUP BY 1, 2""")
+def sketch_percentiles(t):
+    """Minutes merged to six hours; each percentile's exact rank must be within 2 % of the wanted one."""
+    minutes = K.quantile_sketches(t.events, "ts", "value", ["event_type"])
+    folder = f"{checkpoint_dir(t.spark)}/sketches-{uuid.uuid4().hex}"
+    K.append(minutes, folder, 0)
+    found = K.percentiles(K.merged_quantiles(K.stored(t.spark, folder), "6 hours", ["event_type"]))
+    points = F.explode(F.array(*(F.struct(F.lit(n).alias("point"), F.lit(p).alias("p"), F.col(n).alias("q")) for n, p in K.POINTS.items())))
+    wide = found.select("start", "event_type", "n", points.alias("x")).select("start", "event_type", "n", "x.*")
+    events = t.events.select(F.window("ts", "6 hours").start.alias("start"), "event_type", "value")
+    ranks = events.join(wide, ["start", "event_type"]).groupBy("start", "event_type", "n", "point", "p").agg(
+        F.count_if(F.col("value") < F.col("q")).alias("below"), F.count_if(F.col("value") <= F.col("q")).alias("upto"), F.count("*").alias("all"))
+    # The value's ranks reach from ``below`` to ``upto`` where values repeat.
+    near = (F.col("below") <= (F.col("p") + 0.02) * F.col("n") + 1) & (F.col("upto") >= (F.col("p") - 0.02) * F.col("n") - 1)
+    return ranks.select(F.date_format("start", MIN).alias("start"), "event_type", "n", (near & (F.col("all") == F.col("n"))).alias("within"), "point")
+
+
+@query("sketch_weekly_users", """
+WITH d AS (SELECT DISTINCT ts::DATE AS day, user_id FROM events),
+w AS (SELECT DISTINCT day FROM d),
+c AS (SELECT w.day, count(DISTINCT user_id) AS exact FROM w JOIN d ON d.day BETWEEN w.day - 6 AND w.day GROUP BY 1),
+n AS (SELECT w.day, count(*) AS n FROM w JOIN events e ON e.ts::DATE BETWEEN w.day - 6 AND w.day WHERE user_id IS NOT NULL GROUP BY 1)
+SELECT strftime(day, '%Y-%m-%d') AS day, n, exact, true AS within FROM c JOIN n USING (day)""")
+def sketch_weekly_users(t):
+    """Distinct users per sliding week from one sketch a day, within 2 % of the exact count."""
+    weekly = K.sliding_distinct(K.distinct_sketches(t.events, "ts", "user_id"), 7)
+    last = t.events.agg(F.max(F.to_date("ts"))).scalar()
+    each = t.events.filter("user_id is not null").select(F.to_date("ts").alias("d"), "user_id").distinct()
+    exact = each.select(F.explode(F.sequence(F.col("d"), F.least(F.date_add("d", 6), last))).alias("day"), "user_id").distinct().groupBy("day").agg(
+        F.count("*").alias("exact"))
+    return weekly.join(exact, "day").select(F.date_format("day", "yyyy-MM-dd").alias("day"), "n", "exact", (
+        F.abs(F.col("users") - F.col("exact")) <= F.greatest(0.02 * F.col("exact"), F.lit(1))).alias("within"))
