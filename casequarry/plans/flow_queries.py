@@ -21,9 +21,10 @@ from casequarry.operators.compliance import clean_records
 from casequarry.plans.pii_queries import SQL_COVER, TOKEN_SQL, sql_hits, with_table
 from casequarry.plans.registry import ORACLE, query
 from casequarry.plans.text_queries import sql_clean
-from casequarry.session import checkpoint_dir
+from casequarry.session import checkpoint_dir, cut
 from casequarry.skew import spread
 from casequarry.sources import exports, sinks
+from casequarry.streaming import alerts
 from casequarry.streaming import streams as K
 
 MIN = "yyyy-MM-dd HH:mm:ss"
@@ -151,6 +152,9 @@ def case_flow(t):
 
 # -- streams ----------------------------------------------------------------------
 
+STORE = "spark.sql.streaming.stateStore.providerClass"
+
+
 def event_stream(t):
     """The events table as a file stream; its times become zoned for the
     watermark."""
@@ -242,6 +246,36 @@ def stream_late_rows(t):
     return closed.select(F.date_format("start", MIN).alias("start"), "event_type", "n")
 
 
+@query("stream_sustained_alert", """
+WITH w AS (SELECT event_type, time_bucket(INTERVAL 1 HOUR, ts) AS start, avg(CASE WHEN value > 20 THEN 1.0::DOUBLE ELSE 0 END) AS r
+  FROM events GROUP BY 1, 2),
+b AS (SELECT event_type, start, epoch(start) // 3600 - row_number() OVER (PARTITION BY event_type ORDER BY start) AS g FROM w WHERE r > 0.1)
+SELECT event_type, strftime(min(start), '%Y-%m-%d %H:%M:%S') AS first, strftime(max(start), '%Y-%m-%d %H:%M:%S') AS last, count(*) AS windows
+FROM b GROUP BY event_type, g HAVING count(*) >= 3""")
+def stream_sustained_alert(t):
+    """Hourly windows arrive in three batches, odd hours before even ones of a batch; all come again, too late to count, with a last sign of
+    life long after, so silence closes what is open."""
+    folder, spark = work_folder(t), t.spark
+    hours = M.window_ratio(t.events.withColumn("ts", F.col("ts").cast("timestamp")), "ts", "1 hour", F.col("value") > 20, ["event_type"])
+    hours = cut(hours.select("event_type", "start", (F.col("ratio") > 0.1).alias("bad")))
+    part = F.floor(F.dayofmonth("start") / 11)
+    late = hours.select("event_type", "start", F.lit(True).alias("bad"))
+    end = hours.agg(F.max("start").alias("start")).select(F.lit("none").alias("event_type"), F.date_add("start", 365).cast("timestamp").alias("start"), F.lit(False).alias("bad"))
+    keep = spark.conf.get(STORE, None)
+    alerts.with_state_store(spark)
+    try:
+        for rows in (*(hours.filter(part == k).orderBy(F.hour("start") % 2 == 0) for k in range(3)), end, late):
+            rows.write.mode("append").parquet(f"{folder}/in")
+            stream = spark.readStream.schema(hours.schema).parquet(f"{folder}/in")
+            runs = alerts.sustained_runs(stream, "event_type", "start", "bad", 3600, 3, "3 hours")
+            runs.writeStream.format("parquet").option("path", f"{folder}/out").option(
+                "checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    finally:
+        spark.conf.set(STORE, keep) if keep else spark.conf.unset(STORE)
+    return spark.read.schema(runs.schema).parquet(f"{folder}/out").select(
+        "event_type", F.date_format("first", MIN).alias("first"), F.date_format("last", MIN).alias("last"), "windows")
+
+
 @query("stream_clean_upsert", f"SELECT doc_id, md5(text) AS text_md5 FROM ({ORACLE['pii_redacted_cover']})")
 def stream_clean_upsert(t):
     """Documents as change events: cleaned, split, merged into a snapshot. What

@@ -138,3 +138,29 @@ def test_buckets_without_changes_stay(spark, tmp_path):
     assert number == 1 and len(after) == 8 and sum(after[b] != before[b] for b in after) == 1
     rows = {r["id"]: r["x"] for r in sinks.read_buckets(spark, folder, first.schema).collect()}
     assert len(rows) == 200 and rows[7] == "b" and rows[8] == "a"
+
+
+def test_runs_are_closed_by_gaps_good_windows_and_silence(spark, tmp_path):
+    from casequarry.streaming import alerts
+    schema = "label string, start timestamp, bad boolean"
+    provider = "spark.sql.streaming.stateStore.providerClass"
+    alerts.with_state_store(spark)
+
+    def go(rows):
+        spark.createDataFrame([(l, T0 + dt.timedelta(minutes=m) if m is not None else None, b) for l, m, b in rows], schema).coalesce(1).write.mode(
+            "append").parquet(f"{tmp_path}/in")
+        stream = spark.readStream.schema(schema).parquet(f"{tmp_path}/in")
+        out = alerts.sustained_runs(stream, "label", "start", "bad", 60, 3, "2 minutes")
+        out.writeStream.format("parquet").option("path", f"{tmp_path}/out").option("checkpointLocation", f"{tmp_path}/cp").trigger(
+            availableNow=True).start().awaitTermination(120)
+        return sorted((str(r["label"]), int((r["first"] - T0).total_seconds() // 60), r["windows"])
+                      for r in spark.read.schema(out.schema).parquet(f"{tmp_path}/out").collect())
+    try:
+        assert go([("a", 0, True), ("a", 2, True), ("a", 1, True), ("a", 1, False), ("b", 0, True), ("b", 1, True), ("b", 2, False), (None, 0, True),
+                   (None, 1, True), (None, 2, True), ("c", 0, None), ("c", None, True)]) == []
+        # A minute in a batch of its own joins the run; a gap ends it; null labels are a label.
+        assert go([("a", 3, True), ("a", 6, True), ("b", 7, True), ("b", 8, True), ("b", 9, True)]) == [("None", 0, 3), ("a", 0, 4)]
+        # Too late to spoil the run; silence of b closes its run.
+        assert go([("a", 1, False), ("a", 30, False)]) == [("None", 0, 3), ("a", 0, 4), ("b", 7, 3)]
+    finally:
+        spark.conf.unset(provider)
