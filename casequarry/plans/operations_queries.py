@@ -13,6 +13,7 @@ from casequarry.operators import digests as D
 from casequarry.operators import monitor as M
 from casequarry.operators import reconcile as J
 from casequarry.operators import sketches as K
+from casequarry.operators import sweeps as S
 from casequarry.plans.registry import query
 from casequarry.session import checkpoint_dir
 
@@ -393,6 +394,16 @@ def outage_range_join(t):
     return inside.groupBy("event_type").agg(F.count("*").alias("n"))
 
 
+@query("outage_sweep_join", f"""
+WITH {OUTAGE_SQL}
+SELECT event_type, count(*) AS n FROM events JOIN o ON ts BETWEEN start AND last WHERE events > 1 GROUP BY 1""")
+def outage_sweep_join(t):
+    """The same by a sweep over ranges of some 10,000 events; a long outage is a row per range."""
+    outages = outage_table(t).filter(F.col("events") > 1).select(
+        F.col("start").cast("timestamp_ntz").alias("start"), F.col("last").cast("timestamp_ntz").alias("last"))
+    return S.records_in_intervals(t.events, "ts", outages, "start", "last", 10_000).groupBy("event_type").agg(F.count("*").alias("n"))
+
+
 @query("reprocess_fallback_rows", f"""
 WITH {OUTAGE_SQL}
 SELECT event_id FROM events JOIN o ON ts BETWEEN start AND last WHERE events > 1 AND event_type = 'purchase'""")
