@@ -1,15 +1,17 @@
 """Language model: hashed maximum entropy with a class-factored softmax.
 
-P(word | history) = P(class | history) * P(slot | class, history) * P(word | slot)
+P(word | history) = P(class | history) * P(slot | class, history) * P(word | slot, history)
 
 The ``CLASSES * SLOTS`` commonest tokens of the training texts have slots of their own, dealt
 over the classes by rank; every other token falls, by its hash, into the last
-slot of a class, where it has probability (c + 1) / (N + V + 1) of that slot's counts, so
-that unknown words share what one occurrence has and all words sum to one. Both
-softmax layers begin with the logarithms of their counts and add rows of hashed
+slot of a class. There the next bits of its hash lead it down a tree of classes of two,
+each decided given the history, as deep as there are words to tell apart (some two to
+a leaf, from ``DEEPEST`` on more). In its leaf it has probability (c + 1) / (N + V + 1) of the
+leaf's counts, so that unknown words share what one occurrence has and all words sum to one.
+All layers begin with the logarithms of their counts and add rows of hashed
 tables, one for each feature of the history: the token before, the two before and
-the one before that (a skip). A row has one weight for each class, or for each
-slot of one class.
+the one before that (a skip; not in the tree). A row has one weight for each class, for each
+slot of one class, or for one node of the tree.
 
 Training: rounds over disjoint parts of the training texts, all of which are read
 once. In a round every task starts from the shared weights, makes mini-batch
@@ -48,6 +50,8 @@ ROWS_1, ROWS_2 = 1 << 13, 1 << 14
 FEATURES = 3
 ROUNDS, BATCH, RATE, START = 3, 16384, 0.1, 0.01
 BLOCKS = 16
+DEEPEST, NODES = 14, 1 << 18  # levels of the tree below a class; weights of its nodes
+TREE_FEATURES, TREE_RATE = 1, 0.1
 PART_BYTES, BUCKET_BYTES = 4_000_000, 12_000_000
 _OTHER = rolling.LOWER ^ np.uint8(0xA5)
 _END = (np.uint64(0x9D3C5A71E0B4F826), np.uint32(0x51C7E94B))
@@ -101,6 +105,23 @@ class Counts:
     place: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))  # class * SLOTS + slot of each
     rest: np.ndarray = field(default_factory=lambda: np.zeros((CLASSES, 2)))  # per class: tokens, different ones in the last slot
     own: np.ndarray = field(default_factory=lambda: np.zeros((CLASSES, SLOTS)))  # per slot: tokens
+    leaves: np.ndarray = field(default_factory=lambda: np.ones((CLASSES, 1)))  # per leaf of a class's tree: tokens, different ones, one unknown
+
+    @property
+    def depth(self) -> int:
+        return self.leaves.shape[1].bit_length() - 1
+
+    def odds(self) -> np.ndarray:
+        """Per node of each class's tree, numbered from 1 at the root: log odds of its second half."""
+        levels = [self.leaves]
+        for _ in range(self.depth):
+            levels.append(levels[-1][:, ::2] + levels[-1][:, 1::2])
+        nodes = [np.zeros((CLASSES, 1)), *(np.log(x[:, 1::2] / x[:, ::2]) for x in levels[-2::-1])]
+        return np.hstack(nodes).astype(np.float32)
+
+    def leaf(self, h: np.ndarray) -> np.ndarray:
+        """Leaf of each token in the tree of its class, from the bits after those that name the class."""
+        return (rolling.mix(h) >> np.uint64(59 - self.depth)).astype(np.int64) & ((1 << self.depth) - 1)
 
     def logs(self) -> tuple[np.ndarray, np.ndarray]:
         """Logarithms of smoothed counts: of classes, of the slots of each class."""
@@ -123,14 +144,20 @@ def _group_of(h: np.ndarray) -> np.ndarray:
     return (rolling.mix(h) >> np.uint64(59)).astype(np.int64) % CLASSES
 
 
+def _cell(h: np.ndarray) -> np.ndarray:
+    """Class and leaf of the deepest tree in one number."""
+    return (rolling.mix(h) >> np.uint64(59 - DEEPEST)).astype(np.int64)
+
+
 class Model:
     """Weights of both layers and both directions through them."""
 
-    def __init__(self, counts: Counts, first: np.ndarray | None = None, second: np.ndarray | None = None):
+    def __init__(self, counts: Counts, first: np.ndarray | None = None, second: np.ndarray | None = None, third: np.ndarray | None = None):
         self.counts = counts
         self.first = np.zeros((ROWS_1, CLASSES), np.float32) if first is None else first
         self.second = np.zeros((ROWS_2, SLOTS + 1), np.float32) if second is None else second
-        self.logs = counts.logs()
+        self.third = np.zeros((NODES, 1), np.float32) if third is None else third
+        self.logs, self.odds = counts.logs(), counts.odds()
 
     @staticmethod
     def _places(values: np.ndarray, group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -139,15 +166,33 @@ class Model:
 
     @staticmethod
     def _softmax(table: np.ndarray, places: np.ndarray, begin: np.ndarray) -> np.ndarray:
-        z = table[places[0]]
+        z = table.take(places[0], axis=0)
         for row in places[1:]:
-            z += table[row]
+            z += table.take(row, axis=0)
         z += begin
-        z -= z.max(axis=1, keepdims=True)
-        np.exp(z, out=z)
-        z /= z.sum(axis=1, keepdims=True)
+        np.exp(np.clip(z, -80, 80, out=z), out=z)  # logarithms of counts are far inside
+        z /= np.einsum("ij->i", z)[:, None]
         return z
 
+    def _path(self, values: np.ndarray, group: np.ndarray, leaf: np.ndarray):
+        """Per level of the tree: the weights' places, one row a feature, which half the token is in, and P of the second."""
+        for level in range(self.counts.depth):
+            node = (1 << level) + (leaf >> (self.counts.depth - level))
+            key = (node * CLASSES + group).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+            places = (((values[:TREE_FEATURES] ^ key) * np.uint64(0xD6E8FEB86659FD93)) >> np.uint64(65 - NODES.bit_length())).astype(np.int64)
+            z = self.odds.ravel().take(group * self.odds.shape[1] + node)
+            for row in places:
+                z += self.third.ravel().take(row)
+            half = leaf >> (self.counts.depth - level - 1) & 1
+            yield places, half, 1 / (1 + np.exp(np.clip(-z, -80, 80, out=z)))
+
+    def inside(self, values: np.ndarray, group: np.ndarray, leaf: np.ndarray) -> np.ndarray:
+        """log10 P(leaf | class, history) of tokens that have no slot of their own."""
+        out = np.zeros(len(group))
+        for _, half, p in self._path(values, group, leaf):
+            out += np.log10(np.maximum(np.abs(1 - half.astype(np.float32) - p), np.float32(1e-30)))
+        return out
+
     def log10(self, values: np.ndarray, group: np.ndarray, slot: np.ndarray) -> np.ndarray:
         """log10 P(class) P(slot | class) of each token."""
         each = np.arange(len(group))
@@ -157,34 +202,65 @@ class Model:
         return np.log10(np.maximum(p, 1e-300))
 
 
+def _summed_rows(rows: np.ndarray, error: np.ndarray, crowd: int = 64) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Different rows, how often each comes, the sum of its errors; ``rows`` goes through ``error`` once or several times."""
+    order = np.argsort(rows.astype(np.int16), kind="stable")  # fewer rows than 2^15
+    rows = rows[order]
+    begins = np.flatnonzero(np.concatenate([[True], rows[1:] != rows[:-1]]))
+    sizes = np.diff(np.append(begins, len(rows)))
+    by = np.argsort(-sizes, kind="stable")
+    begins, sizes = begins[by], sizes[by]
+    names = rows[begins]
+    order %= len(error)
+    total = error.take(order[begins], axis=0)
+    many = np.count_nonzero(sizes > crowd)
+    for i in range(many):
+        total[i] = error.take(order[begins[i]:begins[i] + sizes[i]], axis=0).sum(axis=0)
+    for k in range(1, crowd):  # the second of all, the third of those that have one
+        some = np.count_nonzero(sizes > k)
+        total[many:some] += error.take(order[begins[many:some] + k], axis=0)
+    return names, sizes, total
+
+
 class Learner(Model):
     """A task's own copy: steps of AdaGrad, and how often each row was used."""
 
     def __init__(self, model: Model):
-        super().__init__(model.counts, model.first.copy(), model.second.copy())
-        self.begin = (model.first, model.second)
+        super().__init__(model.counts, model.first.copy(), model.second.copy(), model.third.copy())
+        self.begin = (model.first, model.second, model.third)
         self.squares = [np.full(len(t), START, np.float32) for t in self.begin]
         self.uses = [np.zeros(len(t), np.int64) for t in self.begin]
 
-    def step(self, values: np.ndarray, group: np.ndarray, slot: np.ndarray) -> None:
+    def _add(self, k: int, table: np.ndarray, names: np.ndarray | slice, uses: np.ndarray, total: np.ndarray, rate: float) -> None:
+        """A step along the sums of errors of some rows."""
+        gradient = total / np.sqrt(np.maximum(uses, 1)).astype(np.float32)[:, None]
+        self.squares[k][names] += np.einsum("ij,ij->i", gradient, gradient) / gradient.shape[1]
+        table[names] += rate * gradient / np.sqrt(self.squares[k][names])[:, None]
+        self.uses[k][names] += uses
+
+    def step(self, values: np.ndarray, group: np.ndarray, slot: np.ndarray, leaf: np.ndarray | None = None) -> None:
         each = np.arange(len(group))
         one, two = self._places(values, group)
+        if not len(each):
+            return
         for k, (table, places, truth, begin) in enumerate(((self.first, one, group, self.logs[0]), (self.second, two, slot, self.logs[1][group]))):
             error = -self._softmax(table, places, begin)
             error[each, truth] += 1
-            for row in places:
-                order = np.argsort(row, kind="stable")
-                row = row[order]
-                begins = np.flatnonzero(np.concatenate([[True], row[1:] != row[:-1]]))
-                names, uses = row[begins], np.diff(np.append(begins, len(row)))
-                gradient = np.add.reduceat(error[order], begins, axis=0) / np.sqrt(uses)[:, None].astype(np.float32)
-                self.squares[k][names] += (gradient ** 2).mean(axis=1)
-                table[names] += RATE * gradient / np.sqrt(self.squares[k][names])[:, None]
-                self.uses[k][names] += uses
+            self._add(k, table, *_summed_rows(np.concatenate(places), error), RATE)
+        if leaf is not None and self.counts.depth:
+            rare = slot == SLOTS
+            steps = [(places, half - p) for places, half, p in self._path(values[:, rare], group[rare], leaf[rare])]
+            error = np.concatenate([e for _, e in steps]).astype(np.float32)
+            total = np.zeros(NODES, np.float32)
+            uses = np.zeros(NODES, np.int64)
+            for places in np.concatenate([p for p, _ in steps], axis=1):
+                uses += np.bincount(places, minlength=NODES)
+                np.add.at(total, places, error)
+            self._add(2, self.third, slice(None), uses, total[:, None], TREE_RATE)
 
     def changes(self):
         """Per table and block of rows: uses of each row, its change times them."""
-        for k, (begin, table) in enumerate(zip(self.begin, (self.first, self.second))):
+        for k, (begin, table) in enumerate(zip(self.begin, (self.first, self.second, self.third))):
             for b, mine in enumerate(np.split(np.arange(len(table)), BLOCKS)):
                 some = mine[self.uses[k][mine] > 0]
                 if len(some):
@@ -194,8 +270,8 @@ class Learner(Model):
 def learnt(docs: DataFrame, model: Model) -> Model:
     """One round over ``docs``: what the tasks learn from them, averaged."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    widths = (CLASSES, SLOTS + 1)
-    heights = (ROWS_1 // BLOCKS, ROWS_2 // BLOCKS)
+    widths = (CLASSES, SLOTS + 1, 1)
+    heights = (ROWS_1 // BLOCKS, ROWS_2 // BLOCKS, NODES // BLOCKS)
 
     def run(batches):
         learner = Learner(shared.value)
@@ -204,7 +280,7 @@ def learnt(docs: DataFrame, model: Model) -> Model:
                 tokens = Tokens(data, offsets)
                 for at in range(0, len(tokens.h), BATCH):
                     values, h = _history(tokens, at, BATCH)
-                    learner.step(values, *learner.counts.slots(h))
+                    learner.step(values, *learner.counts.slots(h), learner.counts.leaf(h))
         rows = list(learner.changes())
         yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary())], names=["block", "body"])
 
@@ -220,13 +296,13 @@ def learnt(docs: DataFrame, model: Model) -> Model:
         out = [(b, pack(u, (c / np.maximum(u, 1)[:, None]).astype(np.float32))) for b, (u, c) in totals.items()]
         yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in out], pa.int32()), pa.array([r[1] for r in out], pa.binary())], names=["block", "body"])
 
-    sums = docs.select("text").mapInArrow(run, "block int, body binary").repartition(2 * BLOCKS, "block").mapInArrow(add, "block int, body binary")
-    first, second = model.first.copy(), model.second.copy()
+    sums = docs.select("text").mapInArrow(run, "block int, body binary").repartition(len(widths) * BLOCKS, "block").mapInArrow(add, "block int, body binary")
+    tables = (model.first.copy(), model.second.copy(), model.third.copy())
     for r in sums.collect():
         k, b = divmod(r["block"], BLOCKS)
         _, change = unpack(bytes(r["body"]), np.int64, np.float32)
-        (first, second)[k][b * heights[k]:(b + 1) * heights[k]] += change.reshape(heights[k], -1)
-    return Model(model.counts, first, second)
+        tables[k][b * heights[k]:(b + 1) * heights[k]] += change.reshape(heights[k], -1)
+    return Model(model.counts, *tables)
 
 
 def _history(tokens: Tokens, at: int, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -253,7 +329,7 @@ class Part:
         self.tokens = t = Tokens(data[:offsets[-1]], offsets)
         order, new = grouped(t.h, t.check)
         heads = order[new]
-        bucket = (t.h[heads] % np.uint64(buckets)).astype(np.int64)
+        bucket = ((rolling.mix(t.h[heads]) >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)  # a leaf is in one or two
         by = np.lexsort((t.check[heads], t.h[heads], bucket))
         rank = np.empty(len(by), np.int64)
         rank[by] = np.arange(len(by))
@@ -293,7 +369,9 @@ def _summed(table: pa.Table) -> pa.Table:
     names, total = h[order][new][known], total[known]
     group = _group_of(names)
     best = np.lexsort((names, -total))[:CLASSES * SLOTS]
-    rows.append((-1, bucket, pack(np.bincount(group, total, CLASSES).astype(np.int64), np.bincount(group, minlength=CLASSES), names[best], total[best])))
+    cells, of = np.unique(_cell(names), return_inverse=True)
+    rows.append((-1, bucket, pack(np.bincount(group, total, CLASSES).astype(np.int64), np.bincount(group, minlength=CLASSES), names[best], total[best],
+                                  cells, np.bincount(of, total, len(cells)).astype(np.int64), np.bincount(of, minlength=len(cells)))))
     return sent(rows, _ANSWER)
 
 
@@ -302,21 +380,24 @@ def _statistics(answers: DataFrame) -> Counts:
     def opened(batches):
         tokens, different = np.zeros(CLASSES, np.int64), np.zeros(CLASSES, np.int64)
         names, counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        cells = []
         for batch in batches:
             for body in batch.column("body").to_pylist():
-                n, v, own, c = unpack(body, np.int64, np.int64, np.uint64, np.int64)
+                n, v, own, c, *inner = unpack(body, np.int64, np.int64, np.uint64, np.int64, np.int64, np.int64, np.int64)
+                cells.append(inner)
                 tokens, different = tokens + n, different + v
                 names, counts = np.concatenate([names, own]), np.concatenate([counts, c])
                 best = np.lexsort((names, -counts))[:CLASSES * SLOTS]
                 names, counts = names[best], counts[best]
         k = np.arange(CLASSES)
-        columns = [np.repeat([0, 1], [len(k), len(names)]), np.concatenate([k, names.view(np.int64)]), np.concatenate([tokens, counts]),
-                   np.concatenate([different, np.ones_like(counts)])]
+        place, n, v = (np.concatenate([np.zeros(0, np.int64), *x]) for x in (list(zip(*cells)) or [[]] * 3))
+        columns = [np.repeat([0, 1, 2], [len(k), len(names), len(place)]), np.concatenate([k, names.view(np.int64), place]), np.concatenate([tokens, counts, n]),
+                   np.concatenate([different, np.ones_like(counts), v])]
         yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["kind", "k", "n", "v"])
 
     # One row a bucket; some tasks add them up and pass on what may still be among the commonest.
     tasks = salts(answers.sparkSession)
-    rows = answers.where("part = -1").select("body").repartition(tasks).mapInArrow(opened, "kind long, k long, n long, v long")
+    rows = cut(answers.where("part = -1").select("body").repartition(tasks).mapInArrow(opened, "kind long, k long, n long, v long"))
     sums = rows.where("kind = 0").groupBy("k").agg(F.sum("n").alias("n"), F.sum("v").alias("v")).collect()
     first = rows.where("kind = 1").groupBy("k").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "k").limit(CLASSES * SLOTS).collect()
     rest = np.zeros((CLASSES, 2))
@@ -331,6 +412,13 @@ def _statistics(answers: DataFrame) -> Counts:
         place = rank % CLASSES * SLOTS + rank // CLASSES
         out.own.ravel()[place] = [r["n"] for r in first]
         out.top, out.place = names[order], place[order]
+    # Of the tree's leaves there are as many as it has words for, at most CLASSES << DEEPEST; the driver has only these sums.
+    depth = max(0, min(DEEPEST, (max(int(rest[:, 1].sum()), 1) // (2 * CLASSES)).bit_length()))
+    sums = rows.where("kind = 2").groupBy(F.shiftright("k", DEEPEST - depth).alias("k")).agg(F.sum(F.col("n") + F.col("v")).alias("n")).toArrow()
+    out.leaves = np.ones((CLASSES, 1 << depth))
+    out.leaves.ravel()[sums.column("k").to_numpy()] += sums.column("n").to_numpy()
+    if first:
+        np.subtract.at(out.leaves.ravel(), _cell(names) >> (DEEPEST - depth), np.array([r["n"] + 1 for r in first], float))
     return out
 
 
@@ -359,12 +447,13 @@ def score(docs: DataFrame, rounds: int = ROUNDS, part_bytes: int = PART_BYTES, b
         c = part.read(got)
         base = np.log10((c + 1) / (counts.tokens + counts.different + 1))
         mine = np.zeros(len(c))
-        rest = counts.rest.sum(axis=1) + 1
         for at in range(0, len(c), BATCH):
             values, h = _history(t, at, BATCH)
             group, slot = counts.slots(h)
             p = model.log10(values, group, slot)
-            p += np.where(slot == SLOTS, np.log10((c[at:at + BATCH] + 1) / rest[group]), 0)
+            rare, leaf = slot == SLOTS, counts.leaf(h)
+            g, leaf = group[rare], leaf[rare]
+            p[rare] += model.inside(values[:, rare], g, leaf) + np.log10((c[at:at + BATCH][rare] + 1) / counts.leaves[g, leaf])
             mine[at:at + BATCH] = p
         add = lambda x: np.add.reduceat(x, t.heads) if len(t.heads) else np.zeros(0)
         return pa.Table.from_arrays([part.ids, pa.array(part.held), pa.array(t.sizes.astype(np.int64)), pa.array(add((c > 0).astype(np.int64)).astype(np.int64)),

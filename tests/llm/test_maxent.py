@@ -112,3 +112,46 @@ def test_empty_tables(spark):
     only = [i for i in range(100) if held(i)][:3]
     got = run(spark, [(i, "a b") for i in only])
     assert all(x["n_known"] == 0 and x["train_tokens"] == 0 and x["base_score"] == 0 for x in got) and len(got) == 3
+
+
+def test_rare_words_follow_their_history(spark):
+    """A word beyond the commonest has a probability given the word before, not only its count's share."""
+    r = random.Random(5)
+    common = [f"c{i}" for i in range(maxent.CLASSES * maxent.SLOTS)]
+    h = maxent.Tokens(np.frombuffer(" ".join(f"b{i}" for i in range(3000)).encode(), np.uint8), np.array([0, sum(len(f"b{i}") + 1 for i in range(3000)) - 1])).h[:-1]
+    pairs = [(f"a{i}", f"b{k}") for i, k in enumerate(np.flatnonzero(maxent._group_of(h) == 7)[:40])]  # of one class
+
+    def text():
+        words = r.choices(common, k=900)
+        for a, b in r.choices(pairs, k=40):
+            words += [a, b, f"z{r.randrange(99999)}"]
+        return " ".join(words)
+
+    train = [(i, text()) for i in range(300) if not held(i)]
+    ids = [i for i in range(1000, 2000) if held(i)][:40]
+    rows = [*train, *((i, f"{a} {b}") for i, (a, b) in zip(ids[:20], pairs)), *((i, f"{a} {b}") for i, (a, _), (_, b) in zip(ids[20:], pairs, pairs[20:]))]
+    got = {x["doc_id"]: x["score"] for x in run(spark, rows)}
+    assert np.mean([got[i] for i in ids[:20]]) > np.mean([got[i] for i in ids[20:]]) + 0.3
+
+
+def test_the_tree_sums_to_one():
+    """Of one class and history: the leaves' probabilities add up to one, and begin with the share of their counts."""
+    r = np.random.default_rng(3)
+    counts = maxent.Counts(leaves=r.integers(1, 90, (maxent.CLASSES, 32)).astype(float))
+    leaf, group = np.arange(32), np.full(32, 5)
+    values = np.repeat(rolling.mix(r.integers(1, 1 << 63, (maxent.FEATURES, 1), dtype=np.uint64)), 32, 1)
+    flat = maxent.Model(counts).inside(values, group, leaf)
+    assert 10 ** flat == pytest.approx(counts.leaves[5] / counts.leaves[5].sum(), rel=1e-4)
+    model = maxent.Model(counts, third=r.normal(0, 1, (maxent.NODES, 1)).astype(np.float32))
+    p = 10 ** model.inside(values, group, leaf)
+    assert p.sum() == pytest.approx(1, abs=1e-5) and not p == pytest.approx(10 ** flat, rel=0.1)
+
+
+def test_added_errors_of_rows():
+    r = np.random.default_rng(6)
+    rows, error = r.zipf(1.3, 600).astype(np.int32) % 200, r.normal(size=(200, 3)).astype(np.float32)
+    want = np.zeros((200, 3))
+    np.add.at(want, rows, np.tile(error, (3, 1)))
+    names, uses, total = maxent._summed_rows(rows, error)
+    assert dict(zip(names.tolist(), uses.tolist())) == Counter(rows.tolist())
+    assert total == pytest.approx(want[names], abs=1e-4)
