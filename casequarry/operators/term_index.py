@@ -30,6 +30,7 @@ from casequarry.session import cut
 from casequarry.sources.sinks import current_version, write_version
 
 BUCKETS = 64
+PART_BYTES = 8_000_000  # of text that one task takes apart
 COLUMNS = ("id", "length", "row", "vector", "deleted")
 
 
@@ -37,6 +38,13 @@ def _bucket(term: Column, buckets: int) -> Column:
     return F.pmod(F.xxhash64(term), F.lit(buckets)).cast("int")
 
 
+def _dealt(rows: DataFrame) -> DataFrame:
+    """``rows`` by id in parts of some ``PART_BYTES`` of text: a part's postings meet in one task, so parts must not grow with the table."""
+    least = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    total = rows.select(F.sum(F.octet_length("body"))).first()[0] or 0
+    return rows.repartition(max(least, -(-total // PART_BYTES)), "id")
+
+
 @dataclass
 class TermIndex:
     spark: SparkSession
@@ -99,7 +107,7 @@ class TermIndex:
         v = F.col(vector).cast("array<double>") if vector else F.lit(None).cast("array<double>")
         fresh = rows.filter(F.col(doc_id).isNotNull()).select(
             F.col(doc_id).alias("id"), F.col(text).alias("body"), F.xxhash64(text).alias("row"), v.alias("vector"), *keep)
-        fresh = fresh.withColumn("__r", F.row_number().over(last)).filter("__r = 1").drop("__r").withColumn(
+        fresh = _dealt(fresh).withColumn("__r", F.row_number().over(last)).filter("__r = 1").drop("__r").withColumn(
             "tokens", T.tokens(F.col("body"))).withColumn("length", F.size("tokens"))
         self._commit(number, fresh.withColumn("deleted", F.lit(False)).select(*COLUMNS, *keep, "tokens"))
 
@@ -124,7 +132,7 @@ class TermIndex:
     def _write(self, number: int, rows: DataFrame) -> None:
         docs = rows.drop("tokens")
         docs.write.mode("overwrite").parquet(self._path(number, "docs"))
-        postings = rows.select("id", "length", F.explode("tokens").alias("term")).groupBy("term", "id", "length").agg(
+        postings = rows.select("id", "length", F.explode("tokens").alias("term")).groupBy("id", "term", "length").agg(
             F.count("*").cast("int").alias("tf")).withColumn("bucket", _bucket(F.col("term"), self.buckets))
         self._write_postings(number, postings)
 

@@ -203,3 +203,17 @@ def test_sql_text_of_columns_parses_to_the_same(spark):
                    F.aggregate(F.array(c, c), F.lit(0).cast("long"), lambda s, x: s + x)):
         rows = spark.range(5).withColumnRenamed("id", "a")
         assert rows.select(column.alias("r")).collect() == rows.select(F.expr(table_functions.sql_text(column)).alias("r")).collect()
+
+
+def test_parts_of_a_token_table_do_not_grow(spark, monkeypatch):
+    """More text makes more parts, and one id stays in one part."""
+    from casequarry.operators import term_index
+
+    monkeypatch.setattr(term_index, "PART_BYTES", 1000)
+    rows = spark.createDataFrame([(i % 90, "some words " * 10) for i in range(180)], "id long, body string")
+    parts = term_index._dealt(rows)
+    assert parts.rdd.getNumPartitions() == 20  # 180 texts of 110 bytes
+    of = parts.rdd.glom().map(lambda p: {r["id"] for r in p}).collect()
+    assert sum(map(len, of)) == 90
+    none = term_index._dealt(rows.limit(0))
+    assert none.rdd.getNumPartitions() >= 1 and not none.count()
