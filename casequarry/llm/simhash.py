@@ -103,6 +103,27 @@ def links(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
     return near.where(F.col("b").isNotNull() & (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= radius)).distinct()
 
 
+def near_blocks(prints: DataFrame, key: str, radius: int, blocks: int) -> DataFrame:
+    """a, b: ``key`` of rows (key, fp) that meet in a ball of a block of the fingerprint, next to each other, within ``radius`` bits.
+
+    Of prints within the radius some block differs in at most radius / blocks bits, so
+    balls of half that in each block share a value: wider than balls of all 64 bits can be, at as many
+    rows. Unlike in ``links`` not all that meet are near, so each row meets the one before it only.
+    """
+    ends, half = [64 * i // blocks for i in range(blocks + 1)], -(-(radius // blocks) // 2)
+    balls = []
+    for block, (low, high) in enumerate(zip(ends, ends[1:])):
+        bits = sum(1 << b for b in range(low, high))
+        inside = F.col("fp").bitwiseAND(F.lit(bits - (1 << 64) if bits >> 63 else bits))
+        balls += [F.struct(F.lit(block).alias("block"), inside.bitwiseXOR(F.lit(m)).alias("value"))
+                  for m in masks(half) if (m & (1 << 64) - 1) | bits == bits]
+    met = prints.select(key, "fp", F.explode(F.array(*balls)).alias("m")).select(key, "fp", "m.block", "m.value")
+    order = Window.partitionBy("block", "value").orderBy("fp", key)
+    near = met.select(F.col(key).alias("x"), "fp", F.lag(key).over(order).alias("y"), F.lag("fp").over(order).alias("other"))
+    near = near.where(F.bit_count(F.col("fp").bitwiseXOR(F.col("other"))) <= radius)
+    return near.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+
+
 def classes(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGLE) -> DataFrame:
     """One row per document: doc_id, fp, component_id (smallest id reachable)."""
     each = cut(fingerprints(docs, shingle))
