@@ -20,8 +20,8 @@ def components(edges: DataFrame, task_rows: int = 0) -> DataFrame:
     seen = None
     fit = lambda df: df
     if task_rows:
-        edges = fitted(edges, task_rows)
-        tasks = edges.rdd.getNumPartitions()
+        tasks = tasks_for(edges, task_rows)
+        edges = edges.coalesce(tasks)
         fit = lambda df: df.coalesce(tasks)
     while True:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -39,7 +39,12 @@ def components(edges: DataFrame, task_rows: int = 0) -> DataFrame:
         seen = state
 
 
+def tasks_for(rows: DataFrame, task_rows: int) -> int:
+    """One task for each core, or as many as ``rows`` need at ``task_rows`` each."""
+    return max(1, rows.sparkSession.sparkContext.defaultParallelism, -(-rows.count() // task_rows))
+
+
 def fitted(rows: DataFrame, task_rows: int) -> DataFrame:
-    """Checkpointed ``rows`` in as many partitions as they need at ``task_rows`` each, but one for each core:
+    """Checkpointed ``rows`` in as many partitions as they need:
     a few rows in hundreds of partitions make hundreds of files in each exchange."""
-    return rows.coalesce(max(rows.sparkSession.sparkContext.defaultParallelism, -(-rows.count() // task_rows)))
+    return rows.coalesce(tasks_for(rows, task_rows))
