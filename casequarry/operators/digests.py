@@ -104,6 +104,11 @@ def _split(store: DataFrame, key: str, depth: int, nodes: DataFrame) -> tuple[Da
     return here.join(wanted, "__node", "left_semi").drop("__node"), here.join(wanted, "__node", "left_anti").drop("__node")
 
 
+def stored_rows(*trees: DataFrame) -> int:
+    """Rows of the largest of the stores, by their digests."""
+    return max(t.filter("level = 0").agg(F.sum("n")).first()[0] or 0 for t in trees)
+
+
 def compare(source: DataFrame, stored: DataFrame, key: str, of_source: DataFrame, of_stored: DataFrame) -> DataFrame:
     """``reconcile.compare_stores`` of the two, by their digests: equal leaves are matches without a join."""
     depth, nodes = differing(of_source, of_stored)
@@ -112,7 +117,7 @@ def compare(source: DataFrame, stored: DataFrame, key: str, of_source: DataFrame
     nodes = small_side(nodes)
     open_rows, equal = _split(source, key, depth, nodes)
     there, _ = _split(stored, key, depth, nodes)
-    return compare_stores(open_rows, there, key).unionByName(equal.select(key, F.lit("MATCH").alias("outcome")))
+    return compare_stores(open_rows, there, key, stored_rows(of_source, of_stored)).unionByName(equal.select(key, F.lit("MATCH").alias("outcome")))
 
 
 def outcome_counts(source: DataFrame, stored: DataFrame, key: str, of_source: DataFrame, of_stored: DataFrame) -> DataFrame:
@@ -123,4 +128,4 @@ def outcome_counts(source: DataFrame, stored: DataFrame, key: str, of_source: Da
     equal = at_depth.join(nodes, "node", "left_anti").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).select(F.lit("MATCH").alias("outcome"), "n").filter("n > 0")
     open_rows, _ = _split(source, key, depth, nodes)
     there, _ = _split(stored, key, depth, nodes)
-    return compare_stores(open_rows, there, key).groupBy("outcome").agg(F.count("*").alias("n")).unionByName(equal).groupBy("outcome").agg(F.sum("n").alias("n"))
+    return compare_stores(open_rows, there, key, stored_rows(of_source, of_stored)).groupBy("outcome").agg(F.count("*").alias("n")).unionByName(equal).groupBy("outcome").agg(F.sum("n").alias("n"))

@@ -13,7 +13,7 @@ from casequarry.functions import vectors as V
 from casequarry.functions.pii_rules import STAGED
 from casequarry.operators.sampling import random_rows
 from casequarry.session import cut
-from casequarry.skew import top_n
+from casequarry.skew import parted, top_n
 from casequarry.sources.sinks import upsert
 
 # Checksum fields, stages and limits.
@@ -120,9 +120,10 @@ def stuck(lineage: DataFrame, now: Column, hours: int = 24) -> DataFrame:
 def recovery_routes(records: DataFrame, staged: DataFrame, key: str) -> DataFrame:
     """Adds ``route``: start over from cleaning, load only, none, or not found
     in staging."""
-    known = staged.select(key).distinct().withColumn("__there", F.lit(True))
+    rows = max(records.count(), staged.count())
+    known = parted(staged.select(key), rows, key).distinct().withColumn("__there", F.lit(True))
     stage = F.col("current_stage")
-    return records.join(known, key, "left").withColumn(
+    return parted(records, rows, key).join(known, key, "left").withColumn(
         "route", F.when(F.col("__there").isNull(), "not_found")
         .when(stage.isin(STAGES[0], STAGES[1]), "reclean")
         .when(stage == STAGES[2], "load_only").otherwise("none")).drop("__there")
@@ -137,11 +138,13 @@ def rerun(routed: DataFrame, staged: DataFrame, key: str,
     happened: loaded and completed, or failed with the error. Rows a flow gives
     no answer for stay as they were.
     """
+    rows = staged.count()
+    known, dealt = (parted(x, rows, key) for x in (staged, routed))
     done = reduce(DataFrame.unionByName, [
-        flow(staged.join(routed.filter(F.col("route") == route).select(key), key, "left_semi")).select(
+        flow(known.join(dealt.filter(F.col("route") == route).select(key), key, "left_semi")).select(
             key, F.col("error").cast("string").alias("__error"), F.lit(True).alias("__ran"))
         for route, flow in work.items()])
-    out = routed.join(done, key, "left")
+    out = dealt.join(parted(done, rows, key), key, "left")
     loaded = F.col("__ran") & F.col("__error").isNull()
     return out.withColumns({
         "current_stage": F.when(loaded, STAGES[-1]).otherwise(F.col("current_stage")),
@@ -159,18 +162,18 @@ def recovery_outcome(after: DataFrame) -> DataFrame:
         F.count_if((F.col("route") == "not_found") | (tried & (F.col("status") != "completed"))).alias("failed_count"))
 
 
-def compare_stores(source: DataFrame, stored: DataFrame, key: str) -> DataFrame:
+def compare_stores(source: DataFrame, stored: DataFrame, key: str, rows: int = 0) -> DataFrame:
     """Per key: MATCH, MISSING, ORPHANED, STALE, SOURCE_NEWER or CORRUPT.
 
     Source rows carry ``checksum`` (recorded at extraction) and ``recomputed``
     (over the row as it is now); stored rows carry ``checksum``. A recomputed
     value equal to the source's means the store is stale, one equal to the
     store's that the source changed after loading, neither that data is
-    corrupt.
+    corrupt. ``rows``, the number in the larger store if known, decides the number of tasks.
     """
     a = source.select(F.col(key), F.col("checksum").alias("__a"), F.col("recomputed").alias("__r"))
     b = stored.select(F.col(key), F.col("checksum").alias("__b"))
-    return a.join(b, key, "full_outer").select(key, (
+    return parted(a, rows, key).join(parted(b, rows, key), key, "full_outer").select(key, (
         F.when(F.col("__b").isNull(), "MISSING").when(F.col("__a").isNull(), "ORPHANED")
         .when(F.col("__a") == F.col("__b"), "MATCH").when(F.col("__r") == F.col("__a"), "STALE")
         .when(F.col("__r") == F.col("__b"), "SOURCE_NEWER").otherwise("CORRUPT")).alias("outcome"))

@@ -16,6 +16,7 @@ from casequarry.operators import sketches as K
 from casequarry.operators import sweeps as S
 from casequarry.plans.registry import query
 from casequarry.session import checkpoint_dir
+from casequarry.skew import parted
 
 FIELDS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority"]
 
@@ -57,7 +58,7 @@ SELECT outcome, count(*) AS n FROM o GROUP BY 1"""
 
 @query("checksum_reconcile", RECONCILE_SQL)
 def checksum_reconcile(t):
-    return J.compare_stores(recomputed(t), damaged(t), "o_orderkey").groupBy("outcome").agg(F.count("*").alias("n"))
+    return J.compare_stores(recomputed(t), damaged(t), "o_orderkey", t.orders.count()).groupBy("outcome").agg(F.count("*").alias("n"))
 
 
 def recomputed(t):
@@ -65,7 +66,8 @@ def recomputed(t):
     source = source_rows(t)
     altered = t.orders.withColumn("o_orderstatus", F.concat(F.lit("x"), "o_orderstatus")).select(
         "o_orderkey", J.checksum(FIELDS).alias("other"))
-    return source.join(altered, "o_orderkey").withColumn("recomputed", F.when(
+    rows = t.orders.count()
+    return parted(source, rows, "o_orderkey").join(parted(altered, rows, "o_orderkey"), "o_orderkey").withColumn("recomputed", F.when(
         k == 0, F.col("checksum")).when(k == 1, F.col("other")).otherwise("none"))
 
 

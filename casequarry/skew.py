@@ -140,3 +140,13 @@ def spread(scan: DataFrame) -> DataFrame:
     cores = scan.sparkSession.sparkContext.defaultParallelism
     parts = scan._jdf.queryExecution().toRdd().getNumPartitions()
     return scan if parts >= cores else scan.repartition(cores)
+
+
+PART_ROWS = 250_000  # rows of one side that one task of a join sorts
+
+
+def parted(df: DataFrame, rows: int, *keys: str) -> DataFrame:
+    """``df`` dealt by ``keys`` to as many tasks as ``rows`` need, if those are more than a shuffle has.
+    Sides dealt with the same ``rows`` join without another exchange."""
+    parts = -(-rows // PART_ROWS)
+    return df.repartition(parts, *keys) if parts > int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")) else df
