@@ -315,19 +315,28 @@ SECTION_WORDS = ["ISSUE", "RESOLUTION", "ENVIRONMENT", "TASKS", "WORK ORDERS", "
 
 def composite_checks(text: Column, tasks: Column, workorders: Column) -> Column:
     """Structure of a composite text: number of sections, how many of them
-    hold each section word, and the readiness rules that fail."""
-    sections = F.transform(F.split(text, r"\n\n", -1), lambda s: F.upper(s))
-    words = F.create_map(*[x for w in SECTION_WORDS for x in (
-        F.lit(w), F.size(F.filter(sections, _has(w))))])
-    upper = F.upper(text)
-    rules = [(F.length(text) > 0, "not empty"), (F.length(text) <= T.MAX_CHARS, "within limit"),
-             (F.contains(upper, F.lit("ISSUE")) | F.contains(text, F.lit("Description")), "issue present"),
-             (F.contains(upper, F.lit("RESOLUTION")), "resolution present"),
-             ((tasks > 0) | (workorders > 0), "children attached")]
-    failed = F.array_compact(F.array(*[
-        F.when(~F.coalesce(ok, F.lit(False)), name) for ok, name in rules]))
-    return F.struct(F.size(sections).alias("sections"), words.alias("words"), failed.alias("failed"),
-                    (F.size(failed) == 0).alias("ready"))
+    hold each section word, and the readiness rules that fail. The text and its
+    sections are bound to lambda variables, so each is made once a row."""
+    def checked(x: Column) -> Column:
+        words = F.create_map(*[y for w in SECTION_WORDS for y in (
+            F.lit(w), F.size(F.filter(x["sections"], _has(w))))])
+        rules = [(F.length(x["text"]) > 0, "not empty"), (F.length(x["text"]) <= T.MAX_CHARS, "within limit"),
+                 (F.contains(x["upper"], F.lit("ISSUE")) | F.contains(x["text"], F.lit("Description")), "issue present"),
+                 (F.contains(x["upper"], F.lit("RESOLUTION")), "resolution present"),
+                 ((x["tasks"] > 0) | (x["workorders"] > 0), "children attached")]
+        failed = F.array_compact(F.array(*[
+            F.when(~F.coalesce(ok, F.lit(False)), name) for ok, name in rules]))
+        return _once(failed, lambda f: F.struct(F.size(x["sections"]).alias("sections"), words.alias("words"),
+                                                f.alias("failed"), (F.size(f) == 0).alias("ready")))
+
+    return _once(F.struct(text.alias("text"), tasks.alias("tasks"), workorders.alias("workorders")), lambda x: _once(
+        F.struct(x["text"].alias("text"), F.upper(x["text"]).alias("upper"), x["tasks"].alias("tasks"), x["workorders"].alias("workorders"),
+                 F.transform(F.split(x["text"], r"\n\n", -1), lambda s: F.upper(s)).alias("sections")), checked))
+
+
+def _once(value: Column, use) -> Column:
+    """``use(value)`` with the value made once, however often it is used."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
 def _has(word: str):
