@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import (ArrayType, FloatType, StringType, StructField, StructType)
@@ -112,23 +112,20 @@ def embed(df: DataFrame, text: str, embedder: Embedder, size: int = DIMENSIONS,
         except Exception:  # noqa: BLE001 - fall back to single texts
             return [one(v) for v in values]
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            for at in range(0, len(frame), batch):
-                part = frame.iloc[at:at + batch].copy()
-                texts = part[text].fillna("")
-                filled = texts.str.strip() != ""
-                results = many(list(texts[filled])) if filled.any() else []
-                vectors, errors, position = [], [], 0
-                for use in filled:
-                    vector, message = results[position] if use else (zero, None)
-                    position += int(use)
-                    vectors.append([float(x) for x in vector])
-                    errors.append(message)
-                part[out], part[error] = vectors, errors
-                yield part
-
-    return df.mapInPandas(run, schema)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # Only ``batch`` rows at a time become Python values, whatever comes in one Arrow batch.
+        for whole in batches:
+            for at in range(0, whole.num_rows, batch):
+                part = whole.slice(at, batch)
+                texts = [t or "" for t in part.column(text).to_pylist()]
+                filled = [t.strip() != "" for t in texts]
+                results = iter(many([t for t, use in zip(texts, filled) if use]) if any(filled) else [])
+                found = [next(results) if use else (zero, None) for use in filled]
+                vectors = pa.array([np.asarray(v, np.float32) for v, _ in found], pa.list_(pa.float32()))
+                yield pa.RecordBatch.from_arrays([*part.columns, vectors, pa.array([m for _, m in found], pa.string())],
+                                                 names=[*part.schema.names, out, error])
+
+    return df.mapInArrow(run, schema)
 
 
 def embed_issue_resolution(df: DataFrame, embedder: Embedder, size: int = DIMENSIONS, issue: str = "issue_text",
