@@ -19,7 +19,10 @@ Cells are at most ``MOST_CELLS``; their centres and radii ride along as one valu
 from __future__ import annotations
 
 from dataclasses import dataclass
+from math import isfinite
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.window import Window
 
@@ -29,6 +32,7 @@ from casequarry.session import cut
 from casequarry.skew import salt_of, salts, top_n
 
 MOST_CELLS = 1024
+BLOCK = 2048  # rows measured against all centres at once
 SLACK = 1e-7  # of a distance or a cosine: far above rounding, far below what matters
 SAMPLE = 100_000  # rows that centres are fitted on; every row is indexed
 
@@ -69,16 +73,45 @@ def build(corpus: DataFrame, doc_id: str, vector: str, cells: int = 0, centres:
         share = -(-n // SAMPLE) if n else 1
         centres = kmeans_centres(usable.filter(F.pmod(F.xxhash64(doc_id), F.lit(share)) == 0), "unit", min(cells, max(n, 1))) if n else (
             corpus.sparkSession.createDataFrame([], "cell int, centre array<double>"))
-    table = centres.select("cell", unit(F.col("centre")).alias("centre")).agg(
-        F.sort_array(F.collect_list(F.struct("cell", "centre")))).scalar()
-    near = F.array_min(F.transform("__cells", lambda c: F.struct(distance(F.col("unit"), c["centre"]).alias("off"), c["cell"].alias("cell"))))
-    rows = cut(usable.withColumn("__cells", table).withColumn("__near", near).select(
-        doc_id, F.col("__near.cell").alias("cell"), "unit", F.col("__near.off").alias("off")))
+    rows = cut(nearest(usable, doc_id, centres.select("cell", unit(F.col("centre")).alias("centre"))))
     radii = rows.groupBy("cell").agg(F.max("off").alias("radius"), F.count("*").alias("n"))
     balls = cut(centres.select("cell", unit(F.col("centre")).alias("centre")).join(radii, "cell"))
     return CellIndex(rows, balls, doc_id)
 
 
+def nearest(usable: DataFrame, doc_id: str, centres: DataFrame) -> DataFrame:
+    """id, cell, unit, off of rows (id, unit): the nearest centre, ties to the smaller cell, by matrix products in blocks."""
+    spark = usable.sparkSession
+    found = sorted((r["cell"], r["centre"]) for r in centres.collect())  # MOST_CELLS at most
+    # Null or unequal dimensions compare as in Column arithmetic, which rows without a distance get too.
+    table = centres.agg(F.sort_array(F.collect_list(F.struct("cell", "centre")))).scalar()
+    near = F.array_min(F.transform("__cells", lambda c: F.struct(distance(F.col("unit"), c["centre"]).alias("off"), c["cell"].alias("cell"))))
+    by_column = lambda rows: rows.withColumn("__cells", table).withColumn("__near", near).select(
+        doc_id, F.col("__near.cell").alias("cell"), "unit", F.col("__near.off").alias("off"))
+    size = len(found[0][1]) if found and found[0][1] is not None else 0
+    if not size or any(c is None or len(c) != size or not all(x is not None and isfinite(x) for x in c) for _, c in found):
+        return by_column(usable)
+    shared = spark.sparkContext.broadcast((np.array([c for c, _ in found]), np.array([c for _, c in found], np.float64)))
+
+    def run(batches):
+        names, points = shared.value
+        own = (points * points).sum(axis=1)
+        for whole in batches:
+            for at in range(0, whole.num_rows, BLOCK):
+                batch = whole.slice(at, BLOCK)
+                flat = batch.column("unit").flatten().to_numpy(zero_copy_only=False)
+                rows = flat.reshape(-1, size)
+                place = np.argmin(own - 2 * (rows @ points.T), axis=1)
+                gap = rows - points[place]
+                yield pa.RecordBatch.from_arrays([batch.column(doc_id), pa.array(names[place], pa.int64()), batch.column("unit"),
+                                                  pa.array(np.sqrt((gap * gap).sum(axis=1)))], names=[doc_id, "cell", "unit", "off"])
+
+    plain = F.coalesce((F.size("unit") == size) & F.forall("unit", lambda x: x.isNotNull() & (F.abs(x) <= 2)), F.lit(False))
+    kind = dict(usable.dtypes)[doc_id]
+    fast = usable.where(plain).select(doc_id, "unit").mapInArrow(run, f"`{doc_id}` {kind}, cell long, unit array<double>, off double")
+    return fast.withColumn("cell", F.col("cell").cast(centres.schema["cell"].dataType)).unionByName(by_column(usable.where(~plain)))
+
+
 def _reach(far: Column, radius: Column) -> Column:
     """The best cosine a row within ``radius`` of a point at distance ``far`` can have."""
     gap = F.greatest(far - radius - SLACK, F.lit(0.0))

@@ -217,3 +217,19 @@ def test_parts_of_a_token_table_do_not_grow(spark, monkeypatch):
     assert sum(map(len, of)) == 90
     none = term_index._dealt(rows.limit(0))
     assert none.rdd.getNumPartitions() >= 1 and not none.count()
+
+
+def test_nearest_cell_by_blocks_is_that_of_every_distance(spark):
+    """Ties go to the smaller cell, vectors of other sizes or with nulls keep what the column arithmetic says."""
+    r = random.Random(8)
+    rows = [(i, [r.gauss(0, 1) for _ in range(3)]) for i in range(200)] + [(500, [1.0, 0.0]), (501, None), (502, [0.0, 0.0, 0.0])]
+    centres = spark.createDataFrame([(9, [1.0, 0.0, 0.0]), (4, [1.0, 0.0, 0.0]), (2, [0.0, 1.0, 0.0]), (7, [0.0, 0.0, 1.0])], "cell int, centre array<double>")
+    table = spark.createDataFrame(rows, "doc_id long, vector array<double>")
+    index = cells.build(table, "doc_id", "vector", centres=centres)
+    got = {x["doc_id"]: (x["cell"], x["off"], x["unit"]) for x in index.rows.collect()}
+    assert set(got) == {i for i, v in rows if v is not None} and 9 not in {c for c, _, _ in got.values()}
+    for i, v in rows[:200]:
+        cell, off, unit = got[i]
+        far = {c: sum((a - b) ** 2 for a, b in zip(unit, p)) ** 0.5 for c, p in ((4, (1, 0, 0)), (2, (0, 1, 0)), (7, (0, 0, 1)))}
+        assert abs(far[cell] - min(far.values())) < 1e-12 and abs(off - far[cell]) < 1e-12
+    assert "MapInArrow" in cells.nearest(table.select("doc_id", F.col("vector").alias("unit")), "doc_id", centres)._jdf.queryExecution().toString()
