@@ -137,3 +137,36 @@ def test_common_values_count_each_set_once(spark, docs):
     names, counts = near_copies.common_values(docs(rows).repartition(5))
     assert dict(zip(names.tolist(), counts.tolist())) == {k: n for k, n in want.items() if n >= near_copies.COMMON}
     assert (np.diff(names.astype(np.int64)) > 0).all() and len(near_copies.common_values(docs([]))[0]) == 0
+
+
+def test_values_of_few_sets_are_settled_at_once(spark, docs, monkeypatch):
+    """All pairs of sets that share a value of few are compared in the first round; only crowded values go on."""
+    from collections import Counter
+    from itertools import combinations
+    from casequarry.llm import near_copies
+    rows, _ = planted()
+    later = []
+    step = near_copies.neighbours
+    monkeypatch.setattr(near_copies, "neighbours", lambda left, turn: (later.append(left.collect()) if turn else None) or step(left, turn))
+    table = docs(rows)
+    got = sorted(str(x["doc_id"]) for x in near_copies.keep_one(table).collect())
+    assert got == sorted(str(d) for d, _ in brute_kept(rows))
+    assert later and all(n > near_copies.PAIRED for left in later for n in Counter(x["value"] for x in left).values())
+
+    shared = spark.createDataFrame([(v, 10 * v + k, 50, k) for v, n in ((1, 2), (2, 8), (3, 9)) for k in range(n)] + [(4, 1, 50, 0), (4, 2, 500, 0)],
+                                   "value long, key long, n long, at long")
+    few, many = near_copies.crowded(shared)
+    assert {x["value"] for x in many.collect()} == {3} and few.count() == 12
+    # Sizes of 50 and 500 cannot be alike; nor can sets whose first shared value is that late.
+    assert {tuple(x) for x in near_copies.paired(few).collect()} == {(10, 11), *combinations(range(20, 28), 2)}
+
+
+def test_copies_leave_a_task_with_one_body(spark, docs):
+    from casequarry.llm import near_copies
+    text = " ".join(f"w{i}" for i in range(60))
+    table = docs([(i, text) for i in range(90)] + [(100, text + " more"), (101, text + " more words")]).coalesce(1)
+    found = near_copies.prefixed(table, near_copies.common_values(table)).cache()
+    assert found.count() == 92 and found.where("body is not null").count() == 3 and found.where("n is null or fp is null").count() == 0
+    shared = near_copies.shared_values(found).collect()
+    assert max(sum(1 for y in shared if y["value"] == x["value"]) for x in shared) == 3  # each set once
+    assert [x["doc_id"] for x in near_copies.keep_one(table).collect()] == [0]
