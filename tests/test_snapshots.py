@@ -76,3 +76,34 @@ def test_a_batch_that_failed_is_replaced(spark, tmp_path):
     assert rows_of(snap) == before
     snap.upsert(spark.createDataFrame([(3, 5, "new")], SCHEMA), 1)
     assert rows_of(snap) == sorted([*(r for r in before if r[0] != 3), (3, 5, "new")], key=str)
+
+
+def test_leaves_share_files(spark, tmp_path, monkeypatch):
+    """Files are as many as the rows need, not as there are leaves; a leaf's old rows and tombstones do not count in a shared folder."""
+    from casequarry.sources import snapshots
+    monkeypatch.setattr(snapshots, "SHELF_ROWS", 500)
+    snap = snapshot(spark, tmp_path)
+    frame = lambda rows: spark.createDataFrame(rows, SCHEMA).coalesce(2)
+    snap.upsert(frame([(i, 1, "a") for i in range(2000)]), 0)
+    leaves = snap.leaves()[1]
+    assert len(leaves) > 100 and covers(leaves) and len({x.path for x in leaves}) == 4
+    assert len(list((tmp_path / "batches").rglob("part-*.parquet"))) <= 16
+    want = {i: (1, "a") for i in range(2000)}
+    ids = lambda keys: spark.createDataFrame([(k,) for k in keys], "k long")
+    snap.delete(ids(range(0, 2000, 2)), 1)  # hides rows in every leaf
+    snap.upsert(frame([(4, 2, "back"), (5, 2, "new")]), 2)
+    snap.delete(ids([7, 8, 9, *range(100, 300)]), 3)  # in leaves with and without tombstones
+    for k in [*range(0, 2000, 2), 7, 8, 9, *range(100, 300)]:
+        want.pop(k, None)
+    want |= {4: (2, "back"), 5: (2, "new")}
+    state = lambda: sorted(((k, *v) for k, v in want.items()), key=str)
+    assert rows_of(snap) == state()
+    code = {r["k"]: r["c"] for r in ids(range(2000)).selectExpr("k", "shiftrightunsigned(xxhash64(k), 24) AS c").collect()}
+    leaf = next(x for x in snap.leaves()[1] if x.path and code[4] >> 40 - x.depth == x.code)
+    near = [k for k in want if k != 4 and code[k] >> 40 - leaf.depth == leaf.code]
+    snap.delete(ids(near[:1]), 4)  # the first delete hid 4, in tombstones that other leaves of the folder still have
+    for k in near[:1]:
+        del want[k]
+    assert rows_of(snap) == state() and 4 in want
+    snap.vacuum(5)
+    assert rows_of(snap) == state() and covers(snap.leaves()[1]) and sum(x.n for x in snap.leaves()[1]) == len(want)
