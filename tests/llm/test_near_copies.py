@@ -146,14 +146,14 @@ def test_values_of_few_sets_are_settled_at_once(spark, docs, monkeypatch):
     from casequarry.llm import near_copies
     rows, _ = planted()
     later = []
-    step = near_copies.neighbours
-    monkeypatch.setattr(near_copies, "neighbours", lambda left, turn: (later.append(left.collect()) if turn else None) or step(left, turn))
+    step = near_copies.named
+    monkeypatch.setattr(near_copies, "named", lambda rows, edges: (later.append(rows.collect()) if edges else None) or step(rows, edges))
     table = docs(rows)
     got = sorted(str(x["doc_id"]) for x in near_copies.keep_one(table).collect())
     assert got == sorted(str(d) for d, _ in brute_kept(rows))
-    assert later and all(n > near_copies.PAIRED for left in later for n in Counter(x["value"] for x in left).values())
+    assert later and later[0] and all(n > near_copies.PAIRED for left in later for n in Counter(x["value"] for x in left).values())
 
-    shared = spark.createDataFrame([(v, 10 * v + k, 50, k) for v, n in ((1, 2), (2, 8), (3, 9)) for k in range(n)] + [(4, 1, 50, 0), (4, 2, 500, 0)],
+    shared = spark.createDataFrame([(v, 10 * v + k, 50, 0) for v, n in ((1, 2), (2, 8), (3, 9)) for k in range(n)] + [(4, 1, 50, 0), (4, 2, 500, 0)],
                                    "value long, key long, n long, at long")
     few, many = near_copies.crowded(shared)
     assert {x["value"] for x in many.collect()} == {3} and few.count() == 12
