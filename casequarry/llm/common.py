@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 CHUNK_BYTES = 1 << 19
+SLICE_BYTES = 1 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -46,3 +47,16 @@ def chunks(column: pa.LargeBinaryArray, limit: int = CHUNK_BYTES) -> Iterator[tu
         end = min(max(end, at + 1), len(column))
         yield at, end, data[offsets[at]:offsets[end]], offsets[at:end + 1] - offsets[at]
         at = end
+
+
+def sliced(batches: Iterable[pa.RecordBatch], limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of some ``limit`` bytes of ``text``, so that a task makes Python values of few texts at once.
+
+    Workers are used again and keep much of what they once took. A row longer
+    than ``limit`` is a batch of its own; a batch without rows stays one.
+    """
+    for batch in batches:
+        for at, end, _, _ in chunks(as_bytes(batch.column("text")), limit):
+            yield batch.slice(at, end - at)
+        if not batch.num_rows:
+            yield batch

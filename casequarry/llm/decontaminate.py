@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from casequarry.llm import rolling
-from casequarry.llm.common import as_bytes, chunks
+from casequarry.llm.common import as_bytes, chunks, sliced
 
 WINDOW = 10
 BLOCK_BYTES = 16_000_000
@@ -178,7 +178,7 @@ def clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_byt
     last = blocks[-1]
 
     def run(batches):
-        for batch in batches:
+        for batch in sliced(batches):
             column = batch.column("text")
             text = as_bytes(column)
             new = column.to_pylist()

@@ -9,7 +9,8 @@ all underfull sequences until no exchange helps. A group wastes about one
 sequence, so groups of this size cost nothing visible and bound memory.
 
 The tokenizer folds case, drops white space and never joins across it, so texts
-are split at ASCII blanks with A-Z folded and each worker keeps ids of words.
+are split at ASCII blanks with A-Z folded and each task keeps ids of words. Only
+the tokenizer stays in a worker: what comes after packing runs in the same workers.
 
 Cases: a null or empty text is its end token alone; repeated rows are packed
 each for itself, null ids too; an empty table gives no rows; other columns are
@@ -29,13 +30,13 @@ from itertools import combinations
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from casequarry.llm.common import as_bytes, chunks
+from casequarry.llm.common import as_bytes, sliced
 from casequarry.session import cut
 
 CAPACITY = 2048
 END = 0
 GROUP = 40_000
-CACHE = 1_000_000  # some 140 bytes each
+CACHE = 600_000  # some 200 bytes each
 _PUNCTUATION = b".,;:!?|#%&*$"
 _PLAIN = re.compile("[a-z\u00df-\u00f6\u00f8-\u00ff\u00c0-\u00d6\u00d8-\u00de]+")
 _WORKERS: dict[str, TokenIds] = {}
@@ -52,8 +53,8 @@ class TokenIds:
     letter or digit and a run of punctuation. Words of plain Latin letters go
     straight to the tokenizer's model; normalising and splitting would leave them
     alone. All others take the whole way. Words met lately are remembered in two
-    generations of ``CACHE`` / 2, so a worker's memory is bounded and frequent
-    words stay.
+    generations of ``CACHE`` / 2, so a task's memory is bounded and frequent
+    words stay; ``forget`` ends that.
     """
 
     def __init__(self, path: str):
@@ -74,6 +75,9 @@ class TokenIds:
             _WORKERS[path] = TokenIds(path)
         return _WORKERS[path]
 
+    def forget(self) -> None:
+        self.young, self.old = {}, {}
+
     def _learn(self, words: list[bytes]) -> None:
         young, split, slow = self.young, [], set()
 
@@ -124,22 +128,23 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end: int =
 
     def run(batches):
         ids_of = TokenIds.of(tokenizer)
-        for batch in batches:
-            text = as_bytes(batch.column("text"))
-            rows, out = [], []
-            for at, to, _, _ in chunks(text, 1 << 22):
-                for k, ids in enumerate(ids_of(text.slice(at, to - at).to_pylist()), at):
+        try:
+            for batch in sliced(batches):
+                rows, out = [], []
+                for k, ids in enumerate(ids_of(as_bytes(batch.column("text")).to_pylist())):
                     ids += tail
                     for piece, begin in enumerate(range(0, len(ids), 4 * capacity)):
                         part = ids[begin:begin + 4 * capacity]
                         rows.append(k)
                         out.append((piece, begin // 4, len(part) // 4, zlib.crc32(part)))
-            columns = list(zip(*out)) or [[]] * 4
-            kinds = [pa.int32(), pa.int64(), pa.int64(), pa.int64()]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id").take(pa.array(rows, pa.int64())),
-                 *(pa.array(c, k) for c, k in zip(columns, kinds))],
-                names=["doc_id", "piece", "start", "length", "ids_crc32"])
+                columns = list(zip(*out)) or [[]] * 4
+                kinds = [pa.int32(), pa.int64(), pa.int64(), pa.int64()]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("doc_id").take(pa.array(rows, pa.int64())),
+                     *(pa.array(c, k) for c, k in zip(columns, kinds))],
+                    names=["doc_id", "piece", "start", "length", "ids_crc32"])
+        finally:
+            ids_of.forget()
 
     return docs.select("doc_id", "text").mapInArrow(
         run, f"doc_id {dict(docs.dtypes)['doc_id']}, piece int, start long, length long, ids_crc32 long")

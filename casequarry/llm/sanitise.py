@@ -30,11 +30,12 @@ import re
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from casequarry.llm.common import as_bytes
+from casequarry.llm.common import as_bytes, sliced
 from casequarry.session import cut
 
 REACH = 8
 SUPPORT = 3
+DISTINCT = 100_000  # terms that a task counts at once
 GENERALISE, REMOVE = 0.8, 0.95
 TOKENS = {"email": "[EMAIL]", "ip": "[IP]", "card": "[CARD]", "phone": "[PHONE]"}
 KINDS = ["email", "ip", "card", "phone", "term"]
@@ -160,7 +161,7 @@ _MENTIONS = "doc_id {}, row long, entity string, term string, first int, end int
 def mentions(docs: DataFrame, reach: int = REACH) -> DataFrame:
     """One row per entity, term and place; ``row`` tells documents of one id apart by text."""
     def run(batches):
-        for batch in batches:
+        for batch in sliced(batches):
             out = [(i, *c) for i, text in enumerate(batch.column("text").to_pylist()) if text
                    for c in context(text, base_spans(text), reach)]
             i, e, t, b, x = list(zip(*out)) or [[]] * 5
@@ -190,7 +191,7 @@ def term_counts(docs: DataFrame) -> DataFrame:
                 for raw in text.slice(at, 200).to_pylist():
                     for word in {w.strip(edge) for w in raw.lower().split()}:
                         counts[word] = counts.get(word, 0) + 1
-                if len(counts) > 300_000:
+                if len(counts) > DISTINCT:
                     yield flush()
                     counts.clear()
         yield flush()
@@ -242,7 +243,7 @@ def scan(docs: DataFrame, **settings) -> DataFrame:
     terms = term_spans(docs, **settings)
 
     def run(batches):
-        for batch in batches:
+        for batch in sliced(batches):
             rows = []
             for text in batch.column("text").to_pylist():
                 spans = base_spans(text) if text else []
@@ -284,7 +285,7 @@ def clean(docs: DataFrame, **settings) -> DataFrame:
     joined = _with_terms(docs.withColumn("__row", F.xxhash64("text")), terms)
 
     def run(batches):
-        for batch in batches:
+        for batch in sliced(batches):
             texts = batch.column("text").to_pylist()
             terms_of = batch.column("__terms").to_pylist()
             new = [t and rewritten(t, [(x["first"], x["end"], x["drop"]) for x in m or []]) for t, m in zip(texts, terms_of)]
