@@ -9,7 +9,8 @@ statistics over live rows: their number, how many have a text, the texts' total
 
 ``put`` adds a segment with new and changed rows, ``remove`` one with deletions;
 what an id has in older segments is dead from then on, so an update costs what
-changed and never rewrites the rest. ``compact`` merges all into one segment. Each writes
+changed and never rewrites the rest. Texts are taken apart where they are read: only those of
+an id that comes more than once move, and postings move by word, not one by one. ``compact`` merges all into one segment. Each writes
 under the next number and counts once its manifest is complete; repeating a number
 that is complete changes nothing.
 """
@@ -20,6 +21,8 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.window import Window
 
@@ -27,10 +30,12 @@ from casequarry.functions import text as T
 from casequarry.functions import vectors as V
 from casequarry.operators.search import B, DEFAULT_ALPHA, DEFAULT_LIMIT, DIGITS, K1, fuse, query_terms
 from casequarry.session import cut
+from casequarry.skew import is_small
 from casequarry.sources.sinks import current_version, write_version
 
 BUCKETS = 64
-PART_BYTES = 8_000_000  # of text that one task takes apart
+PART_BYTES = 8_000_000  # of texts that must meet by id in one task
+CHUNK_WORDS = 2_000_000  # of texts whose postings are grouped at once
 COLUMNS = ("id", "length", "row", "vector", "deleted")
 
 
@@ -38,13 +43,49 @@ def _bucket(term: Column, buckets: int) -> Column:
     return F.pmod(F.xxhash64(term), F.lit(buckets)).cast("int")
 
 
+def _last(rows: DataFrame) -> DataFrame:
+    """Of several rows of one id the last by the text's hash."""
+    last = Window.partitionBy("id").orderBy(F.desc("row"))
+    return rows.withColumn("__r", F.row_number().over(last)).filter("__r = 1").drop("__r")
+
+
 def _dealt(rows: DataFrame) -> DataFrame:
-    """``rows`` by id in parts of some ``PART_BYTES`` of text: a part's postings meet in one task, so parts must not grow with the table."""
+    """``rows`` by id in parts of some ``PART_BYTES`` of text, so that parts do not grow with the table."""
     least = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     total = rows.select(F.sum(F.octet_length("body"))).first()[0] or 0
     return rows.repartition(max(least, -(-total // PART_BYTES)), "id")
 
 
+def _single(rows: DataFrame) -> DataFrame:
+    """``_last`` of ``rows``, where texts of ids that come once stay where they are; unless most would have to be looked up."""
+    again = cut(rows.groupBy("id").agg(F.count("*").alias("n")).filter("n > 1").select("id"))
+    if again.isEmpty():
+        return rows
+    if not is_small(again):
+        return _last(_dealt(rows))
+    again = F.broadcast(again)
+    return rows.join(again, "id", "left_anti").unionByName(_last(_dealt(rows.join(again, "id", "left_semi"))))
+
+
+def _grouped(texts: DataFrame) -> DataFrame:
+    """``texts`` (id, tokens) as term, ids, lengths, tfs: per chunk of texts and word who has it, how long these texts are and how often they have it."""
+    def run(batches):
+        for batch in batches:
+            counts = batch.column("tokens").value_lengths().fill_null(0).to_numpy()
+            part = (np.cumsum(counts) - counts) // CHUNK_WORDS
+            begins = np.flatnonzero(np.diff(part, prepend=-1)).tolist()
+            for at, end in zip(begins, [*begins[1:], len(counts)]):
+                words = batch.column("tokens").slice(at, end - at).flatten().dictionary_encode()
+                of = np.repeat(np.arange(end - at), counts[at:end])
+                pairs, tf = np.unique(words.indices.to_numpy().astype(np.int64) * (end - at) + of, return_counts=True)
+                code, of = np.divmod(pairs, end - at)
+                ends = pa.array(np.searchsorted(code, np.arange(len(words.dictionary) + 1)).astype(np.int32))
+                found = (batch.column("id").slice(at, end - at).take(pa.array(of)), pa.array(counts[at:end][of].astype(np.int32)), pa.array(tf.astype(np.int32)))
+                yield pa.RecordBatch.from_arrays([words.dictionary, *(pa.ListArray.from_arrays(ends, f) for f in found)], names=["term", "ids", "lengths", "tfs"])
+
+    return texts.mapInArrow(run, f"term string, ids array<{dict(texts.dtypes)['id']}>, lengths array<int>, tfs array<int>")
+
+
 @dataclass
 class TermIndex:
     spark: SparkSession
@@ -99,46 +140,50 @@ class TermIndex:
 
     # -- changes -----------------------------------------------------------------------
 
-    def put(self, rows: DataFrame, doc_id: str, text: str, vector: str | None = None, keep: Sequence[str] = (), number: int | None = None) -> None:
-        """New and changed rows. Of several rows of one id the last by the text's hash counts; null ids are left out."""
+    def put(self, rows: DataFrame, doc_id: str, text: str, vector: str | None = None, keep: Sequence[str] = (), number: int | None = None,
+            vectors: DataFrame | None = None) -> None:
+        """New and changed rows. Of several rows of one id the last by the text's hash counts; null ids are left out.
+
+        ``vectors`` has the column ``vector`` of a table of its own by ``doc_id``: it meets the rows after their texts have been counted.
+        """
         if set(keep) & set(COLUMNS):
             raise ValueError(f"{sorted(set(keep) & set(COLUMNS))} are columns of the table itself")
-        last = Window.partitionBy("id").orderBy(F.desc("row"), F.desc(F.xxhash64("body")))
-        v = F.col(vector).cast("array<double>") if vector else F.lit(None).cast("array<double>")
+        as_vector = (F.col(vector).cast("array<double>") if vector else F.lit(None).cast("array<double>")).alias("vector")
         fresh = rows.filter(F.col(doc_id).isNotNull()).select(
-            F.col(doc_id).alias("id"), F.col(text).alias("body"), F.xxhash64(text).alias("row"), v.alias("vector"), *keep)
-        fresh = _dealt(fresh).withColumn("__r", F.row_number().over(last)).filter("__r = 1").drop("__r").withColumn(
-            "tokens", T.tokens(F.col("body"))).withColumn("length", F.size("tokens"))
-        self._commit(number, fresh.withColumn("deleted", F.lit(False)).select(*COLUMNS, *keep, "tokens"))
+            F.col(doc_id).alias("id"), F.col(text).alias("body"), F.xxhash64(text).alias("row"), *([as_vector] if vectors is None else []), *keep)
+        docs = fresh.withColumn("length", F.size(T.tokens(F.col("body")))).drop("body")
+        if vectors is not None:
+            docs = docs.join(vectors.select(F.col(doc_id).alias("id"), as_vector), "id", "left")
+        self._commit(number, _last(docs).withColumn("deleted", F.lit(False)).select(*COLUMNS, *keep), fresh.select("id", "body", "row"))
 
     def remove(self, ids: DataFrame, doc_id: str, number: int | None = None) -> None:
         """Ids that are to be found no more; unknown ones do no harm."""
         gone = ids.filter(F.col(doc_id).isNotNull()).select(F.col(doc_id).alias("id")).distinct()
         self._commit(number, gone.select("id", F.lit(0).alias("length"), F.lit(0).cast("long").alias("row"), F.lit(None).cast("array<double>").alias("vector"),
-                                         F.lit(True).alias("deleted"), F.array().cast("array<string>").alias("tokens")))
+                                         F.lit(True).alias("deleted")))
 
-    def _commit(self, number: int | None, rows: DataFrame) -> None:
+    def _commit(self, number: int | None, docs: DataFrame, texts: DataFrame | None = None) -> None:
         done, segments, *stats = self.manifest()
         number = done + 1 if number is None else number
         if done >= number:
             return
-        self._write(number, rows)
+        docs.write.mode("overwrite").parquet(self._path(number, "docs"))
         docs = self.spark.read.parquet(self._path(number, "docs"))
+        self._write_postings(number, self._taken_apart(docs.limit(0).select("id", F.lit("").alias("body")) if texts is None else _single(texts)))
         counts = (F.count("*"), F.count("length"), F.coalesce(F.sum("length"), F.lit(0)))
         added = docs.filter(~F.col("deleted")).agg(*counts).first()
         replaced = self.docs().select("id", "length").join(docs.select("id"), "id", "left_semi").agg(*counts).first() if segments else (0, 0, 0)
         self._publish(number, [*segments, number], *(old + plus - less for old, plus, less in zip(stats, added, replaced)))
 
-    def _write(self, number: int, rows: DataFrame) -> None:
-        docs = rows.drop("tokens")
-        docs.write.mode("overwrite").parquet(self._path(number, "docs"))
-        postings = rows.select("id", "length", F.explode("tokens").alias("term")).groupBy("id", "term", "length").agg(
-            F.count("*").cast("int").alias("tf")).withColumn("bucket", _bucket(F.col("term"), self.buckets))
-        self._write_postings(number, postings)
+    def _taken_apart(self, texts: DataFrame) -> DataFrame:
+        """Postings of ``texts`` (id, body) by bucket."""
+        grouped = _grouped(texts.select("id", T.tokens(F.col("body")).alias("tokens"))).withColumn("bucket", _bucket(F.col("term"), self.buckets))
+        one = grouped.hint("rebalance", F.col("bucket")).select("term", "bucket", "lengths", "tfs", F.posexplode("ids").alias("at", "id"))
+        return one.select("id", F.col("lengths")[F.col("at")].alias("length"), "term", F.col("tfs")[F.col("at")].alias("tf"), "bucket")
 
     def _write_postings(self, number: int, postings: DataFrame) -> None:
-        # Rebalanced, so a bucket with a very frequent word is several files; sorted, so row groups are read by term.
-        postings.hint("rebalance", F.col("bucket")).sortWithinPartitions("bucket", "term", "id").write.mode("overwrite").partitionBy(
+        # Rebalanced before, so a bucket with a very frequent word is several files; sorted, so row groups are read by term.
+        postings.sortWithinPartitions("bucket", "term", "id").write.mode("overwrite").partitionBy(
             "bucket").parquet(self._path(number, "postings"))
 
     def _publish(self, number: int, segments: Sequence[int], n: int, texts: int, length: int) -> None:
@@ -152,7 +197,7 @@ class TermIndex:
         if done >= number or not segments:
             return
         self.docs().withColumn("deleted", F.lit(False)).write.mode("overwrite").parquet(self._path(number, "docs"))
-        self._write_postings(number, self.postings().withColumn("bucket", _bucket(F.col("term"), self.buckets)))
+        self._write_postings(number, self.postings().withColumn("bucket", _bucket(F.col("term"), self.buckets)).hint("rebalance", F.col("bucket")))
         self._publish(number, [number], *stats)
 
     # -- searches ------------------------------------------------------------------------

@@ -95,9 +95,12 @@ def embed_documents(t):
 
 # -- search ----------------------------------------------------------------------
 
+def vectors_of(t):
+    return t.embeddings.select(F.col("vec_id").alias("doc_id"), "embedding")
+
+
 def corpus(t):
-    vectors = t.embeddings.select(F.col("vec_id").alias("doc_id"), "embedding")
-    return t.documents.join(vectors, "doc_id", "left")
+    return t.documents.join(vectors_of(t), "doc_id", "left")
 
 
 def golden(t):
@@ -204,7 +207,7 @@ def token_table(t, name="tokens", fill=None):
     key = hashlib.md5(t.folder.encode()).hexdigest()
     index = TermIndex(t.spark, f"{checkpoint_dir(t.spark)}/{name}-{t.spark.sparkContext.applicationId}-{key}")
     if index.manifest()[0] < 0:
-        index.put(corpus(t), "doc_id", "text", "embedding", ["lang", "source", "n_chars"], 0)
+        index.put(t.documents, "doc_id", "text", "embedding", ["lang", "source", "n_chars"], 0, vectors_of(t))
     if fill:
         fill(index)
     return index
@@ -729,12 +732,12 @@ WITH base AS (SELECT doc_id, CASE WHEN b.text IS NOT NULL THEN coalesce(d.text,
 documents AS (SELECT * FROM base UNION ALL SELECT -1 - item_id, text FROM benchmark),"""
 
 
-def changes(docs, items, labels):
+def changes(docs, vectors, items, labels):
     """All benchmark texts are appended to the documents of their number and added as rows; toxic documents go."""
     def fill(table):
         texts = F.concat_ws(" ", F.coalesce("text", F.lit("")), "more")
         more = docs.join(items.select(F.col("item_id").alias("doc_id"), F.col("text").alias("more")), "doc_id").withColumn("text", texts).drop("more")
-        table.put(more, "doc_id", "text", "embedding", ["lang", "source", "n_chars"], 1)
+        table.put(more, "doc_id", "text", "embedding", ["lang", "source", "n_chars"], 1, vectors)
         table.put(items.select((-1 - F.col("item_id")).alias("doc_id"), "text"), "doc_id", "text", number=2)
         table.remove(labels.filter("toxic = 1").select("doc_id"), "doc_id", 3)
     return fill
@@ -742,7 +745,7 @@ def changes(docs, items, labels):
 
 def changed_table(t, compacted=False):
     def fill(table):
-        changes(corpus(t), t.benchmark, t.labels)(table)
+        changes(t.documents, vectors_of(t), t.benchmark, t.labels)(table)
         if compacted:
             table.compact(4)
     return token_table(t, "tokens-compacted" if compacted else "tokens-changed", fill)

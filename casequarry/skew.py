@@ -124,13 +124,16 @@ def exact_percentiles(df: DataFrame, keys: Sequence[str], value: str,
     return out.drop("__all")
 
 
+def is_small(kept: DataFrame, limit: int = 16 << 20) -> bool:
+    """Whether checkpointed rows, measured as text, are at most ``limit`` bytes."""
+    return (kept.agg(F.sum(F.octet_length(F.to_json(F.struct("*"))))).first()[0] or 0) <= limit
+
+
 def small_side(df: DataFrame, limit: int = 16 << 20) -> DataFrame:
-    """``df`` ready to be joined: broadcast when its checkpointed rows, measured
-    as text, are proven to be at most ``limit`` bytes, else left to a shuffle
-    join."""
+    """``df`` ready to be joined: broadcast when its checkpointed rows are
+    proven to be small, else left to a shuffle join."""
     kept = cut(df)
-    size = kept.agg(F.sum(F.octet_length(F.to_json(F.struct("*"))))).first()[0] or 0
-    return F.broadcast(kept) if size <= limit else kept
+    return F.broadcast(kept) if is_small(kept, limit) else kept
 
 
 def spread(scan: DataFrame) -> DataFrame:

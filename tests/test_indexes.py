@@ -131,6 +131,47 @@ def test_token_table_of_odd_rows(spark, tmp_path):
     assert empty.search("alpha").collect() == []
 
 
+def test_texts_of_a_token_table_stay_where_they_are(spark, tmp_path, monkeypatch):
+    """Texts of ids that come once do not move, postings move by word and chunk; repeated ids, few or many, and vectors apart give the same table."""
+    from casequarry.operators import term_index
+
+    plans, write = [], TermIndex._write_postings
+    monkeypatch.setattr(TermIndex, "_write_postings", lambda self, number, rows: plans.append(rows._jdf.queryExecution().executedPlan().toString()) or write(self, number, rows))
+    monkeypatch.setattr(term_index, "PART_BYTES", 100)
+    monkeypatch.setattr(term_index, "CHUNK_WORDS", 20)
+    once = sample(4, range(60))
+    TermIndex(spark, str(tmp_path / "once"), buckets=4).put(texts(spark, once), "doc_id", "text", "vec", ["kind"])
+    assert plans[0].count("Exchange") == 1 and "REBALANCE_PARTITIONS_BY_COL" in plans[0]
+
+    again = [(i, t, v, "c") for i, t, v, _ in sample(5, [*range(20), 7, 7])] + [(None, "alpha", None, "a")]
+    given = texts(spark, once + again + once[:30])  # also rows that are equal in all
+    last = {}
+    for x in given.where("doc_id is not null").withColumn("h", F.xxhash64("text")).collect():
+        last[x["doc_id"]] = max(last.get(x["doc_id"], (x["h"], x["text"])), (x["h"], x["text"]), key=lambda y: y[0])
+    want = sorted((w, i, (t or "").split().count(w), len(t.split())) for i, (_, t) in last.items() for w in set((t or "").split()))
+    vectors = spark.createDataFrame([(i, [float(i), 1.0]) for i in range(0, 90, 3)] + [(None, [0.0, 0.0])], "doc_id long, vec array<double>")
+    joined = given.drop("vec").join(vectors, "doc_id", "left")
+    found = []
+    for number, small in enumerate((True, False)):
+        monkeypatch.setattr(term_index, "is_small", lambda kept, small=small: small)
+        for name, rows, apart in (("joined", joined, None), ("apart", given.drop("vec"), vectors)):
+            table = TermIndex(spark, str(tmp_path / f"{name}{number}"), buckets=4)
+            table.put(rows.repartition(3), "doc_id", "text", "vec", number=0, vectors=apart)
+            assert sorted((x["term"], x["id"], x["tf"], x["length"]) for x in table.postings().collect()) == want
+            found.append((table.manifest()[2:], sorted(map(str, table.docs().collect()))))
+    assert all(f == found[0] for f in found) and found[0][0][0] == 60
+
+
+def test_postings_grouped_by_word(spark):
+    from casequarry.operators import term_index
+
+    rows = [("x", ["b", "a", "b"]), ("y", None), ("z", []), ("u", ["a"]), ("v", ["é", "b"])]
+    table = spark.createDataFrame(rows, "id string, tokens array<string>").coalesce(1)
+    got = {x["term"]: list(zip(x["ids"], x["lengths"], x["tfs"])) for x in term_index._grouped(table).collect()}
+    assert got == {"a": [("x", 3, 1), ("u", 1, 1)], "b": [("x", 3, 2), ("v", 2, 1)], "é": [("v", 2, 1)]}
+    assert term_index._grouped(table.limit(0)).collect() == []
+
+
 # -- digests ---------------------------------------------------------------------------
 
 def store(spark, rows):
