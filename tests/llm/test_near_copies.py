@@ -170,3 +170,18 @@ def test_copies_leave_a_task_with_one_body(spark, docs):
     shared = near_copies.shared_values(found).collect()
     assert max(sum(1 for y in shared if y["value"] == x["value"]) for x in shared) == 3  # each set once
     assert [x["doc_id"] for x in near_copies.keep_one(table).collect()] == [0]
+
+
+def test_what_the_sample_says_changes_no_row(spark, docs, monkeypatch):
+    """Sampled values only order prefixes: no values, few of them, all of them and wrong counts keep the rows that all pairs keep."""
+    import numpy as np
+    from casequarry.llm import near_copies
+    rows, _ = planted()
+    table = docs(rows)
+    want = sorted(str(d) for d, _ in brute_kept(rows))
+    names, counts = near_copies.common_values(table)
+    none = (names[:0], counts[:0])
+    wrong = np.random.default_rng(2).permutation(counts)
+    for common in (none, (names[::9], counts[::9]), (names, counts.max() - counts), (names, wrong)):
+        monkeypatch.setattr(near_copies, "common_values", lambda docs, common=common: common)
+        assert sorted(str(x["doc_id"]) for x in near_copies.keep_one(table).collect()) == want
