@@ -57,7 +57,7 @@ def _dealt(rows: DataFrame) -> DataFrame:
 
 
 def _single(rows: DataFrame) -> DataFrame:
-    """``_last`` of ``rows``, where texts of ids that come once stay where they are; unless most would have to be looked up."""
+    """``_last`` of ``rows``, where texts of ids that come once stay where they are, unless too many others are to be looked up."""
     again = cut(rows.groupBy("id").agg(F.count("*").alias("n")).filter("n > 1").select("id"))
     if again.isEmpty():
         return rows
